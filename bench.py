@@ -29,7 +29,7 @@ def main() -> None:
     from cadenza.plans.registry import registry
     from cadenza.session import build_session
     from cadenza.sources.files import load_catalog, save_catalog
-    from cadenza.sources.testdata import from_testdata
+    from cadenza.sources.testdata import from_testdata, read_sources
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -41,7 +41,7 @@ def main() -> None:
     t0 = time.perf_counter()
     save_catalog(from_testdata(spark, sf_dir), store)
     build_sec = time.perf_counter() - t0
-    cat = load_catalog(spark, store)
+    cat = load_catalog(spark, store).with_sources(read_sources(spark, sf_dir))
 
     timings: dict[str, float] = {}
     for name, q in registry().items():

@@ -16,8 +16,11 @@ class Catalog(Mapping[str, DataFrame]):
     (``replace``), which a caller may persist with ``sources.files.save_catalog``.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame]):
+    def __init__(self, tables: Mapping[str, DataFrame], sources: Mapping[str, DataFrame] | None = None):
         self._tables = dict(tables)
+        # Raw feeds the catalog was derived from (e.g. an event log); write
+        # jobs read their request batches from here.
+        self._sources = dict(sources or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         try:
@@ -49,7 +52,18 @@ class Catalog(Mapping[str, DataFrame]):
             raise KeyError(f"unknown tables {sorted(unknown)}")
         merged = dict(self._tables)
         merged.update(tables)
-        return Catalog(merged)
+        return Catalog(merged, self._sources)
+
+    def source(self, name: str) -> DataFrame:
+        try:
+            return self._sources[name]
+        except KeyError:
+            raise KeyError(f"catalog has no source {name!r}") from None
+
+    def with_sources(self, sources: Mapping[str, DataFrame]) -> Catalog:
+        merged = dict(self._sources)
+        merged.update(sources)
+        return Catalog(self._tables, merged)
 
     def register_views(self, prefix: str = "") -> None:
         """Expose every table as a temp view (``prefix + name``) for ``spark.sql``."""

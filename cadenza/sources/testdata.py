@@ -8,7 +8,7 @@ generated from this very dict (``with_clause``).
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..catalog import Catalog
 from ..schemas import TABLES, conform
@@ -165,10 +165,17 @@ MAPPING_SQL: dict[str, str] = {
 assert tuple(MAPPING_SQL) == TABLES
 
 
-def register_sources(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = SOURCE_TABLES) -> None:
+def read_sources(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = SOURCE_TABLES) -> dict[str, DataFrame]:
+    """The driver parquet files as DataFrames, by table name."""
+    return {name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet") for name in tables}
+
+
+def register_sources(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = SOURCE_TABLES) -> dict[str, DataFrame]:
     """Register the driver parquet files as temp views named after the tables."""
-    for name in tables:
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").createOrReplaceTempView(name)
+    sources = read_sources(spark, sf_dir, tables)
+    for name, df in sources.items():
+        df.createOrReplaceTempView(name)
+    return sources
 
 
 def from_testdata(spark: SparkSession, sf_dir: str) -> Catalog:
@@ -178,8 +185,8 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Catalog:
     the text at once, so the catalog keeps pointing at ``sf_dir`` even if the
     temp views are re-registered for another directory later.
     """
-    register_sources(spark, sf_dir)
-    return Catalog({name: conform(name, spark.sql(sql)) for name, sql in MAPPING_SQL.items()})
+    sources = register_sources(spark, sf_dir)
+    return Catalog({name: conform(name, spark.sql(sql)) for name, sql in MAPPING_SQL.items()}, sources)
 
 
 def with_clause(tables: list[str] | tuple[str, ...] | None = None) -> str:
