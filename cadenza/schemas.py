@@ -7,11 +7,24 @@ schemas (``conform``), the integrity jobs walk ``PRIMARY_KEYS`` /
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 # Spark DDL per table. Keys are BIGINT, other whole numbers INT, timestamps
 # have no zone. Columns that no operator ever projects (password hashes,
@@ -170,13 +183,40 @@ FOREIGN_KEYS: tuple[ForeignKey, ...] = (
 )
 
 
+_SIMPLE_TYPES: dict[str, DataType] = {
+    "BIGINT": LongType(),
+    "INT": IntegerType(),
+    "STRING": StringType(),
+    "DATE": DateType(),
+    "BOOLEAN": BooleanType(),
+    "DOUBLE": DoubleType(),
+    "TIMESTAMP_NTZ": TimestampNTZType(),
+}
+
+
+def _parse_ddl(ddl: str) -> StructType:
+    """Parse the small DDL subset above without a running JVM."""
+    fields = []
+    for part in re.split(r",\s*(?![^()]*\))", ddl):
+        name, type_text = part.strip().split(None, 1)
+        type_text = type_text.strip().upper()
+        dec = re.fullmatch(r"DECIMAL\((\d+),(\d+)\)", type_text)
+        data_type = DecimalType(int(dec.group(1)), int(dec.group(2))) if dec else _SIMPLE_TYPES[type_text]
+        fields.append(StructField(name, data_type, True))
+    return StructType(fields)
+
+
 def schema(table: str) -> StructType:
-    return StructType.fromDDL(TABLE_DDL[table])
+    return _parse_ddl(TABLE_DDL[table])
 
 
 def optional_schema(table: str) -> StructType | None:
     ddl = OPTIONAL_DDL.get(table)
-    return StructType.fromDDL(ddl) if ddl else None
+    return _parse_ddl(ddl) if ddl else None
+
+
+def column_names(table: str) -> list[str]:
+    return [f.name for f in schema(table).fields]
 
 
 class SchemaMismatch(ValueError):
