@@ -144,6 +144,7 @@ def cascade_delete(cat: Catalog, table: str, ids: KeySet) -> DeleteResult:
             survivors = df
             for column, keys in doomed_conds:
                 survivors = survivors.join(keys, column, "left_anti")
+            survivors = survivors.select(*df.columns)
             gone = reduce(
                 DataFrame.unionByName,
                 [df.join(keys, column, "left_semi").select(*t_pk) for column, keys in doomed_conds],

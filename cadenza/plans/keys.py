@@ -35,7 +35,7 @@ def restrict(df: DataFrame, column: str, ids: KeySet) -> DataFrame:
         return df.filter(F.col(column) == F.lit(ids))
     if isinstance(ids, DataFrame):
         keys = ids.select(F.col(ids.columns[0]).alias(column))
-        return df.join(keys, column, "left_semi")
+        return df.join(keys, column, "left_semi").select(*df.columns)
     values = sorted({int(v) for v in ids})
     return df.filter(F.col(column).isin(values))
 
