@@ -3,7 +3,9 @@
 Each report aggregates bridge tables by their key *before* joining
 dimensions (partial + final hash aggregation, so a hot key is combined
 map-side), keeps only the top-k rows, and only then fetches wide columns and
-name lists for those k rows through size-bounded broadcasts.
+name lists for those k rows through size-bounded broadcasts. The final
+re-sort of the k joined rows is ``orderBy + limit`` (one take-ordered step,
+no range-partitioning pass).
 """
 
 from __future__ import annotations
@@ -69,6 +71,7 @@ def top_rated_tracks(
         titled.join(names, "track_id", "left")
         .select("track_id", "title", "artists", "avg_rating", "num_ratings")
         .orderBy(*order)
+        .limit(limit)
     )
 
 
@@ -125,6 +128,7 @@ def most_prolific_artists(cat: Catalog, limit: int = 10, assume_keys: bool = Tru
             F.coalesce("album_count", F.lit(0)).cast("bigint").alias("album_count"),
         )
         .orderBy(*order)
+        .limit(limit)
     )
 
 
@@ -160,6 +164,7 @@ def recent_reviews(cat: Catalog, limit: int = 10) -> DataFrame:
             F.col("display_name").alias("reviewer"),
         )
         .orderBy(*order)
+        .limit(limit)
     )
 
 

@@ -4,7 +4,9 @@ The match is a full parallel scan (a leading-wildcard LIKE cannot use an
 index or Parquet statistics), reading only the columns the result needs.
 The sort key of every search lives on the searched table, so the top-k is
 taken first and the bridge tables are touched only for those k rows, via a
-broadcast of at most ``limit`` keys.
+broadcast of at most ``limit`` keys. The joined result (at most ``limit``
+rows) is put back in order with ``orderBy + limit`` again, which plans as a
+single take-ordered step instead of a range-partitioned global sort.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ def search_tracks(cat: Catalog, term: str, limit: int = 20) -> DataFrame:
         top.join(names, "track_id", "left")
         .select("track_id", "title", "duration_sec", "artists", "explicit_flag")
         .orderBy(*order)
+        .limit(limit)
     )
 
 
@@ -57,6 +60,7 @@ def search_artists(cat: Catalog, term: str, limit: int = 20, assume_keys: bool =
             F.coalesce("track_count", F.lit(0)).cast("bigint").alias("track_count"),
         )
         .orderBy(*order)
+        .limit(limit)
     )
 
 
@@ -77,6 +81,7 @@ def search_albums(cat: Catalog, term: str, limit: int = 20, assume_keys: bool =
             F.coalesce("track_count", F.lit(0)).cast("bigint").alias("track_count"),
         )
         .orderBy(*order)
+        .limit(limit)
     )
 
 
@@ -109,6 +114,7 @@ def search_users(cat: Catalog, term: str, limit: int = 20) -> DataFrame:
             role_label("artist_key", "consumer_key", PLAIN_SEARCH).alias("role"),
         )
         .orderBy(*order)
+        .limit(limit)
     )
 
 
@@ -129,6 +135,7 @@ def search_producers(cat: Catalog, term: str, limit: int = 20) -> DataFrame:
         top.join(alias, "artist_id", "left")
         .select("producer_id", "name", "country", "birth_year", "artist_alias")
         .orderBy(*order)
+        .limit(limit)
     )
 
 
@@ -164,6 +171,7 @@ def search_labels(cat: Catalog, term: str, limit: int = 20, assume_keys: bool =
             F.coalesce("artist_count", F.lit(0)).cast("bigint").alias("artist_count"),
         )
         .orderBy(*order)
+        .limit(limit)
     )
 
 
