@@ -18,10 +18,41 @@ from ..schemas import PRIMARY_KEYS, TABLES, conform, optional_schema, schema
 LOOKUP_KEYS: dict[str, str] = {name: PRIMARY_KEYS[name][0] for name in TABLES}
 
 
+APPENDS = "_appends"
+BATCH_COLUMN = "batch_id"
+
+
 def _path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+def append_path(root: str, table: str) -> str:
+    """Folder of rows appended to ``table`` by write jobs, partitioned by batch id."""
+    return f"{root.rstrip('/')}/{APPENDS}/{table}"
+
+
+def write_appends(df: DataFrame, root: str, table: str, batch_id: int) -> None:
+    """Write one batch's rows for ``table``, replacing that batch's earlier attempt.
+
+    Dynamic partition overwrite touches only ``batch_id=<n>``, so a retried
+    micro-batch rewrites its own rows and nothing else (idempotent).
+    """
+    (
+        df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BATCH_COLUMN)
+        .parquet(append_path(root, table))
+    )
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(hpath)
+
+
 def save_table(df: DataFrame, path: str, cluster_by: str | None = None, fmt: str = "parquet") -> None:
     """Write one table, clustered by ``cluster_by``.
 
@@ -57,7 +88,27 @@ def read_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
 
 
 def load_catalog(
-    spark: SparkSession, root: str, fmt: str = "parquet", strict: bool = True, tables: tuple[str, ...] = TABLES
+    spark: SparkSession,
+    root: str,
+    fmt: str = "parquet",
+    strict: bool = True,
+    tables: tuple[str, ...] = TABLES,
+    skip_batch: int | None = None,
 ) -> Catalog:
-    """Open every table under ``root`` (lazily; nothing is read until an action)."""
-    return Catalog({name: read_table(spark, _path(root, name), name, fmt, strict) for name in tables})
+    """Open every table under ``root`` (lazily; nothing is read until an action).
+
+    Rows appended by write jobs (``write_appends``) are unioned in;
+    ``skip_batch`` leaves out one batch's appends (a retried batch must not
+    see its own earlier attempt).
+    """
+    out = {}
+    for name in tables:
+        df = read_table(spark, _path(root, name), name, fmt, strict)
+        extra = append_path(root, name)
+        if fmt == "parquet" and _exists(spark, extra):
+            added = spark.read.parquet(extra)
+            if skip_batch is not None:
+                added = added.filter(F.col(BATCH_COLUMN) != F.lit(skip_batch))
+            df = df.unionByName(conform(name, added.drop(BATCH_COLUMN), strict=False), allowMissingColumns=True)
+        out[name] = df
+    return Catalog(out)
