@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import distinct_names
+from ..functions.aggregates import collated_names, distinct_names
 from ..plans.keys import bounded_broadcast
 
 
@@ -31,12 +31,26 @@ def scope(df: DataFrame, key: str, keys: DataFrame | None, bound: int | None = N
     return df.join(bounded_broadcast(keys.select(key), bound), key, "left_semi")
 
 
+def name_list(named: DataFrame, key: str, alias: str, collation: str | None = None) -> DataFrame:
+    """``key -> 'a, b, ...'`` over (key, name) rows: distinct, sorted, NULL if none.
+
+    Binary order by default (the oracle's order). With a ``collation`` (e.g.
+    'UNICODE', linguistic: Alena, Aleš, Alex) the pairs are deduplicated
+    first, since Spark allows no DISTINCT next to a collated order.
+    """
+    if collation is None:
+        return named.groupBy(key).agg(distinct_names("name").alias(alias))
+    pairs = named.filter(F.col("name").isNotNull()).select(key, "name").distinct()
+    return pairs.groupBy(key).agg(collated_names("name", collation).alias(alias))
+
+
 def artist_names(
     track_artist: DataFrame,
     artist: DataFrame,
     track_keys: DataFrame | None = None,
     bound: int | None = None,
     alias: str = "artists",
+    collation: str | None = None,
 ) -> DataFrame:
     """``track_id -> 'name, name, ...'`` (distinct, sorted, NULL if none).
 
@@ -45,7 +59,7 @@ def artist_names(
     """
     ta = scope(track_artist.select("track_id", "artist_id"), "track_id", track_keys, bound)
     named = ta.join(artist.select(F.col("user_id").alias("artist_id"), "name"), "artist_id")
-    return named.groupBy("track_id").agg(distinct_names("name").alias(alias))
+    return name_list(named, "track_id", alias, collation)
 
 
 def genre_names(
@@ -54,7 +68,8 @@ def genre_names(
     track_keys: DataFrame | None = None,
     bound: int | None = None,
     alias: str = "genres",
+    collation: str | None = None,
 ) -> DataFrame:
     tg = scope(track_genre.select("track_id", "genre_id"), "track_id", track_keys, bound)
     named = tg.join(genre.select("genre_id", "name"), "genre_id")
-    return named.groupBy("track_id").agg(distinct_names("name").alias(alias))
+    return name_list(named, "track_id", alias, collation)

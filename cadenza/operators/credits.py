@@ -31,8 +31,12 @@ def _artist_dim(cat: Catalog, id_alias: str, name_alias: str) -> DataFrame:
     return cat.artist.select(F.col("user_id").alias(id_alias), F.col("name").alias(name_alias))
 
 
-def track_detail(cat: Catalog, track_ids: KeySet = None) -> DataFrame:
-    """track_id, title, duration_sec, bpm, key, mode, explicit_flag, artists, genres."""
+def track_detail(cat: Catalog, track_ids: KeySet = None, collation: str | None = None) -> DataFrame:
+    """track_id, title, duration_sec, bpm, key, mode, explicit_flag, artists, genres.
+
+    The reference also left-joins the primary ISRC but never reads it and
+    aggregates only with DISTINCT, so that join is left out.
+    """
     tracks = restrict(
         cat.track.select("track_id", "title", "duration_sec", "bpm", "key", "mode", "explicit_flag"),
         "track_id",
@@ -41,8 +45,8 @@ def track_detail(cat: Catalog, track_ids: KeySet = None) -> DataFrame:
     ta = restrict(cat.track_artist, "track_id", track_ids)
     tg = restrict(cat.track_genre, "track_id", track_ids)
     return (
-        tracks.join(artist_names(ta, cat.artist), "track_id", "left")
-        .join(genre_names(tg, cat.genre), "track_id", "left")
+        tracks.join(artist_names(ta, cat.artist, collation=collation), "track_id", "left")
+        .join(genre_names(tg, cat.genre, collation=collation), "track_id", "left")
         .select("track_id", "title", "duration_sec", "bpm", "key", "mode", "explicit_flag", "artists", "genres")
         .orderBy(asc("track_id"))
     )

@@ -36,6 +36,7 @@ def top_rated_tracks(
     min_ratings: int = 1,
     limit: int = 10,
     count_mode: str = "joined",
+    collation: str | None = None,
 ) -> DataFrame:
     """Tracks by average consumer rating, then by rating count.
 
@@ -66,7 +67,7 @@ def top_rated_tracks(
     top = scored.orderBy(*order).limit(limit)
     top_b = bounded_broadcast(top, limit)
     titled = cat.track.select("track_id", "title").join(top_b, "track_id")
-    names = artist_names(cat.track_artist, cat.artist, top.select("track_id"), bound=limit)
+    names = artist_names(cat.track_artist, cat.artist, top.select("track_id"), bound=limit, collation=collation)
     return (
         titled.join(names, "track_id", "left")
         .select("track_id", "title", "artists", "avg_rating", "num_ratings")

@@ -26,12 +26,15 @@ def _top(df: DataFrame, order: list, limit: int) -> DataFrame:
     return df.orderBy(*order).limit(limit)
 
 
-def search_tracks(cat: Catalog, term: str, limit: int = 20) -> DataFrame:
-    """track_id, title, duration_sec, artists, explicit_flag; by title."""
+def search_tracks(cat: Catalog, term: str, limit: int = 20, collation: str | None = None) -> DataFrame:
+    """track_id, title, duration_sec, artists, explicit_flag; by title.
+
+    ``collation`` orders the artist list linguistically instead of by code point.
+    """
     order = [asc("title"), asc("track_id")]
     hits = cat.track.select("track_id", "title", "duration_sec", "explicit_flag").filter(search_match("title", term))
     top = _top(hits, order, limit)
-    names = artist_names(cat.track_artist, cat.artist, top.select("track_id"), bound=limit)
+    names = artist_names(cat.track_artist, cat.artist, top.select("track_id"), bound=limit, collation=collation)
     return (
         top.join(names, "track_id", "left")
         .select("track_id", "title", "duration_sec", "artists", "explicit_flag")
@@ -209,3 +212,22 @@ def find_consumers(cat: Catalog, term: str, limit: int = 10) -> DataFrame:
 def top_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
     """A search result's key column, broadcastable (at most ``limit`` rows)."""
     return bounded_broadcast(df.select(key), limit)
+
+
+# ---------------------------------------------------------------- search, then drill down
+
+
+def group_members_by_name(cat: Catalog, term: str, limit: int = 10) -> DataFrame:
+    """Members of the groups ``find_groups`` returns for ``term`` (key set = its ids)."""
+    from .credits import group_members
+
+    groups = find_groups(cat, term, limit)
+    return group_members(cat, bounded_broadcast(groups.select("group_id"), limit))
+
+
+def consumer_reviews_by_name(cat: Catalog, term: str, limit: int = 10) -> DataFrame:
+    """Reviews of the consumers ``find_consumers`` returns for ``term``."""
+    from .credits import consumer_reviews
+
+    found = find_consumers(cat, term, limit)
+    return consumer_reviews(cat, bounded_broadcast(found.select("consumer_id"), limit))

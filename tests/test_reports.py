@@ -113,3 +113,16 @@ def test_recent_reviews_needs_track_and_consumer(make_catalog):
 def test_limit_zero_gives_no_rows(make_catalog):
     cat = _fanout_catalog(make_catalog, 1)
     assert rows(reports.top_rated_tracks(cat, limit=0)) == []
+
+
+def test_top_rated_artists_in_linguistic_order(make_catalog):
+    cat = make_catalog(
+        track=[(1, "Song", 200, None, None, None, False)],
+        consumer_track_rating=[(1, 1, 5, T0)],
+        artist=[(10, "Alex", None, None, None), (11, "Aleš", None, None, None), (12, "Alena", None, None, None)],
+        track_artist=[(1, 10, "x"), (1, 11, "x"), (1, 12, "x")],
+    )
+    binary = rows(reports.top_rated_tracks(cat))[0][2]
+    linguistic = rows(reports.top_rated_tracks(cat, collation="UNICODE"))[0][2]
+    assert binary == "Alena, Alex, Aleš"
+    assert linguistic == "Alena, Aleš, Alex"
