@@ -251,3 +251,59 @@ def delete_summary(before: Catalog, result: DeleteResult) -> DataFrame:
         (F.col("rows_before") - F.col("rows_after")).alias("rows_deleted"),
         "rows_set_null",
     ).orderBy(asc("table_name"))
+
+
+# ---------------------------------------------------------------- dedupe by external id
+
+
+@dataclass(frozen=True)
+class DedupeResult:
+    catalog: Catalog
+    mapping: DataFrame  # (old key, kept key) for every merged row
+
+
+def dedupe_by_external_id(cat: Catalog, table: str, gid_column: str) -> DedupeResult:
+    """Merge rows of ``table`` that share an external id (e.g. a MusicBrainz gid).
+
+    The smallest key per external id is kept; every foreign key pointing at
+    ``table`` is rewritten to it. Junction rows that collide after the
+    rewrite are reduced to one per primary key, keeping the row that came
+    from the smallest original key. All steps are grouped aggregates and
+    equi joins; nothing is collected.
+    """
+    pk = PRIMARY_KEYS[table]
+    if len(pk) != 1:
+        raise ValueError("dedupe works on tables with a single-column key")
+    key = pk[0]
+    df = cat[table]
+    if gid_column not in df.columns:
+        empty = cat.spark.createDataFrame([], "old_key bigint, kept_key bigint")
+        return DedupeResult(cat, empty)
+    withgid = df.filter(F.col(gid_column).isNotNull())
+    keep = withgid.groupBy(gid_column).agg(F.min(key).alias("kept_key"))
+    mapping = (
+        withgid.join(keep, gid_column)
+        .filter(F.col(key) != F.col("kept_key"))
+        .select(F.col(key).alias("old_key"), "kept_key")
+    )
+    tables: dict[str, DataFrame] = {table: df.join(mapping.select(F.col("old_key").alias(key)), key, "left_anti").select(*df.columns)}
+    for fk in FOREIGN_KEYS:
+        if fk.parent != table or fk.parent_column != key or fk.child not in cat:
+            continue
+        child = tables.get(fk.child, cat[fk.child])
+        cols = child.columns
+        m = mapping.select(F.col("old_key").alias(fk.column), "kept_key")
+        rewritten = child.join(m, fk.column, "left").select(
+            *[F.coalesce("kept_key", F.col(c)).alias(c) if c == fk.column else F.col(c) for c in cols],
+            F.col(fk.column).alias("_orig"),
+        )
+        child_pk = list(PRIMARY_KEYS[fk.child])
+        if fk.column in child_pk and fk.child != table:
+            others = [c for c in cols if c not in child_pk]
+            if others:
+                best = rewritten.groupBy(*child_pk).agg(F.min_by(F.struct(*others), "_orig").alias("_row"))
+                rewritten = best.select(*child_pk, *[F.col(f"_row.{c}").alias(c) for c in others])
+            else:
+                rewritten = rewritten.select(*child_pk).distinct()
+        tables[fk.child] = rewritten.select(*cols)
+    return DedupeResult(cat.replace(**tables), mapping)

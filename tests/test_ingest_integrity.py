@@ -188,3 +188,52 @@ def test_cascade_delete_genre_sets_children_null(make_catalog):
     assert rows(res.catalog.track_genre) == [(5, 2)]
     summary = {r[0]: r[1:] for r in rows(integrity.delete_summary(cat, res))}
     assert summary["genre"] == (2, 1, 1, 1) and summary["track_genre"] == (2, 1, 1, 0)
+
+
+def test_unique_violations_on_optional_columns(spark):
+    from cadenza.catalog import Catalog
+    from cadenza.schemas import TABLES, schema
+
+    tables = {t: spark.createDataFrame([], schema(t)) for t in TABLES}
+    tables["track"] = spark.createDataFrame(
+        [(1, "a", "XX1"), (2, "b", "XX1"), (3, "c", None), (4, "d", None)], "track_id long, title string, isrc string"
+    )
+    cat = Catalog(tables)
+    assert rows(integrity.unique_violations(cat, "track", "isrc")) == [("XX1", 2)]
+    assert rows(integrity.unique_violations(cat, "album", "mb_release_group_gid")) == []
+
+
+def test_distinct_counts_without_trusting_keys(make_catalog):
+    from cadenza.operators import reports
+
+    cat = make_catalog(
+        label=[(1, "L", None, None, None)],
+        label_album=[(1, 10), (1, 10), (1, 11)],  # duplicate bridge row
+    )
+    assert rows(reports.label_catalog_size(cat, assume_keys=False))[0][3] == 2
+    assert rows(reports.label_catalog_size(cat, assume_keys=True))[0][3] == 3
+
+
+def test_dedupe_artists_by_external_id(spark):
+    from cadenza.catalog import Catalog
+    from cadenza.schemas import TABLES, schema
+
+    tables = {t: spark.createDataFrame([], schema(t)) for t in TABLES}
+    tables["artist"] = spark.createDataFrame(
+        [(1, "A", "g1"), (2, "A dup", "g1"), (3, "B", None), (4, "C", "g2")],
+        "user_id long, name string, mb_artist_gid string",
+    )
+    tables["track_artist"] = spark.createDataFrame([(10, 1, "primary"), (10, 2, "vocal"), (11, 2, "vocal")], schema("track_artist"))
+    tables["producer"] = spark.createDataFrame([(30, "P", None, None, 2)], schema("producer"))
+    res = integrity.dedupe_by_external_id(Catalog(tables), "artist", "mb_artist_gid")
+    assert rows(res.mapping) == [(2, 1)]
+    assert sorted(r[0] for r in rows(res.catalog.artist)) == [1, 3, 4]
+    assert sorted(rows(res.catalog.track_artist)) == [(10, 1, "primary"), (11, 1, "vocal")]
+    assert rows(res.catalog.producer)[0][4] == 1
+
+
+def test_key_name_from_pitch_class(spark):
+    from cadenza.functions.music import key_name
+
+    df = spark.createDataFrame([("0",), ("6",), ("11",), ("12",), ("F#",), (None,)], "k string")
+    assert [r[0] for r in rows(df.select(key_name("k")))] == ["C", "F#", "B", None, "F#", None]
