@@ -126,3 +126,11 @@ def test_top_rated_artists_in_linguistic_order(make_catalog):
     linguistic = rows(reports.top_rated_tracks(cat, collation="UNICODE"))[0][2]
     assert binary == "Alena, Alex, Aleš"
     assert linguistic == "Alena, Aleš, Alex"
+
+
+def test_negative_limit_is_an_error(make_catalog):
+    import pytest
+
+    cat = _fanout_catalog(make_catalog, 1)
+    with pytest.raises(Exception):
+        rows(reports.top_rated_tracks(cat, limit=-1))
