@@ -19,19 +19,30 @@ from ..plans.keys import KeySet, is_single, restrict
 from .common import artist_names, count_per_key, genre_names
 
 
-def _finish(df: DataFrame, ids: KeySet, key: str, out_key: str, cols: list, order: list[Column]) -> DataFrame:
-    """Sort (key first when several keys are asked for), then project."""
+def _finish(
+    df: DataFrame, ids: KeySet, key: str, out_key: str, cols: list, order: list[Column], ordered: bool = True
+) -> DataFrame:
+    """Sort (key first when several keys are asked for), then project.
+
+    ``ordered=False`` skips the global sort, which for an all-keys export is
+    a range-partitioning shuffle of the whole result; rows then come in
+    join order.
+    """
     if is_single(ids):
-        return df.orderBy(*order).select(*cols)
+        return (df.orderBy(*order) if ordered else df).select(*cols)
     keyed = df.withColumn(out_key, F.col(key)) if out_key != key else df
-    return keyed.orderBy(asc(out_key), *order).select(out_key, *cols)
+    if ordered:
+        keyed = keyed.orderBy(asc(out_key), *order)
+    return keyed.select(out_key, *cols)
 
 
 def _artist_dim(cat: Catalog, id_alias: str, name_alias: str) -> DataFrame:
     return cat.artist.select(F.col("user_id").alias(id_alias), F.col("name").alias(name_alias))
 
 
-def track_detail(cat: Catalog, track_ids: KeySet = None, collation: str | None = None) -> DataFrame:
+def track_detail(
+    cat: Catalog, track_ids: KeySet = None, collation: str | None = None, ordered: bool = True
+) -> DataFrame:
     """track_id, title, duration_sec, bpm, key, mode, explicit_flag, artists, genres.
 
     The reference also left-joins the primary ISRC but never reads it and
@@ -44,15 +55,15 @@ def track_detail(cat: Catalog, track_ids: KeySet = None, collation: str | None =
     )
     ta = restrict(cat.track_artist, "track_id", track_ids)
     tg = restrict(cat.track_genre, "track_id", track_ids)
-    return (
+    out = (
         tracks.join(artist_names(ta, cat.artist, collation=collation), "track_id", "left")
         .join(genre_names(tg, cat.genre, collation=collation), "track_id", "left")
         .select("track_id", "title", "duration_sec", "bpm", "key", "mode", "explicit_flag", "artists", "genres")
-        .orderBy(asc("track_id"))
     )
+    return out.orderBy(asc("track_id")) if ordered else out
 
 
-def artist_tracks(cat: Catalog, artist_ids: KeySet = None) -> DataFrame:
+def artist_tracks(cat: Catalog, artist_ids: KeySet = None, ordered: bool = True) -> DataFrame:
     """[artist_id,] track_id, title, duration_sec, role; by title."""
     ta = restrict(cat.track_artist.select("artist_id", "track_id", "role"), "artist_id", artist_ids)
     df = ta.join(cat.track.select("track_id", "title", "duration_sec"), "track_id")
@@ -63,10 +74,11 @@ def artist_tracks(cat: Catalog, artist_ids: KeySet = None) -> DataFrame:
         "artist_id",
         ["track_id", "title", "duration_sec", "role"],
         [asc("title"), asc("track_id")],
+        ordered=ordered,
     )
 
 
-def album_tracks(cat: Catalog, album_ids: KeySet = None) -> DataFrame:
+def album_tracks(cat: Catalog, album_ids: KeySet = None, ordered: bool = True) -> DataFrame:
     """[album_id,] track_id, title, track_number, duration_sec; by track number."""
     ta = restrict(cat.track_album.select("album_id", "track_id", "track_number"), "album_id", album_ids)
     df = ta.join(cat.track.select("track_id", "title", "duration_sec"), "track_id")
@@ -77,10 +89,11 @@ def album_tracks(cat: Catalog, album_ids: KeySet = None) -> DataFrame:
         "album_id",
         ["track_id", "title", "track_number", "duration_sec"],
         [asc("track_number"), asc("title"), asc("track_id")],
+        ordered=ordered,
     )
 
 
-def track_songwriters(cat: Catalog, track_ids: KeySet = None) -> DataFrame:
+def track_songwriters(cat: Catalog, track_ids: KeySet = None, ordered: bool = True) -> DataFrame:
     """[track_id,] track_title, songwriter, contribution; by songwriter."""
     ts = restrict(cat.track_songwriter.select("track_id", "artist_id", "contribution"), "track_id", track_ids)
     df = ts.join(cat.track.select("track_id", F.col("title").alias("track_title")), "track_id").join(
@@ -93,10 +106,11 @@ def track_songwriters(cat: Catalog, track_ids: KeySet = None) -> DataFrame:
         "track_id",
         ["track_title", "songwriter", "contribution"],
         [asc("songwriter"), asc("artist_id")],
+        ordered=ordered,
     )
 
 
-def track_producers(cat: Catalog, track_ids: KeySet = None) -> DataFrame:
+def track_producers(cat: Catalog, track_ids: KeySet = None, ordered: bool = True) -> DataFrame:
     """[track_id,] track_title, producer, credit_type; by producer name."""
     tp = restrict(cat.track_producer.select("track_id", "producer_id", "credit_type"), "track_id", track_ids)
     df = tp.join(cat.track.select("track_id", F.col("title").alias("track_title")), "track_id").join(
@@ -109,10 +123,11 @@ def track_producers(cat: Catalog, track_ids: KeySet = None) -> DataFrame:
         "track_id",
         ["track_title", "producer", "credit_type"],
         [asc("producer"), asc("producer_id")],
+        ordered=ordered,
     )
 
 
-def group_members(cat: Catalog, group_ids: KeySet = None) -> DataFrame:
+def group_members(cat: Catalog, group_ids: KeySet = None, ordered: bool = True) -> DataFrame:
     """[group_id,] group_name, member_name, instrument, join_year, leave_year."""
     am = restrict(cat.artist_member, "group_artist_id", group_ids)
     df = am.join(_artist_dim(cat, "group_artist_id", "group_name"), "group_artist_id").join(
@@ -125,10 +140,11 @@ def group_members(cat: Catalog, group_ids: KeySet = None) -> DataFrame:
         "group_id",
         ["group_name", "member_name", "instrument", "join_year", "leave_year"],
         [asc("join_year"), asc("member_name"), asc("member_artist_id")],
+        ordered=ordered,
     )
 
 
-def user_playlists(cat: Catalog, user_ids: KeySet = None, assume_keys: bool = True) -> DataFrame:
+def user_playlists(cat: Catalog, user_ids: KeySet = None, assume_keys: bool = True, ordered: bool = True) -> DataFrame:
     """[user_id,] playlist_id, name, is_public, created_date, track_count; newest first.
 
     A playlist may have several makers, so with several users the rows are
@@ -150,17 +166,20 @@ def user_playlists(cat: Catalog, user_ids: KeySet = None, assume_keys: bool = Tr
         "user_id",
         ["playlist_id", "name", "is_public", "created_date", "track_count"],
         [desc_nulls_last("created_date"), asc("playlist_id")],
+        ordered=ordered,
     )
 
 
-def user_playlist_list(cat: Catalog, user_ids: KeySet = None) -> DataFrame:
+def user_playlist_list(cat: Catalog, user_ids: KeySet = None, ordered: bool = True) -> DataFrame:
     """[user_id,] playlist_id, name; by name."""
     made = restrict(cat.makes.select("user_id", "playlist_id"), "user_id", user_ids)
     df = made.join(cat.playlist.select("playlist_id", "name"), "playlist_id")
-    return _finish(df, user_ids, "user_id", "user_id", ["playlist_id", "name"], [asc("name"), asc("playlist_id")])
+    return _finish(
+        df, user_ids, "user_id", "user_id", ["playlist_id", "name"], [asc("name"), asc("playlist_id")], ordered=ordered
+    )
 
 
-def playlist_tracks(cat: Catalog, playlist_ids: KeySet = None) -> DataFrame:
+def playlist_tracks(cat: Catalog, playlist_ids: KeySet = None, ordered: bool = True) -> DataFrame:
     """[playlist_id,] track_id, title, duration_sec, added_at; oldest addition first."""
     pt = restrict(cat.playlist_track.select("playlist_id", "track_id", "added_at"), "playlist_id", playlist_ids)
     df = pt.join(cat.track.select("track_id", "title", "duration_sec"), "track_id")
@@ -171,10 +190,11 @@ def playlist_tracks(cat: Catalog, playlist_ids: KeySet = None) -> DataFrame:
         "playlist_id",
         ["track_id", "title", "duration_sec", "added_at"],
         [asc("added_at"), asc("title"), asc("track_id")],
+        ordered=ordered,
     )
 
 
-def track_rights(cat: Catalog, track_ids: KeySet = None) -> DataFrame:
+def track_rights(cat: Catalog, track_ids: KeySet = None, ordered: bool = True) -> DataFrame:
     """[track_id,] track_title, holder_name, pro_affiliation, rights_type, percentage."""
     tr = restrict(
         cat.track_rights_holder.select("track_id", "rights_id", "rights_type", "percentage"), "track_id", track_ids
@@ -189,19 +209,26 @@ def track_rights(cat: Catalog, track_ids: KeySet = None) -> DataFrame:
         "track_id",
         ["track_title", "holder_name", "pro_affiliation", "rights_type", "percentage"],
         [desc_nulls_last("percentage"), asc("rights_id")],
+        ordered=ordered,
     )
 
 
-def track_isrcs(cat: Catalog, track_ids: KeySet = None) -> DataFrame:
+def track_isrcs(cat: Catalog, track_ids: KeySet = None, ordered: bool = True) -> DataFrame:
     """[track_id,] track_title, isrc, is_primary; primary first."""
     ti = restrict(cat.track_isrc.select("track_id", "isrc", "is_primary"), "track_id", track_ids)
     df = ti.join(cat.track.select("track_id", F.col("title").alias("track_title")), "track_id")
     return _finish(
-        df, track_ids, "track_id", "track_id", ["track_title", "isrc", "is_primary"], [desc("is_primary"), asc("isrc")]
+        df,
+        track_ids,
+        "track_id",
+        "track_id",
+        ["track_title", "isrc", "is_primary"],
+        [desc("is_primary"), asc("isrc")],
+        ordered=ordered,
     )
 
 
-def artist_producer_links(cat: Catalog, artist_ids: KeySet = None) -> DataFrame:
+def artist_producer_links(cat: Catalog, artist_ids: KeySet = None, ordered: bool = True) -> DataFrame:
     """[artist_id,] artist_name, producer_name, producer_id; by producer name."""
     mb = restrict(cat.may_be.select("artist_id", "producer_id"), "artist_id", artist_ids)
     df = mb.join(_artist_dim(cat, "artist_id", "artist_name"), "artist_id").join(
@@ -214,10 +241,11 @@ def artist_producer_links(cat: Catalog, artist_ids: KeySet = None) -> DataFrame:
         "artist_id",
         ["artist_name", "producer_name", "producer_id"],
         [asc("producer_name"), asc("producer_id")],
+        ordered=ordered,
     )
 
 
-def consumer_reviews(cat: Catalog, consumer_ids: KeySet = None) -> DataFrame:
+def consumer_reviews(cat: Catalog, consumer_ids: KeySet = None, ordered: bool = True) -> DataFrame:
     """[consumer_id,] review_id, rating, review_text, created_at, track_title.
 
     Linked through written_by; the track comes from the review row itself.
@@ -233,10 +261,11 @@ def consumer_reviews(cat: Catalog, consumer_ids: KeySet = None) -> DataFrame:
         "consumer_id",
         ["review_id", "rating", "review_text", "created_at", "track_title"],
         [desc_nulls_last("created_at"), asc("review_id")],
+        ordered=ordered,
     )
 
 
-def track_reviews(cat: Catalog, track_ids: KeySet = None) -> DataFrame:
+def track_reviews(cat: Catalog, track_ids: KeySet = None, ordered: bool = True) -> DataFrame:
     """[track_id,] review_id, rating, review_text, created_at, reviewer.
 
     Linked through gets; the reviewer comes from the review row itself.
@@ -252,10 +281,11 @@ def track_reviews(cat: Catalog, track_ids: KeySet = None) -> DataFrame:
         "track_id",
         ["review_id", "rating", "review_text", "created_at", "reviewer"],
         [desc_nulls_last("created_at"), asc("review_id")],
+        ordered=ordered,
     )
 
 
-def user_profiles(cat: Catalog, user_ids: KeySet = None) -> DataFrame:
+def user_profiles(cat: Catalog, user_ids: KeySet = None, ordered: bool = True) -> DataFrame:
     """user_id, username, email, join_date, country, display_name, artist_name, artist_type, role."""
     users = restrict(cat.users.select("user_id", "username", "email", "join_date", "country"), "user_id", user_ids)
     consumers = restrict(cat.consumer, "user_id", user_ids).select(
@@ -264,7 +294,7 @@ def user_profiles(cat: Catalog, user_ids: KeySet = None) -> DataFrame:
     artists = restrict(cat.artist, "user_id", user_ids).select(
         "user_id", F.col("user_id").alias("artist_key"), F.col("name").alias("artist_name"), F.col("type").alias("artist_type")
     )
-    return (
+    out = (
         users.join(consumers, "user_id", "left")
         .join(artists, "user_id", "left")
         .select(
@@ -278,5 +308,5 @@ def user_profiles(cat: Catalog, user_ids: KeySet = None) -> DataFrame:
             "artist_type",
             role_label("artist_key", "consumer_key", PLAIN_PROFILE).alias("role"),
         )
-        .orderBy(asc("user_id"))
     )
+    return out.orderBy(asc("user_id")) if ordered else out

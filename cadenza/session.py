@@ -91,3 +91,31 @@ def reliable_checkpoint(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def size_shuffles(spark: SparkSession, total_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Set the shuffle partition count from the data size.
+
+    AQE only merges small shuffle partitions; it never splits large ones
+    (outside skewed joins). So the initial count must be large enough for
+    the biggest shuffle: one partition per ``target_bytes`` of input, at
+    least the cluster's default parallelism. AQE then coalesces the
+    shuffles that turn out small (aggregates, top-k inputs).
+    """
+    default = spark.sparkContext.defaultParallelism
+    n = max(default, -(-total_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_bytes, 128 * 1024 * 1024)))
+    return n

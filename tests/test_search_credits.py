@@ -98,3 +98,9 @@ def test_track_detail_dead_isrc_join_not_needed(make_catalog):
     cat = _music(make_catalog)
     got = rows(credits.track_detail(cat, [10, 12]))
     assert [(r[0], r[7], r[8]) for r in got] == [(10, "Alice Band, Solo", None), (12, None, None)]
+
+
+def test_unordered_export_has_same_rows(make_catalog):
+    cat = _music(make_catalog)
+    assert sorted(rows(credits.album_tracks(cat, None, ordered=False))) == sorted(rows(credits.album_tracks(cat, None)))
+    assert "Sort" not in credits.album_tracks(cat, None, ordered=False)._jdf.queryExecution().optimizedPlan().toString()

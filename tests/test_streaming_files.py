@@ -53,3 +53,16 @@ def test_review_stream_appends_idempotently(spark, small_catalog):
         (before_max + 1,),
         (before_max + 2,),
     ]
+
+
+def test_size_shuffles_scales_with_input(spark):
+    from cadenza.session import size_shuffles
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 100 * 1024**4) == 409600  # 100 TiB / 256 MiB
+        assert size_shuffles(spark, 10) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
