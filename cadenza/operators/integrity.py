@@ -56,57 +56,97 @@ def fk_violations(cat: Catalog, fk: ForeignKey) -> DataFrame:
     return cat[fk.child].filter(F.col(fk.column).isNotNull()).join(parent_keys, fk.column, "left_anti")
 
 
+def _key_slots(cat: Catalog, table: str) -> DataFrame:
+    """(table_name, k_long1, k_long2, k_text, null_key) for one table's primary key.
+
+    Keys are at most two columns; bigint parts go to the long slots, text
+    parts to the text slot, so every table fits one union-compatible shape.
+    """
+    df = cat[table]
+    pk = list(PRIMARY_KEYS[table])
+    longs, texts = [], []
+    for c in pk:
+        if df.schema[c].dataType.simpleString() == "string":
+            texts.append(F.col(c))
+        else:
+            longs.append(F.col(c).cast("bigint"))
+    longs += [F.lit(None).cast("bigint")] * (2 - len(longs))
+    texts += [F.lit(None).cast("string")] * (1 - len(texts))
+    null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])
+    return df.select(
+        F.lit(table).alias("table_name"),
+        longs[0].alias("k1"),
+        longs[1].alias("k2"),
+        texts[0].alias("k3"),
+        null_key.alias("null_key"),
+    )
+
+
 def integrity_report(cat: Catalog, include_unique: bool = True) -> DataFrame:
     """One row per declared constraint: constraint_name, kind, table_name, violations.
 
-    Shuffles are shared: every table is grouped by its primary key once;
-    that grouping yields the key violations and, already hash-partitioned
-    by the key, serves as the parent side of all foreign keys pointing at
-    the table. The references of all children of one parent are unioned
-    (tagged with the constraint name) and anti-joined in a single join, so
-    a parent with many children (track has eleven) is not shuffled eleven
-    times. UNIQUE constraints on columns the catalog does not carry are
-    skipped.
+    Three set-wise passes over the whole catalog instead of one job per
+    constraint:
+
+    * primary keys: every table's key tuple in one union, one grouped count
+      (partial counts map-side, one shuffle); a group is a violation when
+      its key has a NULL part or occurs more than once;
+    * foreign keys: all non-NULL references, tagged with their constraint,
+      in one union, anti-joined in one join against the union of all parent
+      keys on (parent table, key);
+    * UNIQUE: one grouped count per declared column the catalog carries.
+
+    UNIQUE constraints on columns the catalog does not carry are skipped.
     """
     spark = cat.spark
     names = [t for t in TABLES if t in cat]
-    counts = {t: cat[t].groupBy(*PRIMARY_KEYS[t]).agg(F.count(F.lit(1)).alias("_n")) for t in names}
-    parts = []
-    meta = []
-    for t in names:
-        pk = list(PRIMARY_KEYS[t])
-        null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])
-        bad = counts[t].filter(null_key | (F.col("_n") > 1))
-        parts.append(bad.select(F.lit(f"{t}.pk").alias("constraint_name")))
-        meta.append((f"{t}.pk", "primary key", t))
+    meta = [(f"{t}.pk", "primary key", t) for t in names]
+
+    keys = reduce(DataFrame.unionByName, [_key_slots(cat, t) for t in names])
+    pk_groups = keys.groupBy("table_name", "k1", "k2", "k3").agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.col("null_key").cast("int")).alias("_null")
+    )
+    parts = [
+        pk_groups.filter((F.col("_null") == 1) | (F.col("_n") > 1)).select(
+            F.concat(F.col("table_name"), F.lit(".pk")).alias("constraint_name")
+        )
+    ]
+
     if include_unique:
         for table, column in UNIQUES:
             if table in cat and column in cat[table].columns:
                 name = f"{table}.{column}.unique"
                 parts.append(unique_violations(cat, table, column).select(F.lit(name).alias("constraint_name")))
                 meta.append((name, "unique", table))
-    by_parent: dict[tuple[str, str], list[ForeignKey]] = {}
-    for fk in FOREIGN_KEYS:
-        if fk.child in cat and fk.parent in cat:
-            by_parent.setdefault((fk.parent, fk.parent_column), []).append(fk)
-            meta.append((fk.name, "foreign key", fk.child))
-    for (parent, parent_column), fks in by_parent.items():
+
+    fks = [fk for fk in FOREIGN_KEYS if fk.child in cat and fk.parent in cat]
+    meta += [(fk.name, "foreign key", fk.child) for fk in fks]
+    if fks:
         refs = reduce(
             DataFrame.unionByName,
             [
                 cat[fk.child]
                 .filter(F.col(fk.column).isNotNull())
-                .select(F.lit(fk.name).alias("constraint_name"), F.col(fk.column).alias("_key"))
+                .select(
+                    F.lit(fk.name).alias("constraint_name"),
+                    F.lit(f"{fk.parent}.{fk.parent_column}").alias("_target"),
+                    F.col(fk.column).cast("bigint").alias("_key"),
+                )
                 for fk in fks
             ],
         )
-        if PRIMARY_KEYS[parent] == (parent_column,):
-            keys = counts[parent].select(F.col(parent_column).alias("_key"))
-        else:
-            keys = cat[parent].select(F.col(parent_column).alias("_key"))
-        parts.append(refs.join(keys, "_key", "left_anti").select("constraint_name"))
+        targets = sorted({(fk.parent, fk.parent_column) for fk in fks})
+        parent_keys = reduce(
+            DataFrame.unionByName,
+            [
+                cat[p].select(F.lit(f"{p}.{c}").alias("_target"), F.col(c).cast("bigint").alias("_key"))
+                for p, c in targets
+            ],
+        )
+        parts.append(refs.join(parent_keys, ["_target", "_key"], "left_anti").select("constraint_name"))
+
     found = reduce(DataFrame.unionByName, parts).groupBy("constraint_name").agg(F.count(F.lit(1)).alias("violations"))
-    # One row per declared constraint (65 rows of metadata, not data).
+    # One row per declared constraint (metadata, not data: 65 rows here).
     declared = spark.createDataFrame(meta, "constraint_name string, kind string, table_name string")
     return (
         declared.join(F.broadcast(found), "constraint_name", "left")
@@ -216,40 +256,39 @@ def cascade_delete(cat: Catalog, table: str, ids: KeySet) -> DeleteResult:
 
 
 def delete_summary(before: Catalog, result: DeleteResult) -> DataFrame:
-    """table_name, rows_before, rows_after, rows_deleted, rows_set_null per table."""
-
-    def tally(df: DataFrame, table: str, kind: str) -> DataFrame:
-        return df.groupBy().agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(table).alias("table_name"), F.lit(kind).alias("kind"), "n"
-        )
+    """table_name, rows_before, rows_after, rows_deleted, rows_set_null per table.
 
+    All counts come from one grouped count over a union of tagged scans
+    (tables the delete did not reach are counted once, after = before), so
+    the whole summary costs one shuffle of partial counts.
+    """
     parts = []
     for t in TABLES:
         if t not in before:
             continue
-        parts.append(tally(before[t], t, "before"))
+        parts.append(before[t].select(F.lit(t).alias("table_name"), F.lit("before").alias("kind")))
         if t in result.deleted:
-            parts.append(tally(result.catalog[t], t, "after"))
+            parts.append(result.catalog[t].select(F.lit(t).alias("table_name"), F.lit("after").alias("kind")))
         if t in result.nulled:
-            parts.append(tally(result.nulled[t], t, "set_null"))
-    long = reduce(DataFrame.unionByName, parts)
-
-    def pick(kind: str):
-        return F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).cast("bigint")
-
-    # Tables the delete did not reach are counted once (after = before).
-    after = F.max(F.when(F.col("kind") == "after", F.col("n")))
-    wide = long.groupBy("table_name").agg(
-        pick("before").alias("rows_before"),
-        F.coalesce(after, pick("before")).cast("bigint").alias("rows_after"),
-        pick("set_null").alias("rows_set_null"),
+            parts.append(result.nulled[t].select(F.lit(t).alias("table_name"), F.lit("set_null").alias("kind")))
+    tags = reduce(DataFrame.unionByName, parts)
+
+    def n(kind: str):
+        return F.count(F.when(F.col("kind") == kind, 1))
+
+    wide = tags.groupBy("table_name").agg(
+        n("before").alias("rows_before"),
+        n("after").alias("_after"),
+        F.max(F.when(F.col("kind") == "after", 1)).alias("_reached"),
+        n("set_null").alias("rows_set_null"),
     )
+    rows_after = F.when(F.col("_reached").isNotNull(), F.col("_after")).otherwise(F.col("rows_before"))
     return wide.select(
         "table_name",
-        "rows_before",
-        "rows_after",
-        (F.col("rows_before") - F.col("rows_after")).alias("rows_deleted"),
-        "rows_set_null",
+        F.col("rows_before").cast("bigint").alias("rows_before"),
+        rows_after.cast("bigint").alias("rows_after"),
+        (F.col("rows_before") - rows_after).cast("bigint").alias("rows_deleted"),
+        F.col("rows_set_null").cast("bigint").alias("rows_set_null"),
     ).orderBy(asc("table_name"))
 
 

@@ -19,40 +19,54 @@ from ..schemas import TABLES, schema
 
 
 def table_row_counts(cat: Catalog, tables: tuple[str, ...] | None = None) -> DataFrame:
-    """table_name, row_count; largest first (exact, not a planner estimate)."""
+    """table_name, row_count; largest first (exact, not a planner estimate).
+
+    Every table contributes only a constant tag column, so the scans read
+    no data columns (row counts come from Parquet metadata), and one grouped
+    count over the union does all tables with a single shuffle of at most
+    (tables x partitions) partial counts.
+    """
     names = [t for t in (tables or TABLES) if t in cat]
-    parts = [cat[t].groupBy().agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count") for t in names]
-    return reduce(DataFrame.unionByName, parts).orderBy(desc("row_count"), asc("table_name"))
+    tags = reduce(DataFrame.unionByName, [cat[t].select(F.lit(t).alias("table_name")) for t in names])
+    return tags.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count")).orderBy(
+        desc("row_count"), asc("table_name")
+    )
 
 
 def coverage_report(cat: Catalog, columns: dict[str, list[str]] | None = None) -> DataFrame:
     """table_name, column_name, row_count, non_null, coverage_pct (0-100, 2 places).
 
     ``columns`` maps table -> columns; default is every declared column of
-    every table. One pass per table: all counts of a table come from a
-    single aggregate, then ``stack`` turns the wide row into long rows.
+    every table. Each table is projected to a common shape (tag, one 0/1
+    "is present" flag per column slot) and the union is summed per tag in
+    one grouped aggregate (partial sums map-side, one shuffle for the whole
+    catalog); ``stack`` then turns each wide row into (slot, count) rows and
+    a broadcast join with the slot -> column-name metadata (one row per
+    profiled column) names them.
     """
     wanted = columns or {t: [f.name for f in schema(t).fields] for t in TABLES if t in cat}
+    wanted = {t: cols for t, cols in wanted.items() if cols}
+    width = max(len(cols) for cols in wanted.values())
+    slots = [f"nn_{i}" for i in range(width)]
     parts = []
     for table, cols in wanted.items():
-        if not cols:
-            continue
-        df = cat[table]
-        wide = df.groupBy().agg(
-            F.count(F.lit(1)).alias("row_count"), *[F.count(F.col(c)).alias(f"nn_{i}") for i, c in enumerate(cols)]
-        )
-        stack_args = ", ".join(f"'{c}', nn_{i}" for i, c in enumerate(cols))
-        long = wide.select(
-            F.lit(table).alias("table_name"),
-            "row_count",
-            F.expr(f"stack({len(cols)}, {stack_args}) AS (column_name, non_null)"),
-        )
-        parts.append(long)
-    out = reduce(DataFrame.unionByName, parts)
+        flags = [F.col(c).isNotNull().cast("long").alias(slots[i]) for i, c in enumerate(cols)]
+        pad = [F.lit(None).cast("long").alias(slots[i]) for i in range(len(cols), width)]
+        parts.append(cat[table].select(F.lit(table).alias("table_name"), *flags, *pad))
+    sums = reduce(DataFrame.unionByName, parts).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("row_count"), *[F.sum(c).alias(c) for c in slots]
+    )
+    stack_args = ", ".join(f"{i}, {c}" for i, c in enumerate(slots))
+    long = sums.select("table_name", "row_count", F.expr(f"stack({width}, {stack_args}) AS (slot, non_null)"))
+    meta = cat.spark.createDataFrame(
+        [(t, i, c) for t, cols in wanted.items() for i, c in enumerate(cols)],
+        "table_name string, slot int, column_name string",
+    )
+    out = long.join(F.broadcast(meta), ["table_name", "slot"])
     return out.select(
         "table_name",
         "column_name",
         "row_count",
-        F.col("non_null").cast("bigint").alias("non_null"),
-        avg2(F.col("non_null") * 100, "row_count").alias("coverage_pct"),
+        F.coalesce(F.col("non_null"), F.lit(0)).cast("bigint").alias("non_null"),
+        avg2(F.coalesce(F.col("non_null"), F.lit(0)) * 100, "row_count").alias("coverage_pct"),
     ).orderBy(asc("table_name"), asc("column_name"))
