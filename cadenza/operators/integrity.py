@@ -229,9 +229,10 @@ def cascade_delete(cat: Catalog, table: str, ids: KeySet) -> DeleteResult:
             gone = reduce(
                 DataFrame.unionByName,
                 [df.join(keys, column, "left_semi").select(*t_pk) for column, keys in doomed_conds],
-            ).distinct()
-            deleted[t] = gone
+            )
+            deleted[t] = gone.distinct()
             if t in parents_of_something and len(t_pk) == 1:
+                # Semi/anti joins downstream need no distinct keys: skip that shuffle.
                 doomed_keys[t] = gone.select(F.col(t_pk[0]).alias("key"))
             df = survivors
         new_tables[t] = df
@@ -241,7 +242,7 @@ def cascade_delete(cat: Catalog, table: str, ids: KeySet) -> DeleteResult:
         if fk.on_delete != "set_null" or fk.parent not in doomed_keys or fk.child not in new_tables:
             continue
         child = new_tables[fk.child]
-        marks = doomed_keys[fk.parent].select(F.col("key").alias(fk.column), F.lit(True).alias("_gone"))
+        marks = doomed_keys[fk.parent].distinct().select(F.col("key").alias(fk.column), F.lit(True).alias("_gone"))
         marked = child.join(marks, fk.column, "left")
         nulled[fk.child] = marked.filter(F.col("_gone")).select(*PRIMARY_KEYS[fk.child])
         new_tables[fk.child] = marked.select(
