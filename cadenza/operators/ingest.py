@@ -41,8 +41,20 @@ def _date(value: dt.date | str | None) -> Column:
 
 
 def _exists(df: DataFrame, column: str, parent: DataFrame, parent_column: str, flag: str) -> DataFrame:
-    """Add boolean ``flag``: does ``column`` have a row in ``parent``?"""
-    keys = parent.select(F.col(parent_column).alias(column)).distinct().withColumn(flag, F.lit(True))
+    """Add boolean ``flag``: does ``column`` have a row in ``parent``?
+
+    The parent's key column is first cut to the keys the batch asks for (a
+    semi join whose small side, the batch, AQE can broadcast), so a batch
+    never shuffles the whole catalog table; the matched keys, at most one
+    per requested key, are then left-joined back.
+    """
+    asked = df.select(column)
+    keys = (
+        parent.select(F.col(parent_column).alias(column))
+        .join(asked, column, "left_semi")
+        .distinct()
+        .withColumn(flag, F.lit(True))
+    )
     return df.join(keys, column, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
@@ -180,7 +192,13 @@ def playlist_add(cat: Catalog, requests: DataFrame, batch_ts: dt.datetime | str
     req = requests.select("request_id", "playlist_id", "track_id")
     req = _exists(req, "playlist_id", cat.playlist, "playlist_id", "_pl_ok")
     req = _exists(req, "track_id", cat.track, "track_id", "_tr_ok")
-    present = cat.playlist_track.select("playlist_id", "track_id").withColumn("_present", F.lit(True))
+    # Only the pairs this batch asks for are looked up in playlist_track.
+    present = (
+        cat.playlist_track.select("playlist_id", "track_id")
+        .join(requests.select("playlist_id", "track_id"), ["playlist_id", "track_id"], "left_semi")
+        .distinct()
+        .withColumn("_present", F.lit(True))
+    )
     req = req.join(present, ["playlist_id", "track_id"], "left")
     # First request per pair: a partial aggregate (a pair requested very
     # often is combined map-side), not a window over the whole group.

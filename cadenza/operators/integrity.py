@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import Catalog
+from ..plans.union import union_all
 from ..functions.ordering import asc
 from ..plans.keys import KeySet, restrict
-from ..schemas import FOREIGN_KEYS, PRIMARY_KEYS, TABLES, UNIQUES, ForeignKey
+from ..schemas import FOREIGN_KEYS, PRIMARY_KEYS, TABLES, UNIQUES, ForeignKey, schema
 
 
 def pk_violations(cat: Catalog, table: str) -> DataFrame:
@@ -64,9 +65,10 @@ def _key_slots(cat: Catalog, table: str) -> DataFrame:
     """
     df = cat[table]
     pk = list(PRIMARY_KEYS[table])
+    declared = schema(table)  # declared types: no round trip to the JVM for the plan's schema
     longs, texts = [], []
     for c in pk:
-        if df.schema[c].dataType.simpleString() == "string":
+        if declared[c].dataType.simpleString() == "string":
             texts.append(F.col(c))
         else:
             longs.append(F.col(c).cast("bigint"))
@@ -102,7 +104,7 @@ def integrity_report(cat: Catalog, include_unique: bool = True) -> DataFrame:
     names = [t for t in TABLES if t in cat]
     meta = [(f"{t}.pk", "primary key", t) for t in names]
 
-    keys = reduce(DataFrame.unionByName, [_key_slots(cat, t) for t in names])
+    keys = union_all([_key_slots(cat, t) for t in names])
     pk_groups = keys.groupBy("table_name", "k1", "k2", "k3").agg(
         F.count(F.lit(1)).alias("_n"), F.max(F.col("null_key").cast("int")).alias("_null")
     )
@@ -122,8 +124,7 @@ def integrity_report(cat: Catalog, include_unique: bool = True) -> DataFrame:
     fks = [fk for fk in FOREIGN_KEYS if fk.child in cat and fk.parent in cat]
     meta += [(fk.name, "foreign key", fk.child) for fk in fks]
     if fks:
-        refs = reduce(
-            DataFrame.unionByName,
+        refs = union_all(
             [
                 cat[fk.child]
                 .filter(F.col(fk.column).isNotNull())
@@ -133,19 +134,15 @@ def integrity_report(cat: Catalog, include_unique: bool = True) -> DataFrame:
                     F.col(fk.column).cast("bigint").alias("_key"),
                 )
                 for fk in fks
-            ],
+            ]
         )
         targets = sorted({(fk.parent, fk.parent_column) for fk in fks})
-        parent_keys = reduce(
-            DataFrame.unionByName,
-            [
-                cat[p].select(F.lit(f"{p}.{c}").alias("_target"), F.col(c).cast("bigint").alias("_key"))
-                for p, c in targets
-            ],
+        parent_keys = union_all(
+            [cat[p].select(F.lit(f"{p}.{c}").alias("_target"), F.col(c).cast("bigint").alias("_key")) for p, c in targets]
         )
         parts.append(refs.join(parent_keys, ["_target", "_key"], "left_anti").select("constraint_name"))
 
-    found = reduce(DataFrame.unionByName, parts).groupBy("constraint_name").agg(F.count(F.lit(1)).alias("violations"))
+    found = union_all(parts).groupBy("constraint_name").agg(F.count(F.lit(1)).alias("violations"))
     # One row per declared constraint (metadata, not data: 65 rows here).
     declared = spark.createDataFrame(meta, "constraint_name string, kind string, table_name string")
     return (
@@ -226,10 +223,7 @@ def cascade_delete(cat: Catalog, table: str, ids: KeySet) -> DeleteResult:
             for column, keys in doomed_conds:
                 survivors = survivors.join(keys, column, "left_anti")
             survivors = survivors.select(*df.columns)
-            gone = reduce(
-                DataFrame.unionByName,
-                [df.join(keys, column, "left_semi").select(*t_pk) for column, keys in doomed_conds],
-            )
+            gone = union_all([df.join(keys, column, "left_semi").select(*t_pk) for column, keys in doomed_conds])
             deleted[t] = gone.distinct()
             if t in parents_of_something and len(t_pk) == 1:
                 # Semi/anti joins downstream need no distinct keys: skip that shuffle.
@@ -272,7 +266,7 @@ def delete_summary(before: Catalog, result: DeleteResult) -> DataFrame:
             parts.append(result.catalog[t].select(F.lit(t).alias("table_name"), F.lit("after").alias("kind")))
         if t in result.nulled:
             parts.append(result.nulled[t].select(F.lit(t).alias("table_name"), F.lit("set_null").alias("kind")))
-    tags = reduce(DataFrame.unionByName, parts)
+    tags = union_all(parts)
 
     def n(kind: str):
         return F.count(F.when(F.col("kind") == kind, 1))

@@ -7,12 +7,11 @@ per table (no shuffle of table rows).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import Catalog
+from ..plans.union import union_all
 from ..functions.aggregates import avg2
 from ..functions.ordering import asc, desc
 from ..schemas import TABLES, schema
@@ -27,7 +26,7 @@ def table_row_counts(cat: Catalog, tables: tuple[str, ...] | None = None) -> Dat
     (tables x partitions) partial counts.
     """
     names = [t for t in (tables or TABLES) if t in cat]
-    tags = reduce(DataFrame.unionByName, [cat[t].select(F.lit(t).alias("table_name")) for t in names])
+    tags = union_all([cat[t].select(F.lit(t).alias("table_name")) for t in names])
     return tags.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count")).orderBy(
         desc("row_count"), asc("table_name")
     )
@@ -53,7 +52,7 @@ def coverage_report(cat: Catalog, columns: dict[str, list[str]] | None = None) -
         flags = [F.col(c).isNotNull().cast("long").alias(slots[i]) for i, c in enumerate(cols)]
         pad = [F.lit(None).cast("long").alias(slots[i]) for i in range(len(cols), width)]
         parts.append(cat[table].select(F.lit(table).alias("table_name"), *flags, *pad))
-    sums = reduce(DataFrame.unionByName, parts).groupBy("table_name").agg(
+    sums = union_all(parts).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("row_count"), *[F.sum(c).alias(c) for c in slots]
     )
     stack_args = ", ".join(f"{i}, {c}" for i, c in enumerate(slots))
