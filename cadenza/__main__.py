@@ -5,7 +5,11 @@
     python -m cadenza --catalog /data/catalog track_detail --ids 1 2 3 --out /data/out/detail
 
 Non-interactive counterpart of a menu-driven client: every read operator is
-a sub-command; ``--ids`` takes one or more keys (omit for all keys).
+a sub-command; ``--ids`` takes one or more keys (omit for all keys). Write
+jobs read a request file and write their outputs (new rows, rejects) under
+``--out``:
+
+    python -m cadenza --catalog /data/catalog ingest_reviews --requests reqs.csv --out /data/batch-7
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from .operators import credits, discovery, profile, reports, search
+from .operators import credits, discovery, ingest, integrity, profile, reports, search
 
 SEARCHES = {
     "search_tracks": search.search_tracks,
@@ -55,6 +59,32 @@ REPORTS = {
 }
 
 
+WRITES = ("ingest_reviews", "ingest_playlists", "playlist_add", "playlist_remove", "apply_playlist_changes")
+
+
+def _read_requests(spark, path: str):
+    if path.endswith(".csv"):
+        return spark.read.option("header", "true").option("inferSchema", "true").csv(path)
+    return spark.read.parquet(path)
+
+
+def _write_job(cat, op: str, requests) -> dict:
+    """Run one write job; returns output name -> DataFrame."""
+    if op == "ingest_reviews":
+        b = ingest.ingest_reviews(cat, requests)
+        return {"review": b.review, "written_by": b.written_by, "gets": b.gets, "rejects": b.rejects}
+    if op == "ingest_playlists":
+        b = ingest.ingest_playlists(cat, requests)
+        return {"playlist": b.playlist, "makes": b.makes, "rejects": b.rejects}
+    if op == "playlist_add":
+        b = ingest.playlist_add(cat, requests)
+        return {"playlist_track": b.added, "rejects": b.rejects}
+    if op == "playlist_remove":
+        b = ingest.playlist_remove(cat, requests)
+        return {"playlist_track": b.remaining, "removed": b.removed, "rejects": b.rejects}
+    return {"playlist_track": ingest.apply_playlist_changes(cat, requests)}
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m cadenza")
     src = p.add_mutually_exclusive_group(required=True)
@@ -64,6 +94,15 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--out", default=None, help="write Parquet here instead of printing")
     p.add_argument("--rows", type=int, default=50, help="rows to print")
     sub = p.add_subparsers(dest="op", required=True)
+    add = sub.add_parser
+
+    def add_parser(name, **kw):
+        # --out is accepted after the sub-command too.
+        sp = add(name, **kw)
+        sp.add_argument("--out", dest="sub_out", default=None, help=argparse.SUPPRESS)
+        return sp
+
+    sub.add_parser = add_parser
     for name in SEARCHES:
         s = sub.add_parser(name)
         s.add_argument("--term", default="")
@@ -85,6 +124,10 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--mode", default=None)
     sub.add_parser("table_row_counts")
     sub.add_parser("coverage_report")
+    sub.add_parser("integrity_report")
+    for name in WRITES:
+        s = sub.add_parser(name, help="batch write job; outputs go to --out/<table>")
+        s.add_argument("--requests", required=True, help="request file/folder (.csv with header, else Parquet)")
     return p
 
 
@@ -102,6 +145,13 @@ def main(argv: list[str] | None = None) -> int:
 
         cat = from_testdata(spark, args.testdata)
     op = args.op
+    args.out = getattr(args, "sub_out", None) or args.out
+    if op in WRITES:
+        if not args.out:
+            raise SystemExit("write jobs need --out (a folder; one Parquet folder per output)")
+        for name, df in _write_job(cat, op, _read_requests(spark, args.requests)).items():
+            df.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
+        return 0
     if op in SEARCHES:
         df = SEARCHES[op](cat, args.term, args.limit)
     elif op in DETAILS:
@@ -115,6 +165,8 @@ def main(argv: list[str] | None = None) -> int:
         df = discovery.tracks_by_audio(cat, args.bpm_lo, args.bpm_hi, args.key, args.mode)
     elif op == "table_row_counts":
         df = profile.table_row_counts(cat)
+    elif op == "integrity_report":
+        df = integrity.integrity_report(cat)
     else:
         df = profile.coverage_report(cat)
     if args.out:

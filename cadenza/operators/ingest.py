@@ -26,6 +26,23 @@ PUBLIC_ANSWERS = ("yes", "y", "true")
 
 REVIEW_REQUEST_COLUMNS = ("request_id", "consumer_id", "track_id", "rating", "review_text")
 PLAYLIST_REQUEST_COLUMNS = ("request_id", "user_id", "name", "description", "public")
+REQUEST_TYPES = {
+    "request_id": "bigint",
+    "consumer_id": "bigint",
+    "user_id": "bigint",
+    "track_id": "bigint",
+    "playlist_id": "bigint",
+    "rating": "int",
+    "review_text": "string",
+    "name": "string",
+    "description": "string",
+    "public": "string",
+}
+
+
+def _requests(df: DataFrame, columns) -> DataFrame:
+    """The request columns, cast to the catalog's types (CSV inference may differ)."""
+    return df.select(*[F.col(c).cast(REQUEST_TYPES[c]).alias(c) for c in columns])
 
 
 def _ts(value: dt.datetime | str | None) -> Column:
@@ -86,7 +103,7 @@ def validate_review_requests(cat: Catalog, requests: DataFrame, rating_range: tu
     ``rating_range``, the consumer exists.
     """
     lo, hi = rating_range
-    req = requests.select(*REVIEW_REQUEST_COLUMNS)
+    req = _requests(requests, REVIEW_REQUEST_COLUMNS)
     req = _exists(req, "track_id", cat.track, "track_id", "_track_ok")
     req = _exists(req, "consumer_id", cat.consumer, "user_id", "_consumer_ok")
     rating_ok = F.coalesce(F.col("rating").between(lo, hi), F.lit(False))
@@ -153,7 +170,7 @@ def ingest_playlists(
     Empty descriptions become NULL; ``public`` reads yes/y/true (any case)
     as public, a missing answer as the default "yes".
     """
-    req = requests.select(*PLAYLIST_REQUEST_COLUMNS)
+    req = _requests(requests, PLAYLIST_REQUEST_COLUMNS)
     req = _exists(req, "user_id", cat.users, "user_id", "_user_ok")
     name_ok = F.coalesce(F.col("name") != "", F.lit(False))
     checked = req.withColumn(
@@ -189,7 +206,8 @@ def playlist_add(cat: Catalog, requests: DataFrame, batch_ts: dt.datetime | str
     or a repeat of an earlier request for the same pair in this batch.
     ``requests`` has request_id, playlist_id, track_id.
     """
-    req = requests.select("request_id", "playlist_id", "track_id")
+    requests = _requests(requests, ("request_id", "playlist_id", "track_id"))
+    req = requests
     req = _exists(req, "playlist_id", cat.playlist, "playlist_id", "_pl_ok")
     req = _exists(req, "track_id", cat.track, "track_id", "_tr_ok")
     # Only the pairs this batch asks for are looked up in playlist_track.
