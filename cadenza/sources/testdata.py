@@ -8,6 +8,8 @@ generated from this very dict (``with_clause``).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..catalog import Catalog
@@ -178,15 +180,28 @@ def register_sources(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] =
     return sources
 
 
+_SOURCE_NAME = re.compile(r"\b(" + "|".join(SOURCE_TABLES) + r")\b")
+
+
+def _bound_sql(sql: str) -> str:
+    """The mapping text with each source table name turned into a ``{name}`` slot."""
+    return _SOURCE_NAME.sub(lambda m: "{" + m.group(1) + "}", sql)
+
+
 def from_testdata(spark: SparkSession, sf_dir: str) -> Catalog:
     """Map the driver tables in ``sf_dir`` onto the 27 catalog tables.
 
-    Each catalog table is a lazily evaluated DataFrame. ``spark.sql`` analyses
-    the text at once, so the catalog keeps pointing at ``sf_dir`` even if the
-    temp views are re-registered for another directory later.
+    Each catalog table is a lazily evaluated DataFrame. The source tables are
+    bound to the SQL text as DataFrame arguments of ``spark.sql`` rather than
+    as session-wide temp views, so catalogs of several folders (or several
+    threads) never see each other's tables.
     """
-    sources = register_sources(spark, sf_dir)
-    return Catalog({name: conform(name, spark.sql(sql)) for name, sql in MAPPING_SQL.items()}, sources)
+    sources = read_sources(spark, sf_dir)
+    tables = {}
+    for name, sql in MAPPING_SQL.items():
+        used = {t: sources[t] for t in set(_SOURCE_NAME.findall(sql))}
+        tables[name] = conform(name, spark.sql(_bound_sql(sql), **used))
+    return Catalog(tables, sources)
 
 
 def with_clause(tables: list[str] | tuple[str, ...] | None = None) -> str:
