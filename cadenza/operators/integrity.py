@@ -95,7 +95,9 @@ def integrity_report(cat: Catalog, include_unique: bool = True) -> DataFrame:
       its key has a NULL part or occurs more than once;
     * foreign keys: all non-NULL references, tagged with their constraint,
       in one union, anti-joined in one join against the union of all parent
-      keys on (parent table, key);
+      keys on (parent table, key). A child with two foreign keys appears in
+      two union branches, but column pruning makes each branch read only its
+      own key column, so no column is read twice;
     * UNIQUE: one grouped count per declared column the catalog carries.
 
     UNIQUE constraints on columns the catalog does not carry are skipped.
