@@ -94,10 +94,9 @@ def integrity_report(cat: Catalog, include_unique: bool = True) -> DataFrame:
       (partial counts map-side, one shuffle); a group is a violation when
       its key has a NULL part or occurs more than once;
     * foreign keys: all non-NULL references, tagged with their constraint,
-      in one union, anti-joined in one join against the union of all parent
-      keys on (parent table, key). A child with two foreign keys appears in
-      two union branches, but column pruning makes each branch read only its
-      own key column, so no column is read twice;
+      in one union (each child table scanned once for all of its foreign
+      keys), anti-joined in one join against the union of all parent keys on
+      (parent table, key);
     * UNIQUE: one grouped count per declared column the catalog carries.
 
     UNIQUE constraints on columns the catalog does not carry are skipped.
@@ -126,18 +125,26 @@ def integrity_report(cat: Catalog, include_unique: bool = True) -> DataFrame:
     fks = [fk for fk in FOREIGN_KEYS if fk.child in cat and fk.parent in cat]
     meta += [(fk.name, "foreign key", fk.child) for fk in fks]
     if fks:
-        refs = union_all(
-            [
-                cat[fk.child]
-                .filter(F.col(fk.column).isNotNull())
-                .select(
-                    F.lit(fk.name).alias("constraint_name"),
-                    F.lit(f"{fk.parent}.{fk.parent_column}").alias("_target"),
-                    F.col(fk.column).cast("bigint").alias("_key"),
-                )
-                for fk in fks
-            ]
-        )
+        # One scan per child table: all of its references leave the scan
+        # together as an array of (constraint, target, key) and are exploded,
+        # so a child with two foreign keys opens its files once, not twice.
+        by_child: dict[str, list[ForeignKey]] = {}
+        for fk in fks:
+            by_child.setdefault(fk.child, []).append(fk)
+        branches = []
+        for child, child_fks in by_child.items():
+            tagged = F.array(
+                *[
+                    F.struct(
+                        F.lit(fk.name).alias("constraint_name"),
+                        F.lit(f"{fk.parent}.{fk.parent_column}").alias("_target"),
+                        F.col(fk.column).cast("bigint").alias("_key"),
+                    )
+                    for fk in child_fks
+                ]
+            )
+            branches.append(cat[child].select(F.explode(tagged).alias("_ref")).select("_ref.*"))
+        refs = union_all(branches).filter(F.col("_key").isNotNull())
         targets = sorted({(fk.parent, fk.parent_column) for fk in fks})
         parent_keys = union_all(
             [cat[p].select(F.lit(f"{p}.{c}").alias("_target"), F.col(c).cast("bigint").alias("_key")) for p, c in targets]
