@@ -50,8 +50,10 @@ def top_rated_tracks(
         raise ValueError(f"count_mode must be one of {COUNT_MODES}")
     totals = rating_totals(cat)
     # JOIN Track: ratings of unknown tracks do not count. Only the key column
-    # of the dimension is shuffled here; titles are fetched for the top-k.
-    totals = totals.join(cat.track.select("track_id"), "track_id", "left_semi")
+    # of the dimension takes part; titles are fetched for the top-k. An inner
+    # join with the distinct keys, because a semi join would be pushed below
+    # the aggregate and shuffle raw ratings instead of per-track partials.
+    totals = totals.join(cat.track.select("track_id").distinct(), "track_id")
     if count_mode == "joined":
         credits = cat.track_artist.groupBy("track_id").agg(F.count(F.lit(1)).alias("credit_rows"))
         totals = totals.join(credits, "track_id", "left")
