@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 KeySet = Union[None, int, Iterable[int], DataFrame]
 
 # Largest row count we broadcast on the strength of a static bound alone
-# (e.g. the ``limit`` of a top-k). Rows here are a few narrow columns, so
-# this stays far below the broadcast size limit of any executor.
-BROADCAST_ROW_BOUND = 1_000_000
+# (e.g. the ``limit`` of a top-k). Top-k rows carry a handful of columns
+# (~100 bytes), so the bound caps a hinted broadcast near 10 MB; a larger
+# limit gets no hint and the planner / AQE choose from measured sizes.
+BROADCAST_ROW_BOUND = 100_000
 
 
 def is_single(ids: KeySet) -> bool:

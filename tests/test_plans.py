@@ -45,3 +45,14 @@ def test_integrity_report_is_a_few_passes(make_catalog):
     cat = make_catalog()
     # PK group-by, orphan join (two sides), violation count, final sort.
     assert _shuffles(integrity.integrity_report(cat)) <= 6
+
+
+def test_broadcast_hint_only_within_bound(spark):
+    from cadenza.plans.keys import BROADCAST_ROW_BOUND, bounded_broadcast
+
+    df = spark.range(10)
+    hinted = bounded_broadcast(df, 10)._jdf.queryExecution().logical().toString()
+    unhinted = bounded_broadcast(df, BROADCAST_ROW_BOUND + 1)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in hinted.lower()
+    assert "broadcast" not in unhinted.lower()
+    assert "broadcast" not in bounded_broadcast(df, None)._jdf.queryExecution().logical().toString().lower()
