@@ -285,19 +285,24 @@ def delete_summary(before: Catalog, result: DeleteResult) -> DataFrame:
     def n(kind: str):
         return F.count(F.when(F.col("kind") == kind, 1))
 
-    wide = tags.groupBy("table_name").agg(
-        n("before").alias("rows_before"),
+    grouped = tags.groupBy("table_name").agg(
+        n("before").alias("_before"),
         n("after").alias("_after"),
-        F.max(F.when(F.col("kind") == "after", 1)).alias("_reached"),
-        n("set_null").alias("rows_set_null"),
+        n("set_null").alias("_set_null"),
     )
-    rows_after = F.when(F.col("_reached").isNotNull(), F.col("_after")).otherwise(F.col("rows_before"))
+    # Empty tables have no group: start from the table list (metadata).
+    names = [t for t in TABLES if t in before]
+    reached = [t for t in names if t in result.deleted]
+    listed = before.spark.createDataFrame([(t, t in reached) for t in names], "table_name string, _reached boolean")
+    wide = listed.join(F.broadcast(grouped), "table_name", "left")
+    rows_before = F.coalesce(F.col("_before"), F.lit(0))
+    rows_after = F.when(F.col("_reached"), F.coalesce(F.col("_after"), F.lit(0))).otherwise(rows_before)
     return wide.select(
         "table_name",
-        F.col("rows_before").cast("bigint").alias("rows_before"),
+        rows_before.cast("bigint").alias("rows_before"),
         rows_after.cast("bigint").alias("rows_after"),
-        (F.col("rows_before") - rows_after).cast("bigint").alias("rows_deleted"),
-        F.col("rows_set_null").cast("bigint").alias("rows_set_null"),
+        (rows_before - rows_after).cast("bigint").alias("rows_deleted"),
+        F.coalesce(F.col("_set_null"), F.lit(0)).cast("bigint").alias("rows_set_null"),
     ).orderBy(asc("table_name"))
 
 

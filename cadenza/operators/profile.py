@@ -14,7 +14,7 @@ from ..catalog import Catalog
 from ..plans.union import union_all
 from ..functions.aggregates import avg2
 from ..functions.ordering import asc, desc
-from ..schemas import TABLES, schema
+from ..schemas import TABLES, optional_schema, schema
 
 
 def table_row_counts(cat: Catalog, tables: tuple[str, ...] | None = None) -> DataFrame:
@@ -27,8 +27,14 @@ def table_row_counts(cat: Catalog, tables: tuple[str, ...] | None = None) -> Dat
     """
     names = [t for t in (tables or TABLES) if t in cat]
     tags = union_all([cat[t].select(F.lit(t).alias("table_name")) for t in names])
-    return tags.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count")).orderBy(
-        desc("row_count"), asc("table_name")
+    counts = tags.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
+    # An empty table yields no group: report it from the table list (one
+    # row per table, metadata) with 0.
+    listed = cat.spark.createDataFrame([(t,) for t in names], "table_name string")
+    return (
+        listed.join(F.broadcast(counts), "table_name", "left")
+        .select("table_name", F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"))
+        .orderBy(desc("row_count"), asc("table_name"))
     )
 
 
@@ -36,14 +42,23 @@ def coverage_report(cat: Catalog, columns: dict[str, list[str]] | None = None) -
     """table_name, column_name, row_count, non_null, coverage_pct (0-100, 2 places).
 
     ``columns`` maps table -> columns; default is every declared column of
-    every table. Each table is projected to a common shape (tag, one 0/1
+    every table plus the optional ones (external ids, bios) the table carries. Each table is projected to a common shape (tag, one 0/1
     "is present" flag per column slot) and the union is summed per tag in
     one grouped aggregate (partial sums map-side, one shuffle for the whole
     catalog); ``stack`` then turns each wide row into (slot, count) rows and
     a broadcast join with the slot -> column-name metadata (one row per
     profiled column) names them.
     """
-    wanted = columns or {t: [f.name for f in schema(t).fields] for t in TABLES if t in cat}
+    if columns is None:
+        columns = {}
+        for t in TABLES:
+            if t in cat:
+                extra = optional_schema(t)
+                present = set(cat[t].columns) if extra else set()
+                columns[t] = [f.name for f in schema(t).fields] + [
+                    f.name for f in (extra.fields if extra else []) if f.name in present
+                ]
+    wanted = columns
     wanted = {t: cols for t, cols in wanted.items() if cols}
     width = max(len(cols) for cols in wanted.values())
     slots = [f"nn_{i}" for i in range(width)]
@@ -61,11 +76,13 @@ def coverage_report(cat: Catalog, columns: dict[str, list[str]] | None = None) -
         [(t, i, c) for t, cols in wanted.items() for i, c in enumerate(cols)],
         "table_name string, slot int, column_name string",
     )
-    out = long.join(F.broadcast(meta), ["table_name", "slot"])
+    # Left join from the column list: an empty table has no group, and its
+    # columns are reported with 0 rows.
+    out = meta.join(F.broadcast(long), ["table_name", "slot"], "left")
     return out.select(
         "table_name",
         "column_name",
-        "row_count",
+        F.coalesce(F.col("row_count"), F.lit(0)).cast("bigint").alias("row_count"),
         F.coalesce(F.col("non_null"), F.lit(0)).cast("bigint").alias("non_null"),
-        avg2(F.coalesce(F.col("non_null"), F.lit(0)) * 100, "row_count").alias("coverage_pct"),
+        avg2(F.coalesce(F.col("non_null"), F.lit(0)) * 100, F.coalesce(F.col("row_count"), F.lit(0))).alias("coverage_pct"),
     ).orderBy(asc("table_name"), asc("column_name"))

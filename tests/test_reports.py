@@ -134,3 +134,27 @@ def test_negative_limit_is_an_error(make_catalog):
     cat = _fanout_catalog(make_catalog, 1)
     with pytest.raises(Exception):
         rows(reports.top_rated_tracks(cat, limit=-1))
+
+
+def test_coverage_includes_present_optional_columns(spark):
+    from cadenza.catalog import Catalog
+    from cadenza.operators import profile
+    from cadenza.schemas import TABLES, schema
+
+    tables = {t: spark.createDataFrame([], schema(t)) for t in TABLES}
+    tables["label"] = spark.createDataFrame(
+        [(1, "L1", None, None, "https://x", "g1"), (2, "L2", None, None, None, None)],
+        "label_id long, name string, country string, founded_year int, website string, mb_label_gid string",
+    )
+    got = {(r[0], r[1]): (r[2], r[3], r[4]) for r in rows(profile.coverage_report(Catalog(tables)))}
+    assert got[("label", "website")] == (2, 1, D("50.00"))
+    assert got[("label", "mb_label_gid")] == (2, 1, D("50.00"))
+    assert got[("track", "bpm")] == (0, 0, None)
+
+
+def test_row_counts_report_empty_tables(make_catalog):
+    from cadenza.operators import profile
+
+    cat = make_catalog(genre=[(1, "Rock", None, None)])
+    got = dict(rows(profile.table_row_counts(cat)))
+    assert got["genre"] == 1 and got["track"] == 0 and len(got) == 27
