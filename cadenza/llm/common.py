@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 #: Entries a worker keeps in a memo before it starts afresh (memory bound, never a result bound).
-MEMO_ENTRIES = 700_000
+MEMO_ENTRIES = 1_200_000
+#: Characters of text whose chunks are looked up together.
+GROUP_CHARS = 4_000_000
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -59,6 +61,7 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
+_TWO = re.compile(r"\s\s")
 _RUN = re.compile(r"\s{2,}")
 _ODD = re.compile(r"[\x1c-\x1f]")
 
@@ -69,10 +72,12 @@ class MemoEncoder:
     The pre-tokenizer of byte-level BPE always starts a new piece at a single
     space before a non-space, so a text without whitespace runs is the
     concatenation of its space-led chunks, and each distinct chunk is encoded
-    by the library once per worker (new chunks of a text in one call; a token
-    that begins with a space begins a chunk). Of a whitespace run before a
-    non-space all but the last character form one piece. Python's ``\\s`` also
-    holds \\x1c-\\x1f, which the library does not: such texts go to it whole.
+    by the library once per worker (many new chunks in one call; a token that
+    begins with a space begins a chunk). Likewise a full stop or comma after a
+    letter is a piece of its own at the end of a chunk. Of a whitespace run
+    before a non-space all but the last character form one piece. Python's
+    ``\\s`` also holds \\x1c-\\x1f, which the library does not: such texts go
+    to it whole.
     """
 
     def __init__(self, path: str, entries: int = MEMO_ENTRIES):
@@ -87,50 +92,83 @@ class MemoEncoder:
         self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True  # byte-level form of a space
         self.entries = entries
-        self.inner: dict[str, bytes] = {}  # chunk after a space -> ids of " " + chunk
-        self.first: dict[str, bytes] = {}  # chunk at a start
+        self.memo: dict[str, bytes] = {}  # chunk after a space -> ids of " " + chunk
+        self.marks = {x: self._library([x])[0] for x in ".,"}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        ids = np.array(self.tokenizer.encode(" " + " ".join(chunks), add_special_tokens=False).ids, dtype="<u4")
-        cuts = np.flatnonzero(self.spaced[ids]) * 4
-        raw, ends = ids.tobytes(), [*cuts[1:].tolist(), 4 * len(ids)]
-        return [raw[a:b] for a, b in zip(cuts.tolist(), ends, strict=True)]
-
-    def _plain(self, text: str) -> bytes:
-        head, *rest = text.split(" ")
-        if head not in self.first:
-            if len(self.first) >= self.entries:
-                self.first.clear()
-            self.first[head] = self._library([head])[0] if head else b""
-        try:
-            return self.first[head] + b"".join(map(self.inner.__getitem__, rest))
-        except KeyError:
-            if len(self.inner) >= self.entries:
-                self.inner.clear()
-            new = [x for x in dict.fromkeys(rest) if x not in self.inner]
-            tail = [x for x in new if not x]  # a space at the very end of a text
-            new = [x for x in new if x]
-            self.inner.update(zip(tail, self._library([" "] * len(tail))))
-            if new:
-                self.inner.update(zip(new, self._chunks(new), strict=True))
-            return self.first[head] + b"".join(map(self.inner.__getitem__, rest))
-
-    def encode(self, text: str) -> bytes:
+    def _learn(self, new: set[str]) -> None:
+        """Add chunks to the memo."""
+        if len(self.memo) + len(new) > self.entries:
+            self.memo.clear()
+        memo, marked, bare = self.memo, [], set()
+        for x in new:
+            if x[-1:] in self.marks and x[-2:-1] < "\u0250" and x[-2:-1].isalpha():
+                marked.append(x)
+                if x[:-1] not in memo:
+                    bare.add(x[:-1])
+            else:
+                bare.add(x)
+        if "" in bare:  # a space at the very end of a text
+            bare.remove("")
+            memo[""] = self._library([" "])[0]
+        chunks = list(bare)
+        for at in range(0, len(chunks), 1000):
+            part = chunks[at : at + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            raw, cuts = ids.tobytes(), (4 * np.flatnonzero(self.spaced[ids])).tolist()
+            memo.update(zip(part, map(raw.__getitem__, map(slice, cuts, [*cuts[1:], len(raw)])), strict=True))
+        memo.update((x, memo[x[:-1]] + self.marks[x[-1]]) for x in marked)
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text. Texts are taken in groups whose distinct chunks fit the memo."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            stop, size = at, 0
+            while stop < len(texts) and (stop == at or size + len(texts[stop]) <= GROUP_CHARS):
+                size += len(texts[stop])
+                stop += 1
+            out += self._group(texts[at:stop])
+            at = stop
+        return out
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        pieces = [self._parts(t) for t in texts]
+        new = set().union(*(chunks for parts in pieces for _, chunks in parts))
+        new = new.difference(self.memo)
+        if new:
+            if len(self.memo) + len(new) > self.entries:  # the memo starts afresh: all chunks of the group are needed again
+                new = set().union(*(chunks for parts in pieces for _, chunks in parts))
+            self._learn(new)
+        known = self.memo.__getitem__
+        return [b"".join([x for head, chunks in parts for x in (head, *map(known, chunks))]) for parts in pieces]
+
+    def _parts(self, text: str) -> list[tuple[bytes, list[str]]]:
+        """(ids of a start, space-led chunks after it) for each stretch without whitespace runs."""
         if _ODD.search(text):
-            return self._library([text])[0]
-        out, at = [], 0
+            return [(self._library([text])[0], [])]
+        if not _TWO.search(text):
+            return [self._stretch(text)]
+        parts, at = [], 0
         for m in _RUN.finditer(text):
             if m.start() > at:
-                out.append(self._plain(text[at : m.start()]))
+                parts.append(self._stretch(text[at : m.start()]))
             tail = m.end() == len(text)
-            out += self._library([m.group() if tail else m.group()[:-1]])
+            parts.append((self._library([m.group() if tail else m.group()[:-1]])[0], []))
             at = m.end() if tail else m.end() - 1
         if at < len(text):
-            out.append(self._plain(text[at:]))
-        return b"".join(out)
+            parts.append(self._stretch(text[at:]))
+        return parts
+
+    def _stretch(self, text: str) -> tuple[bytes, list[str]]:
+        chunks = text.split(" ")
+        head = chunks.pop(0)
+        return (self._library([head])[0] if head else b""), chunks
+
+    def encode(self, text: str) -> bytes:
+        return self._group([text])[0]
 
 
 @functools.cache

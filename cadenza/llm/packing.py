@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, memo_encoder
+from .common import materialise, memo_encoder, texts_of
 
 CAPACITY = 1024
 END_ID = 2
@@ -128,46 +128,59 @@ def fillings(counts: dict[int, int], space: int, limit: int = FILLINGS) -> list[
     return sorted((c for c in found if len(c) != 1 or c == longest), key=lambda c: (found[c], len(c), [-x for x in c]))[:limit]
 
 
-def _complete(counts: dict[int, int], capacity: int, target: int, best: list[Bins], nodes: list[int]) -> list[Bins] | None:
-    """Depth-first bin completion; a packing with fewer sequences than ``best`` or None.
+def _complete(counts: dict[int, int], capacity: int, target: int, best: list[Bins], node_limit: int) -> list[Bins]:
+    """Depth-first bin completion; the best packing found, at worst ``best``.
 
     One step closes as many sequences of one kind as the counts allow. The
     waste bound cuts: closed sequences plus the bound of what is open must
-    stay below the incumbent.
+    stay below the incumbent. Steps are made and taken back in one table of
+    open counts, so memory follows the depth.
     """
-    limit = _size(best)
-    stack: list[tuple[dict[int, int], list[Bins], int]] = [(counts, [], 0)]
-    result = None
-    while stack and nodes[0] > 0:
-        nodes[0] -= 1
-        open_, closed, used = stack.pop()
-        if not open_:
-            if used < limit:
-                limit, result = used, closed
-                if limit <= target:
-                    break
-            continue
-        if used + -(-sum(k * n for k, n in open_.items()) // capacity) >= limit:
-            continue
-        if len(closed) % INCUMBENT_EVERY == 1:
-            tail = _best_fit(open_, capacity)
-            if used + _size(tail) < limit:
-                limit, result = used + _size(tail), closed + tail
-                if limit <= target:
-                    break
-        first = max(open_)
-        rest = dict(open_)
-        rest[first] -= 1
-        options = []
-        for more in fillings(rest, capacity - first) or [()]:
-            items = (first, *more)
-            times = min(open_[s] // items.count(s) for s in set(items))
-            left = {s: n - times * items.count(s) for s, n in open_.items() if n > times * items.count(s)}
-            options.append((left, [*closed, Bins(items, times)], used + times))
-        stack += reversed(options)
+    limit, result = _size(best), best
+    open_ = dict(counts)
+    tokens = sum(k * n for k, n in open_.items())
+    closed: list[Bins] = []
+    used = 0
+    frames = [iter(_options(open_, capacity))]
+    for _ in range(node_limit):
+        while frames and (step := next(frames[-1], None)) is None:
+            frames.pop()
+            if closed:
+                back = closed.pop()
+                used -= back.count
+                for s in back.lengths:
+                    open_[s] = open_.get(s, 0) + back.count
+                    tokens += s * back.count
+        if not frames:
+            break
+        times = min(open_[s] // step.count(s) for s in set(step))
+        for s in step:
+            open_[s] -= times
+            tokens -= s * times
+            if not open_[s]:
+                del open_[s]
+        closed.append(Bins(step, times))
+        used += times
+        if used + -(-tokens // capacity) < limit:
+            if len(closed) % INCUMBENT_EVERY == 1 or not open_:
+                tail = _best_fit(open_, capacity)
+                if used + _size(tail) < limit:
+                    limit, result = used + _size(tail), [*closed, *tail]
+                    if limit <= target:
+                        break
+            frames.append(iter(_options(open_, capacity) if open_ else []))
+        else:
+            frames.append(iter([]))
     return result
 
 
+def _options(open_: dict[int, int], capacity: int) -> list[tuple[int, ...]]:
+    """Fillings of a sequence around the largest open length."""
+    first = max(open_)
+    rest = {**open_, first: open_[first] - 1}
+    return [(first, *more) for more in fillings(rest, capacity - first) or [()]]
+
+
 def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, node_limit: int = NODE_LIMIT) -> list[Bins]:
     """Sequences for a histogram of lengths (each from 1 to ``capacity``)."""
     counts = {int(k): int(n) for k, n in counts.items() if n > 0}
@@ -178,7 +191,7 @@ def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, node_limit: int
     best = _best_fit(counts, capacity)
     target = lower_bound(counts, capacity)
     if _size(best) > target:
-        best = _complete(counts, capacity, target, best, [node_limit]) or best
+        best = _complete(counts, capacity, target, best, node_limit)
     return best
 
 
@@ -219,8 +232,8 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end_id:
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                raw = encoder.encode(text or "") + end
+            for doc, raw in zip(batch.column("doc_id").to_pylist(), encoder.encode_batch(texts_of(batch)), strict=True):
+                raw += end
                 n = len(raw) // 4
                 at, count = 0, -(-n // capacity)
                 for k in range(count):

@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import idstore, packing
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -19,10 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_keyed_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = idstore.write(table(spark, sf_dir, "documents"), BYTE_BPE)
+    return idstore.read(store).select("doc_id", "start", "n_tokens", "ids_crc32", "occurrence")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op10_best_fit_packing,)}
+QUERIES = {f.__name__: f for f in (op4_keyed_id_store, op10_best_fit_packing)}
 
 ORACLES: dict[str, str] = {}
