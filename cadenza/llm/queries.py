@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idstore, packing
+from . import idstore, packing, simhash
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -24,10 +24,14 @@ def op4_keyed_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idstore.read(store).select("doc_id", "start", "n_tokens", "ids_crc32", "occurrence")
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op4_keyed_id_store, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op4_keyed_id_store, op9_simhash_near_dedup, op10_best_fit_packing)}
 
 ORACLES: dict[str, str] = {}
