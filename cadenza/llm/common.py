@@ -17,7 +17,7 @@ from ..session import checkpoint_dir
 #: Entries a worker keeps in a memo before it starts afresh (memory bound, never a result bound).
 MEMO_ENTRIES = 1_200_000
 #: Characters of text whose chunks are looked up together.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 200_000
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -63,7 +63,7 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 
 _TWO = re.compile(r"\s\s")
 _RUN = re.compile(r"\s{2,}")
-_ODD = re.compile(r"[\x1c-\x1f]")
+_ODD = "\x1c\x1d\x1e\x1f"
 
 
 class MemoEncoder:
@@ -73,8 +73,9 @@ class MemoEncoder:
     space before a non-space, so a text without whitespace runs is the
     concatenation of its space-led chunks, and each distinct chunk is encoded
     by the library once per worker (many new chunks in one call; a token that
-    begins with a space begins a chunk). Likewise a full stop or comma after a
-    letter is a piece of its own at the end of a chunk. Of a whitespace run
+    begins with a space begins a chunk). Likewise a line break between
+    non-spaces is a piece of its own, and so is a full stop or comma after a
+    letter at the end of a chunk. Of a whitespace run
     before a non-space all but the last character form one piece. Python's
     ``\\s`` also holds \\x1c-\\x1f, which the library does not: such texts go
     to it whole.
@@ -88,11 +89,14 @@ class MemoEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # strings of special tokens in a text are ordinary text
+        self.tokenizer.model._resize_cache(0)  # the memo takes its place
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True  # byte-level form of a space
         self.entries = entries
         self.memo: dict[str, bytes] = {}  # chunk after a space -> ids of " " + chunk
+        self.heads: dict[str, bytes] = {}  # chunk after a line break -> its ids
+        self.newline = self._library(["\n"])[0]
         self.marks = {x: self._library([x])[0] for x in ".,"}
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -102,24 +106,38 @@ class MemoEncoder:
         """Add chunks to the memo."""
         if len(self.memo) + len(new) > self.entries:
             self.memo.clear()
-        memo, marked, bare = self.memo, [], set()
+        if len(self.heads) > self.entries:
+            self.heads.clear()
+        memo, heads, marked, broken, bare, begun = self.memo, self.heads, [], [], set(), set()
         for x in new:
+            if "\n" in x and x[0] != "\n" and x[-1] != "\n":
+                lines = x.split("\n")
+                broken.append((x, lines))
+                begun.update(y for y in lines[1:] if y not in heads)
+                x = lines[0]
+                if x in memo or x in bare:
+                    continue
             if x[-1:] in self.marks and x[-2:-1] < "\u0250" and x[-2:-1].isalpha():
                 marked.append(x)
-                if x[:-1] not in memo:
-                    bare.add(x[:-1])
-            else:
+                x = x[:-1]
+            if x not in memo:
                 bare.add(x)
         if "" in bare:  # a space at the very end of a text
             bare.remove("")
             memo[""] = self._library([" "])[0]
-        chunks = list(bare)
+        self._library_many(memo, list(bare), " ", lambda ids: 4 * np.flatnonzero(self.spaced[ids]), 0)
+        line = int.from_bytes(self.newline, "little")
+        self._library_many(heads, list(begun), "\n", lambda ids: 4 * np.flatnonzero(ids == line), 4)
+        memo.update((x, memo[x[:-1]] + self.marks[x[-1]]) for x in marked)
+        memo.update((x, self.newline.join([memo[lines[0]], *map(heads.__getitem__, lines[1:])])) for x, lines in broken)
+
+    def _library_many(self, memo: dict[str, bytes], chunks: list[str], mark: str, cuts_of: Callable, skip: int) -> None:
+        """Encode chunks led by ``mark`` in a few calls; each begins at a cut, ``skip`` bytes of which are the mark's own."""
         for at in range(0, len(chunks), 1000):
             part = chunks[at : at + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
-            raw, cuts = ids.tobytes(), (4 * np.flatnonzero(self.spaced[ids])).tolist()
-            memo.update(zip(part, map(raw.__getitem__, map(slice, cuts, [*cuts[1:], len(raw)])), strict=True))
-        memo.update((x, memo[x[:-1]] + self.marks[x[-1]]) for x in marked)
+            ids = np.array(self.tokenizer.encode_batch_fast([mark + mark.join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            raw, cuts = ids.tobytes(), cuts_of(ids).tolist()
+            memo.update((x, raw[a + skip : b]) for x, a, b in zip(part, cuts, [*cuts[1:], len(raw)], strict=True))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of every text. Texts are taken in groups whose distinct chunks fit the memo."""
@@ -147,7 +165,7 @@ class MemoEncoder:
 
     def _parts(self, text: str) -> list[tuple[bytes, list[str]]]:
         """(ids of a start, space-led chunks after it) for each stretch without whitespace runs."""
-        if _ODD.search(text):
+        if any(x in text for x in _ODD):
             return [(self._library([text])[0], [])]
         if not _TWO.search(text):
             return [self._stretch(text)]
