@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idstore, packing, quality, simhash
+from . import idstore, langid, packing, quality, simhash
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -23,6 +23,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).drop("row_hash")
 
 
+def op3_byte_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents")).drop("row_hash")
+
+
 def op4_keyed_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = idstore.write(table(spark, sf_dir, "documents"), BYTE_BPE)
     return idstore.read(store).select("doc_id", "start", "n_tokens", "ids_crc32", "occurrence")
@@ -36,6 +40,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_keyed_id_store, op9_simhash_near_dedup, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_byte_gru_language, op4_keyed_id_store, op9_simhash_near_dedup, op10_best_fit_packing)}
 
 ORACLES: dict[str, str] = {}
