@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idstore, langid, packing, pieces, quality, simhash
+from . import idstore, langid, packing, pieces, pii, quality, simhash
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -37,6 +37,10 @@ def op7_sentencepiece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), PIECE_BPE, ("n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -45,6 +49,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_byte_gru_language, op4_keyed_id_store, op7_sentencepiece_spans, op9_simhash_near_dedup, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_byte_gru_language, op4_keyed_id_store, op7_sentencepiece_spans, op8_personal_data, op9_simhash_near_dedup, op10_best_fit_packing)}
 
 ORACLES: dict[str, str] = {}
