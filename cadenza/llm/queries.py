@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idstore, langid, packing, pieces, pii, quality, simhash
+from . import idstore, langid, multiindex, packing, pieces, pii, quality, simhash, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -33,6 +33,15 @@ def op4_keyed_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idstore.read(store).select("doc_id", "start", "n_tokens", "ids_crc32", "occurrence")
 
 
+def op5_warc_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_pages(spark, warc.archive(table(spark, sf_dir, "pages")))
+
+
+def op6_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return multiindex.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op7_sentencepiece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), PIECE_BPE, ("n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32"))
 
@@ -49,6 +58,22 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_byte_gru_language, op4_keyed_id_store, op7_sentencepiece_spans, op8_personal_data, op9_simhash_near_dedup, op10_best_fit_packing)}
-
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_byte_gru_language, op4_keyed_id_store, op5_warc_source, op6_inverted_multi_index, op7_sentencepiece_spans, op8_personal_data, op9_simhash_near_dedup, op10_best_fit_packing)}
+
+#: DuckDB SQL where SQL can express the result.
+ORACLES: dict[str, str] = {
+    "op5_warc_source": """
+        WITH rows AS (
+            SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS payload_digest,
+                   CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes
+            FROM pages
+        ), latest AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS first
+            FROM rows
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM latest
+    """,
+}
