@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idstore, langid, multiindex, packing, pieces, pii, quality, simhash, warc
+from . import idstore, langid, licences, multiindex, packing, pieces, pii, quality, simhash, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -20,6 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).drop("row_hash")
 
@@ -58,10 +62,25 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_byte_gru_language, op4_keyed_id_store, op5_warc_source, op6_inverted_multi_index, op7_sentencepiece_spans, op8_personal_data, op9_simhash_near_dedup, op10_best_fit_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_licence_sentences,
+        op2_quality_rules,
+        op3_byte_gru_language,
+        op4_keyed_id_store,
+        op5_warc_source,
+        op6_inverted_multi_index,
+        op7_sentencepiece_spans,
+        op8_personal_data,
+        op9_simhash_near_dedup,
+        op10_best_fit_packing,
+    )
+}
 
 #: DuckDB SQL where SQL can express the result.
 ORACLES: dict[str, str] = {
+    "op1_licence_sentences": licences.oracle_sql(),
     "op5_warc_source": """
         WITH rows AS (
             SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS payload_digest,
