@@ -80,12 +80,13 @@ def record(row: dict, date: str) -> bytes:
     return VERSION + b"\r\n" + lines.encode("utf-8", "surrogatepass") + b"\r\n" + body + b"\r\n\r\n"
 
 
-def read_headers(source: io.BufferedIOBase) -> dict[str, str] | None:
-    """Headers of the record at the position of ``source``, by lower-case name; None at its end."""
-    line = source.readline()
+def read_headers(source: io.BufferedIOBase, end: int | None = None) -> dict[str, str] | None:
+    """Headers of the next record of ``source``, by lower-case name; None if none begins before ``end``."""
+    line = b"\n"
     while line in (b"\r\n", b"\n"):
+        begin = source.tell()
         line = source.readline()
-    if not line:
+    if not line or (end is not None and begin >= end):
         return None
     if not line.startswith(b"WARC/"):
         raise ValueError(f"no WARC record here: {line[:40]!r}")
@@ -254,10 +255,7 @@ class WarcReader(DataSourceReader):
             with fs.open_input_file(f"{where}/{name}") as raw:
                 source = io.BufferedReader(_Seekable(raw), 1 << 16)
                 source.seek(begin)
-                while source.tell() < end:
-                    headers = read_headers(source)
-                    if headers is None:
-                        break
+                while (headers := read_headers(source, end)) is not None:
                     row, length = header_columns(headers), int(headers.get("content-length", 0))
                     if not all(holds(f, row) for f in self.filters):
                         source.seek(length, io.SEEK_CUR)

@@ -73,6 +73,17 @@ def test_blocks_are_skipped(spark, folder):
     assert sum(b.num_rows for p in parts for b in reader.read(p)) == 0
 
 
+def test_every_record_is_in_one_slice(spark, monkeypatch):
+    monkeypatch.setattr(warc, "CUT_BYTES", 200)
+    writer = warc.WarcWriter({"path": f"file://{warc.filesystem(warc.scratch_path(spark, 'cuts'))[1]}"})
+    rows = [{"record_type": "response", "record_id": str(i), "target_uri": None, "refers_to": None, "payload_digest": None, "payload_bytes": i, "payload": b"z" * i} for i in range(300)]
+    writer.commit([writer.write(iter([warc.pa.RecordBatch.from_pylist(rows, warc._ARROW)]))])
+    for split in (1, 1000, 10**9):
+        reader = warc.WarcReader({"path": writer.folder, "split_bytes": str(split)})
+        got = [x for p in reader.partitions() for b in reader.read(p) for x in b.to_pylist()]
+        assert got == rows
+
+
 def test_failed_attempts_do_not_count(spark, folder):
     fs, where = warc.filesystem(folder)
     with fs.open_output_stream(f"{where}/part-orphan.warc") as sink:
