@@ -58,9 +58,10 @@ def any_match(columns: list[str | Column], term: str) -> Column:
 
 
 def whole_word_match(column: str | Column, term: str) -> Column:
-    """Case-insensitive whole-word match: the term bounded by word breaks.
+    """Case-insensitive whole-word match: no word character of any script beside the term.
 
-    The term is quoted, so regex metacharacters in it are literal.
+    The term is quoted, so regex metacharacters in it are literal; it may
+    itself begin or end with other characters ("C++").
     """
     col = F.col(column) if isinstance(column, str) else column
-    return F.coalesce(col, F.lit("")).rlike("(?i)\\b" + re.escape(term) + "\\b") if term else F.lit(True)
+    return F.coalesce(col, F.lit("")).rlike("(?iuU)(?<!\\w)" + re.escape(term) + "(?!\\w)") if term else F.lit(True)

@@ -60,19 +60,13 @@ def _date(value: dt.date | str | None) -> Column:
 def _exists(df: DataFrame, column: str, parent: DataFrame, parent_column: str, flag: str) -> DataFrame:
     """Add boolean ``flag``: does ``column`` have a row in ``parent``?
 
-    The parent's key column is first cut to the keys the batch asks for (a
-    semi join whose small side, the batch, AQE can broadcast), so a batch
-    never shuffles the whole catalog table; the matched keys, at most one
-    per requested key, are then left-joined back.
+    The requests are joined to the parent's bare key column (a primary key,
+    so no request is multiplied). With a plain shuffle on both sides adaptive
+    execution splits a key that very many requests name.
     """
-    asked = df.select(column)
-    keys = (
-        parent.select(F.col(parent_column).alias(column))
-        .join(asked, column, "left_semi")
-        .distinct()
-        .withColumn(flag, F.lit(True))
-    )
-    return df.join(keys, column, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    keys = parent.select(F.col(parent_column).alias("_parent_key"))
+    joined = df.join(keys, F.col(column) == F.col("_parent_key"), "left")
+    return joined.withColumn(flag, F.col("_parent_key").isNotNull()).drop("_parent_key")
 
 
 def _first_failure(checks: list[tuple[Column, str]]) -> Column:
@@ -210,13 +204,8 @@ def playlist_add(cat: Catalog, requests: DataFrame, batch_ts: dt.datetime | str
     req = requests
     req = _exists(req, "playlist_id", cat.playlist, "playlist_id", "_pl_ok")
     req = _exists(req, "track_id", cat.track, "track_id", "_tr_ok")
-    # Only the pairs this batch asks for are looked up in playlist_track.
-    present = (
-        cat.playlist_track.select("playlist_id", "track_id")
-        .join(requests.select("playlist_id", "track_id"), ["playlist_id", "track_id"], "left_semi")
-        .distinct()
-        .withColumn("_present", F.lit(True))
-    )
+    # The pair is playlist_track's primary key: a plain join that can be split.
+    present = cat.playlist_track.select("playlist_id", "track_id", F.lit(True).alias("_present"))
     req = req.join(present, ["playlist_id", "track_id"], "left")
     # First request per pair: a partial aggregate (a pair requested very
     # often is combined map-side), not a window over the whole group.
@@ -292,4 +281,4 @@ def apply_playlist_changes(cat: Catalog, changes: DataFrame) -> DataFrame:
         F.col("last_remove").isNull() | (F.col("seq") > F.col("last_remove"))
     )
     survivors = candidates.groupBy(*pair).agg(F.min_by("ts", "seq").alias("added_at"))
-    return untouched.unionByName(survivors).orderBy(asc("playlist_id"), asc("track_id"))
+    return untouched.unionByName(survivors)

@@ -150,9 +150,11 @@ def integrity_report(cat: Catalog, include_unique: bool = True) -> DataFrame:
             [cat[p].select(F.lit(f"{p}.{c}").alias("_target"), F.col(c).cast("bigint").alias("_key")) for p, c in targets]
         )
         # An anti join would be pushed below the union (one join per child);
-        # an outer join against the distinct parent keys stays one join, and
-        # the distinct shares the join's shuffle of the parent side.
-        hits = parent_keys.distinct().withColumn("_hit", F.lit(True))
+        # an outer join stays one join. The parent keys stay undistinct: only
+        # unmatched references are kept, so a repeated parent key changes
+        # nothing, and adaptive execution splits a hot reference only while
+        # both sides are plain shuffles.
+        hits = parent_keys.withColumn("_hit", F.lit(True))
         orphans = refs.join(hits, ["_target", "_key"], "left").filter(F.col("_hit").isNull())
         parts.append(orphans.select("constraint_name"))
 

@@ -18,19 +18,20 @@ BATCH_DATE = "2026-01-01"
 
 
 def review_requests(cat: Catalog) -> DataFrame:
-    """request_id, consumer_id, track_id, rating, review_text (one per event)."""
+    """request_id, consumer_id, track_id, rating, review_text (one per event); 50 of the ids asked for are unknown."""
     ev = cat.source("events")
+    tracks = cat.source("part").select(F.count("*")).scalar()
     return ev.select(
         F.col("event_id").alias("request_id"),
         F.col("user_id").alias("consumer_id"),
-        ((F.col("event_id") * 13) % 250).alias("track_id"),
+        ((F.col("event_id") * 13) % (tracks + 50)).alias("track_id"),
         (F.floor("value").cast("int") % 7).alias("rating"),
         F.when(F.col("event_type") == "view", F.lit("")).otherwise(F.col("props")).alias("review_text"),
     )
 
 
 REVIEW_REQUESTS_SQL = (
-    "SELECT event_id AS request_id, user_id AS consumer_id, (event_id*13)%250 AS track_id, "
+    "SELECT event_id AS request_id, user_id AS consumer_id, (event_id*13)%((SELECT count(*) FROM part)+50) AS track_id, "
     "CAST(FLOOR(value) AS INT)%7 AS rating, "
     "CASE WHEN event_type='view' THEN '' ELSE props END AS review_text FROM events"
 )

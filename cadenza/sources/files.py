@@ -19,7 +19,9 @@ LOOKUP_KEYS: dict[str, str] = {name: PRIMARY_KEYS[name][0] for name in TABLES}
 
 
 APPENDS = "_appends"
+COMMITS = "_commits"
 BATCH_COLUMN = "batch_id"
+STREAM_COLUMN = "stream_id"
 
 
 def _path(root: str, table: str) -> str:
@@ -27,23 +29,32 @@ def _path(root: str, table: str) -> str:
 
 
 def append_path(root: str, table: str) -> str:
-    """Folder of rows appended to ``table`` by write jobs, partitioned by batch id."""
+    """Folder of rows appended to ``table`` by write jobs, partitioned by stream and batch id."""
     return f"{root.rstrip('/')}/{APPENDS}/{table}"
 
 
-def write_appends(df: DataFrame, root: str, table: str, batch_id: int) -> None:
+def _batch_path(root: str, table: str, stream_id: str, batch_id: int) -> str:
+    return f"{append_path(root, table)}/{STREAM_COLUMN}={stream_id}/{BATCH_COLUMN}={batch_id}"
+
+
+def write_appends(df: DataFrame, root: str, table: str, stream_id: str, batch_id: int) -> None:
     """Write one batch's rows for ``table``, replacing that batch's earlier attempt.
 
-    Dynamic partition overwrite touches only ``batch_id=<n>``, so a retried
-    micro-batch rewrites its own rows and nothing else (idempotent).
+    Overwrites exactly the folder of this stream and batch, also with no
+    rows, so a retried micro-batch leaves only what its last attempt wrote
+    and no other stream's batch is touched. Readers see the rows once
+    ``commit_batch`` has published the batch.
     """
-    (
-        df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COLUMN)
-        .parquet(append_path(root, table))
-    )
+    df.write.mode("overwrite").parquet(_batch_path(root, table, stream_id, batch_id))
+
+
+def commit_batch(spark: SparkSession, root: str, stream_id: str, batch_id: int) -> None:
+    """Publish all tables of a batch at once: one marker, written after the tables."""
+    spark.range(1).write.mode("overwrite").parquet(_batch_path(root, COMMITS, stream_id, batch_id))
+
+
+def is_committed(spark: SparkSession, root: str, stream_id: str, batch_id: int) -> bool:
+    return _exists(spark, f"{_batch_path(root, COMMITS, stream_id, batch_id)}/_SUCCESS")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -78,8 +89,12 @@ def save_catalog(cat: Catalog, root: str, fmt: str = "parquet", cluster: bool =
 def read_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet", strict: bool = True) -> DataFrame:
     declared = schema(table)
     if fmt == "csv":
-        df = spark.read.schema(declared).option("header", "true").csv(path)
-        return conform(table, df, strict=False)
+        # Columns by the names in the header, then typed: a value that does
+        # not parse fails the read instead of becoming NULL.
+        df = spark.read.option("header", "true").csv(path)
+        types = {f.name: f.dataType for s in (declared, optional_schema(table)) if s for f in s.fields}
+        typed = df.select(*[F.col(c).cast(types[c]).alias(c) for c in df.columns if c in types])
+        return conform(table, typed, strict=strict)
     df = spark.read.format(fmt).load(path)
     have = {f.name for f in df.schema.fields}
     opt = optional_schema(table)
@@ -93,22 +108,27 @@ def load_catalog(
     fmt: str = "parquet",
     strict: bool = True,
     tables: tuple[str, ...] = TABLES,
-    skip_batch: int | None = None,
+    skip_batch: tuple[str, int] | None = None,
 ) -> Catalog:
     """Open every table under ``root`` (lazily; nothing is read until an action).
 
-    Rows appended by write jobs (``write_appends``) are unioned in;
-    ``skip_batch`` leaves out one batch's appends (a retried batch must not
-    see its own earlier attempt).
+    Rows appended by committed write jobs (``write_appends``, always Parquet)
+    are unioned in, whatever the format of the base tables; ``skip_batch``
+    (stream id, batch id) leaves out one batch's appends (a retried batch must
+    not see its own earlier attempt).
     """
     out = {}
+    commits = append_path(root, COMMITS)
+    published = spark.read.parquet(commits) if _exists(spark, commits) else None
+    batch = [STREAM_COLUMN, BATCH_COLUMN]
     for name in tables:
         df = read_table(spark, _path(root, name), name, fmt, strict)
         extra = append_path(root, name)
-        if fmt == "parquet" and _exists(spark, extra):
-            added = spark.read.parquet(extra)
+        if published is not None and _exists(spark, extra):
+            added = spark.read.parquet(extra).join(published.select(*batch), batch, "left_semi")
             if skip_batch is not None:
-                added = added.filter(F.col(BATCH_COLUMN) != F.lit(skip_batch))
-            df = df.unionByName(conform(name, added.drop(BATCH_COLUMN), strict=False), allowMissingColumns=True)
+                mine = (F.col(STREAM_COLUMN).cast("string") == skip_batch[0]) & (F.col(BATCH_COLUMN) == skip_batch[1])
+                added = added.filter(~mine)
+            df = df.unionByName(conform(name, added.drop(*batch), strict=False), allowMissingColumns=True)
         out[name] = df
     return Catalog(out)

@@ -96,12 +96,12 @@ MAPPING_SQL: dict[str, str] = {
     "review": (
         "SELECT event_id AS review_id, CAST(1+event_id%10 AS INT) AS rating, "
         "CASE WHEN event_id%6=0 THEN NULL ELSE event_type||' '||props END AS review_text, "
-        "ts AS created_at, user_id AS consumer_id, (event_id*7)%200 AS track_id FROM events WHERE user_id%3<>0"
+        "ts AS created_at, user_id AS consumer_id, (event_id*7)%(SELECT count(*) FROM part) AS track_id FROM events WHERE user_id%3<>0"
     ),
     "makes": "SELECT o_custkey AS user_id, o_orderkey AS playlist_id FROM orders WHERE o_orderstatus='O'",
     "playlist_track": (
         "SELECT l_orderkey AS playlist_id, l_partkey AS track_id, min(l_shipdate) AS added_at "
-        "FROM lineitem JOIN orders ON l_orderkey=o_orderkey WHERE o_orderstatus='O' AND l_linenumber>1 "
+        "FROM lineitem JOIN orders ON l_orderkey=o_orderkey WHERE o_orderstatus='O' "
         "GROUP BY l_orderkey,l_partkey"
     ),
     "consumer_track_rating": (
@@ -110,23 +110,24 @@ MAPPING_SQL: dict[str, str] = {
         "FROM lineitem JOIN orders ON l_orderkey=o_orderkey WHERE o_custkey%3<>0 GROUP BY o_custkey,l_partkey"
     ),
     "written_by": "SELECT user_id AS consumer_id, event_id AS review_id FROM events WHERE user_id%3<>0",
-    "gets": "SELECT event_id AS review_id, (event_id*7)%200 AS track_id FROM events WHERE user_id%3<>0",
+    "gets": "SELECT event_id AS review_id, (event_id*7)%(SELECT count(*) FROM part) AS track_id FROM events WHERE user_id%3<>0",
     "may_be": "SELECT s_suppkey AS artist_id, s_suppkey AS producer_id FROM supplier WHERE s_suppkey%8=0",
     "track_artist": (
         "SELECT l_partkey AS track_id, l_suppkey AS artist_id, "
         "CASE WHEN min(l_returnflag)='A' THEN 'primary' ELSE 'vocal' END AS role "
-        "FROM lineitem WHERE l_linenumber<=2 AND l_partkey%29<>0 GROUP BY l_partkey,l_suppkey"
+        "FROM lineitem WHERE l_partkey%29<>0 GROUP BY l_partkey,l_suppkey"
     ),
     "track_songwriter": (
         "SELECT DISTINCT l_partkey AS track_id, l_suppkey AS artist_id, 'writer' AS contribution "
-        "FROM lineitem WHERE l_returnflag='R' AND l_linenumber=3"
+        "FROM lineitem WHERE l_returnflag='R'"
     ),
     "artist_member": (
         "SELECT g.s_suppkey AS group_artist_id, m.s_suppkey AS member_artist_id, "
         "CASE WHEN m.s_suppkey%3=0 THEN NULL ELSE 'instr '||CAST(m.s_suppkey%5 AS VARCHAR(20)) END AS instrument, "
         "CASE WHEN m.s_suppkey%4=1 THEN NULL ELSE CAST(1990+m.s_suppkey%20 AS INT) END AS join_year, "
         "CASE WHEN m.s_suppkey%4=3 THEN CAST(2010+m.s_suppkey%10 AS INT) ELSE NULL END AS leave_year "
-        "FROM supplier g JOIN supplier m ON m.s_suppkey IN (g.s_suppkey+1,g.s_suppkey+3,g.s_suppkey+5) "
+        "FROM (SELECT s_suppkey, s_suppkey+1 AS member FROM supplier UNION ALL SELECT s_suppkey, s_suppkey+3 FROM supplier "
+        "UNION ALL SELECT s_suppkey, s_suppkey+5 FROM supplier) g JOIN supplier m ON m.s_suppkey=g.member "
         "WHERE g.s_suppkey%2=0"
     ),
     "track_album": (
@@ -145,7 +146,7 @@ MAPPING_SQL: dict[str, str] = {
     "track_producer": (
         "SELECT l_partkey AS track_id, l_suppkey AS producer_id, "
         "CASE WHEN min(l_linenumber)=1 THEN 'producer' ELSE NULL END AS credit_type "
-        "FROM lineitem WHERE l_suppkey%4=0 AND l_linenumber<=3 GROUP BY l_partkey,l_suppkey"
+        "FROM lineitem WHERE l_suppkey%4=0 GROUP BY l_partkey,l_suppkey"
     ),
     "track_genre": (
         "SELECT p_partkey AS track_id, CAST(100+p_partkey%24 AS BIGINT) AS genre_id FROM part WHERE p_partkey%5=0 "
@@ -154,7 +155,7 @@ MAPPING_SQL: dict[str, str] = {
     "track_rights_holder": (
         "SELECT l_partkey AS track_id, CAST(s_nationkey AS BIGINT) AS rights_id, 'master' AS rights_type, "
         "CASE WHEN s_nationkey%2=0 THEN NULL ELSE CAST(count(*)*5 AS DOUBLE) END AS percentage "
-        "FROM lineitem JOIN supplier ON l_suppkey=s_suppkey WHERE l_linenumber=1 GROUP BY l_partkey,s_nationkey"
+        "FROM lineitem JOIN supplier ON l_suppkey=s_suppkey GROUP BY l_partkey,s_nationkey"
     ),
     "track_isrc": (
         "SELECT p_partkey AS track_id, 'XX'||lpad(CAST(p_partkey AS VARCHAR(20)),10,'0') AS isrc, "

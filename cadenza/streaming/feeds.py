@@ -3,23 +3,27 @@
 A request feed (files landing in a folder, or any streaming source) is read
 with ``readStream``; every micro-batch runs one write job from
 ``operators.ingest`` against the stored catalog and appends its outputs
-under ``<root>/_appends/<table>/batch_id=<n>``. The stream's checkpoint
-records progress; a replayed batch overwrites its own partition and is
-validated against the catalog without its earlier attempt, so the sink is
-idempotent and survives executor or driver restarts.
+under ``<root>/_appends/<table>/stream_id=<s>/batch_id=<n>``. The stream id
+is made once and kept beside the stream's checkpoint, so a second stream, or
+one started with a new checkpoint, never shares a batch with another. A batch
+is published by one marker after all of its tables are written: a crash in
+between shows readers nothing, the replay overwrites its own folders, and a
+batch that is already published is not run again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..catalog import Catalog
 from ..operators import ingest
-from ..sources.files import load_catalog, write_appends
+from ..sources.files import commit_batch, is_committed, load_catalog, write_appends
 
 Job = Callable[[Catalog, DataFrame, int], dict[str, DataFrame]]
 
@@ -48,14 +52,28 @@ def playlist_add_job() -> Job:
     return run
 
 
-def catalog_sink(root: str, job: Job) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` handler applying ``job`` to each micro-batch."""
+def stream_id(spark: SparkSession, checkpoint_location: str) -> str:
+    """The id of the stream with this checkpoint; made at its first start."""
+    path = f"{checkpoint_location.rstrip('/')}/cadenza_stream_id"
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException:
+        made = f"s{uuid.uuid4().hex}"
+        spark.createDataFrame([(made,)], "value string").coalesce(1).write.text(path)
+        return made
+
+
+def catalog_sink(root: str, job: Job, stream: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` handler applying ``job`` to each micro-batch of the stream with id ``stream``."""
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        cat = load_catalog(spark, root, skip_batch=batch_id)
+        if is_committed(spark, root, stream, batch_id):
+            return
+        cat = load_catalog(spark, root, skip_batch=(stream, batch_id))
         for table, df in job(cat, batch_df, batch_id).items():
-            write_appends(df, root, table, batch_id)
+            write_appends(df, root, table, stream, batch_id)
+        commit_batch(spark, root, stream, batch_id)
 
     return handle
 
@@ -75,7 +93,8 @@ def start_ingest_stream(
     ``{"availableNow": True}`` to drain what has landed and stop, or
     ``{"processingTime": "1 minute"}``).
     """
-    writer = requests.writeStream.foreachBatch(catalog_sink(root, job)).option("checkpointLocation", checkpoint_location)
+    sink = catalog_sink(root, job, stream_id(spark, checkpoint_location))
+    writer = requests.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_location)
     if query_name:
         writer = writer.queryName(query_name)
     if trigger:

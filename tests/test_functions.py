@@ -77,3 +77,12 @@ def test_search_match_plans_as_contains(spark):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Contains" in plan or "contains" in plan
     assert F  # keep import used
+
+
+def test_whole_word_of_any_script_and_with_signs(spark):
+    from cadenza.functions.text import whole_word_match
+
+    df = spark.createDataFrame([("learn C++ now",), ("\u00c9T\u00c9 indien",), ("C++x",), ("\u00e9t\u00e9s",), ("red",), ("Redder",)], "t string")
+    assert [r.t for r in df.where(whole_word_match("t", "C++")).collect()] == ["learn C++ now"]
+    assert [r.t for r in df.where(whole_word_match("t", "\u00e9t\u00e9")).collect()] == ["\u00c9T\u00c9 indien"]
+    assert [r.t for r in df.where(whole_word_match("t", "red")).collect()] == ["red"]

@@ -47,7 +47,7 @@ def test_review_stream_appends_idempotently(spark, small_catalog):
 
     # Replaying batch 0 (as after a crash) rewrites the same rows, no duplicates.
     batch = spark.createDataFrame(reqs, feeds.REVIEW_REQUEST_SCHEMA)
-    feeds.catalog_sink(root, feeds.review_job())(batch, 0)
+    feeds.catalog_sink(root, feeds.review_job(), feeds.stream_id(spark, ckpt))(batch, 0)
     again = load_catalog(spark, root)
     assert rows(again.review.filter(F.col("review_id") > before_max).select("review_id").orderBy("review_id")) == [
         (before_max + 1,),
@@ -55,6 +55,72 @@ def test_review_stream_appends_idempotently(spark, small_catalog):
     ]
 
 
+def _new_reviews(spark, root, before_max):
+    return [r[0] for r in rows(load_catalog(spark, root).review.filter(F.col("review_id") > before_max).select("review_id").orderBy("review_id"))]
+
+
+def test_streams_crashes_and_retries_keep_every_row(spark, small_catalog, monkeypatch):
+    root = _stored(spark, small_catalog)
+    tracks = [r[0] for r in rows(small_catalog.track.select("track_id").orderBy("track_id").limit(3))]
+    consumer = rows(small_catalog.consumer.select("user_id").orderBy("user_id").limit(1))[0][0]
+    before_max = small_catalog.review.agg(F.max("review_id")).first()[0]
+
+    def batch(*ratings):
+        return spark.createDataFrame([(i, consumer, tracks[i % 3], r, "x") for i, r in enumerate(ratings)], feeds.REVIEW_REQUEST_SCHEMA)
+
+    first = feeds.catalog_sink(root, feeds.review_job(), "one")
+    first(batch(1, 2, 3), 0)
+    assert _new_reviews(spark, root, before_max) == [before_max + 1, before_max + 2, before_max + 3]
+    # A second stream (or a new checkpoint) begins at batch 0 again.
+    feeds.catalog_sink(root, feeds.review_job(), "two")(batch(4, 5), 0)
+    assert _new_reviews(spark, root, before_max) == [before_max + i for i in range(1, 6)]
+
+    # A crash between the tables of a batch shows nothing, not even half of it.
+    written = []
+    real = feeds.write_appends
+
+    def crash(df, root, table, stream, batch_id):
+        real(df, root, table, stream, batch_id)
+        written.append(table)
+        if len(written) == 2:
+            raise OSError("lost")
+
+    monkeypatch.setattr(feeds, "write_appends", crash)
+    try:
+        first(batch(1, 1), 1)
+    except OSError:
+        pass
+    monkeypatch.setattr(feeds, "write_appends", real)
+    assert len(written) == 2 and len(_new_reviews(spark, root, before_max)) == 5
+    # The retry finds nothing acceptable: the earlier attempt's rows must not come back.
+    first(batch(99, 99), 1)
+    cat = load_catalog(spark, root)
+    assert len(_new_reviews(spark, root, before_max)) == 5
+    assert cat.gets.filter(F.col("review_id") > before_max).count() == 5
+    first(batch(2), 2)
+    assert _new_reviews(spark, root, before_max) == [before_max + i for i in range(1, 7)]
+
+
+def test_csv_catalog_by_header_names_and_with_appends(spark, small_catalog):
+    import pytest
+
+    root = _stored(spark, small_catalog)
+    folder = tempfile.mkdtemp(prefix="cadenza-test-csv-")
+    label = small_catalog.label
+    label.select(*reversed(label.columns)).write.option("header", "true").csv(f"{folder}/label")
+    from cadenza.sources.files import commit_batch, read_table, write_appends
+
+    assert sorted(rows(read_table(spark, f"{folder}/label", "label", "csv"))) == sorted(rows(label))
+    label.withColumn("label_id", F.lit("seven")).write.option("header", "true").csv(f"{folder}/bad")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_table(spark, f"{folder}/bad", "label", "csv").collect()
+    write_appends(label.limit(2), folder, "label", "s", 0)
+    assert load_catalog(spark, folder, fmt="csv", tables=("label",)).label.count() == label.count()
+    commit_batch(spark, folder, "s", 0)
+    assert load_catalog(spark, folder, fmt="csv", tables=("label",)).label.count() == label.count() + 2
+    assert root
+
+
 def test_size_shuffles_scales_with_input(spark):
     from cadenza.session import size_shuffles
 
