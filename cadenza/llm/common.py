@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import gc
+import itertools
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -15,9 +17,9 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 #: Entries a worker keeps in a memo before it starts afresh (memory bound, never a result bound).
-MEMO_ENTRIES = 1_200_000
+MEMO_ENTRIES = 500_000
 #: Characters of text whose chunks are looked up together.
-GROUP_CHARS = 200_000
+GROUP_CHARS = 100_000
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -48,6 +50,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Ite
     """``mapInArrow`` with per-task set-up: ``make()`` runs once in the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         step = make()
         for batch in batches:
             if batch.num_rows:
@@ -108,7 +111,11 @@ class MemoEncoder:
             self.memo.clear()
         if len(self.heads) > self.entries:
             self.heads.clear()
-        memo, heads, marked, broken, bare, begun = self.memo, self.heads, [], [], set(), set()
+        memo, heads, marks = self.memo, self.heads, self.marks
+        marked: list[str] = []
+        broken: list[tuple[str, list[str]]] = []
+        bare: set[str] = set()
+        begun: set[str] = set()
         for x in new:
             if "\n" in x and x[0] != "\n" and x[-1] != "\n":
                 lines = x.split("\n")
@@ -117,7 +124,7 @@ class MemoEncoder:
                 x = lines[0]
                 if x in memo or x in bare:
                     continue
-            if x[-1:] in self.marks and x[-2:-1] < "\u0250" and x[-2:-1].isalpha():
+            if x[-1:] in marks and x[-2:-1] < "\u0250" and x[-2:-1].isalpha():
                 marked.append(x)
                 x = x[:-1]
             if x not in memo:
@@ -128,7 +135,7 @@ class MemoEncoder:
         self._library_many(memo, list(bare), " ", lambda ids: 4 * np.flatnonzero(self.spaced[ids]), 0)
         line = int.from_bytes(self.newline, "little")
         self._library_many(heads, list(begun), "\n", lambda ids: 4 * np.flatnonzero(ids == line), 4)
-        memo.update((x, memo[x[:-1]] + self.marks[x[-1]]) for x in marked)
+        memo.update([(x, memo[x[:-1]] + marks[x[-1]]) for x in marked])
         memo.update((x, self.newline.join([memo[lines[0]], *map(heads.__getitem__, lines[1:])])) for x, lines in broken)
 
     def _library_many(self, memo: dict[str, bytes], chunks: list[str], mark: str, cuts_of: Callable, skip: int) -> None:
@@ -154,11 +161,11 @@ class MemoEncoder:
 
     def _group(self, texts: list[str]) -> list[bytes]:
         pieces = [self._parts(t) for t in texts]
-        new = set().union(*(chunks for parts in pieces for _, chunks in parts))
-        new = new.difference(self.memo)
+        every = [chunks for parts in pieces for _, chunks in parts]
+        new = set(itertools.filterfalse(self.memo.__contains__, itertools.chain.from_iterable(every)))
         if new:
             if len(self.memo) + len(new) > self.entries:  # the memo starts afresh: all chunks of the group are needed again
-                new = set().union(*(chunks for parts in pieces for _, chunks in parts))
+                new = set().union(*every)
             self._learn(new)
         known = self.memo.__getitem__
         return [b"".join([x for head, chunks in parts for x in (head, *map(known, chunks))]) for parts in pieces]
@@ -195,6 +202,13 @@ def memo_encoder(path: str) -> MemoEncoder:
     return MemoEncoder(path)
 
 
+def release() -> None:
+    """Called by tasks without an encoder: a reused worker lets go of an earlier operator's memo."""
+    if memo_encoder.cache_info().currsize:
+        memo_encoder.cache_clear()
+        gc.collect()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)`` (longs): rows (node, root), root the smallest node.
 

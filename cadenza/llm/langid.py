@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import MEMO_ENTRIES, texts_of
+from .common import release, texts_of
 
 SEGMENT = 24
 HIDDEN = 16
@@ -38,6 +38,8 @@ BATCH = 128
 RATE = 0.01
 SEED = 7
 UNKNOWN = "und"
+#: Segments whose labels a task keeps before it starts afresh (a memory bound only).
+MEMO_SEGMENTS = 400_000
 
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -228,6 +230,7 @@ def predict(docs: DataFrame, net: Network) -> DataFrame:
     labels, weights = net.labels, net.weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         model = Network(labels, weights)
         memo: dict[bytes, int] = {}
         table = np.zeros((0, max(len(labels), 1)), dtype=np.float32)
@@ -239,7 +242,7 @@ def predict(docs: DataFrame, net: Network) -> DataFrame:
                 own = [segments(t) for t in texts[at : at + 64]]
                 new = list(set().union(*own).difference(memo)) if labels else []
                 if new:
-                    if len(memo) + len(new) > MEMO_ENTRIES:
+                    if len(memo) + len(new) > MEMO_SEGMENTS:
                         memo, table = {}, table[:0]
                         new = list(set().union(*own))
                     memo.update(zip(new, range(len(memo), len(memo) + len(new)), strict=True))

@@ -26,9 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MEMO_ENTRIES, texts_of
+from .common import texts_of
 
 SPACE = "▁"
+#: Words that a worker keeps before it starts afresh (a memory bound only).
+MEMO_WORDS = 800_000
 _RUNS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
@@ -119,7 +121,7 @@ class Normaliser:
 class Encoder:
     """A sentencepiece BPE model: pieces, merges, byte fallback and decoding."""
 
-    def __init__(self, path: str, entries: int = MEMO_ENTRIES):
+    def __init__(self, path: str, entries: int = MEMO_WORDS):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as pb
 

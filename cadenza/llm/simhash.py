@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, map_batches, materialise, texts_of
+from .common import components, map_batches, materialise, release, texts_of
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -185,6 +185,7 @@ def links(fps: DataFrame, *, max_bits: int = MAX_BITS, blocks: int = BLOCKS, buc
     sorted_ = pair.repartition(width, "c", "v", "i", "j").sortWithinPartitions("c", "v", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         refs = pivots()
         kept: list[np.ndarray] | None = None  # rows of a run that the next batch may go on with
 

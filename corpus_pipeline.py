@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of ``docs``. A stage's result is written as Parquet
 and read again as the next one's ``docs``. Decisions are joined back to the
 rows by doc_id and the hash of the text (null-safe), so rows that repeat a
-doc_id with another text are decided by themselves; only rejected keys are
-joined, which the planner broadcasts when their written size allows it.
+doc_id with another text are decided by themselves. Only rejected keys are
+joined; where they are a share of all documents they have no size bound, so
+that join is a sort-merge join at every size.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ MIN_LANGUAGE_SCORE = 0.25
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose (doc_id, hash of the text) is not in ``rejected(doc_id, row_hash)``."""
-    keys = materialise(rejected.select(F.col("doc_id").alias("r_id"), F.col("row_hash").alias("r_hash")).distinct(), "rejected")
+    keys = materialise(rejected.select(F.col("doc_id").alias("r_id"), F.col("row_hash").alias("r_hash")).distinct(), "rejected").hint("merge")
     own = F.xxhash64("text")
     return docs.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col("r_id")) & own.eqNullSafe(F.col("r_hash")), "left_anti")
 
@@ -46,7 +47,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def _without_ids(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    keys = materialise(rejected.select(F.col("doc_id").alias("r_id")).distinct(), "rejected")
+    keys = materialise(rejected.select(F.col("doc_id").alias("r_id")).distinct(), "rejected").hint("merge")
     return docs.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col("r_id")), "left_anti")
 
 
