@@ -77,7 +77,8 @@ class MemoEncoder:
     concatenation of its space-led chunks, and each distinct chunk is encoded
     by the library once per worker (many new chunks in one call; a token that
     begins with a space begins a chunk). Likewise a line break between
-    non-spaces is a piece of its own, and so is a full stop or comma after a
+    non-spaces is a piece of its own, so it begins a chunk without a space,
+    and so is a full stop or comma after a
     letter at the end of a chunk. Of a whitespace run
     before a non-space all but the last character form one piece. Python's
     ``\\s`` also holds \\x1c-\\x1f, which the library does not: such texts go
@@ -97,54 +98,48 @@ class MemoEncoder:
         self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True  # byte-level form of a space
         self.entries = entries
-        self.memo: dict[str, bytes] = {}  # chunk after a space -> ids of " " + chunk
-        self.heads: dict[str, bytes] = {}  # chunk after a line break -> its ids
-        self.newline = self._library(["\n"])[0]
+        self.memo: dict[str, bytes] = {}  # chunk -> ids of " " + chunk, or of the chunk if a line break begins it
+        self.old: dict[str, bytes] = {}  # the memo before it last started afresh; what is used again moves over
+        self.space, self.newline = self._library([" "])[0], self._library(["\n"])[0]
         self.marks = {x: self._library([x])[0] for x in ".,"}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: set[str]) -> None:
-        """Add chunks to the memo."""
-        if len(self.memo) + len(new) > self.entries:
-            self.memo.clear()
-        if len(self.heads) > self.entries:
-            self.heads.clear()
-        memo, heads, marks = self.memo, self.heads, self.marks
+        """Add chunks to the memo. When it is half as large as allowed, it becomes the old one: only chunks not met again are forgotten."""
+        if 2 * (len(self.memo) + len(new)) > self.entries:
+            self.old, self.memo = self.memo, {}
+        memo, old, marks = self.memo, self.old, self.marks
+        kept = {x: old[x] for x in new if x in old}
+        memo.update(kept)
         marked: list[str] = []
-        broken: list[tuple[str, list[str]]] = []
         bare: set[str] = set()
-        begun: set[str] = set()
-        for x in new:
-            if "\n" in x and x[0] != "\n" and x[-1] != "\n":
-                lines = x.split("\n")
-                broken.append((x, lines))
-                begun.update(y for y in lines[1:] if y not in heads)
-                x = lines[0]
-                if x in memo or x in bare:
-                    continue
+        for x in new.difference(kept):
             if x[-1:] in marks and x[-2:-1] < "\u0250" and x[-2:-1].isalpha():
                 marked.append(x)
                 x = x[:-1]
-            if x not in memo:
+            if x in old:
+                memo[x] = old[x]
+            elif x not in memo:
                 bare.add(x)
-        if "" in bare:  # a space at the very end of a text
-            bare.remove("")
-            memo[""] = self._library([" "])[0]
-        self._library_many(memo, list(bare), " ", lambda ids: 4 * np.flatnonzero(self.spaced[ids]), 0)
+        for x, raw in (("", self.space), ("\n", self.newline)):  # at the very end of a text
+            if x in bare:
+                bare.remove(x)
+                memo[x] = raw
         line = int.from_bytes(self.newline, "little")
-        self._library_many(heads, list(begun), "\n", lambda ids: 4 * np.flatnonzero(ids == line), 4)
+        lines = [x for x in bare if x[0] == "\n"]
+        self._library_many(lines, "", lambda ids: 4 * np.flatnonzero(ids == line))
+        self._library_many(list(bare.difference(lines)), " ", lambda ids: 4 * np.flatnonzero(self.spaced[ids]))
         memo.update([(x, memo[x[:-1]] + marks[x[-1]]) for x in marked])
-        memo.update((x, self.newline.join([memo[lines[0]], *map(heads.__getitem__, lines[1:])])) for x, lines in broken)
 
-    def _library_many(self, memo: dict[str, bytes], chunks: list[str], mark: str, cuts_of: Callable, skip: int) -> None:
-        """Encode chunks led by ``mark`` in a few calls; each begins at a cut, ``skip`` bytes of which are the mark's own."""
+    def _library_many(self, chunks: list[str], mark: str, cuts_of: Callable) -> None:
+        """Encode chunks, each led by ``mark``, in a few calls; each begins at a cut."""
         for at in range(0, len(chunks), 1000):
             part = chunks[at : at + 1000]
             ids = np.array(self.tokenizer.encode_batch_fast([mark + mark.join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
             raw, cuts = ids.tobytes(), cuts_of(ids).tolist()
-            memo.update((x, raw[a + skip : b]) for x, a, b in zip(part, cuts, [*cuts[1:], len(raw)], strict=True))
+            self.memo.update((x, raw[a:b]) for x, a, b in zip(part, cuts, [*cuts[1:], len(raw)], strict=True))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of every text. Texts are taken in groups whose distinct chunks fit the memo."""
@@ -161,14 +156,23 @@ class MemoEncoder:
 
     def _group(self, texts: list[str]) -> list[bytes]:
         pieces = [self._parts(t) for t in texts]
-        every = [chunks for parts in pieces for _, chunks in parts]
-        new = set(itertools.filterfalse(self.memo.__contains__, itertools.chain.from_iterable(every)))
-        if new:
-            if len(self.memo) + len(new) > self.entries:  # the memo starts afresh: all chunks of the group are needed again
-                new = set().union(*every)
-            self._learn(new)
-        known = self.memo.__getitem__
-        return [b"".join([x for head, chunks in parts for x in (head, *map(known, chunks))]) for parts in pieces]
+        every = list(itertools.chain.from_iterable(chunks for parts in pieces for _, chunks in parts))
+        found = list(map(self.memo.get, every))
+        if None in found:
+            missing = [k for k, ids in enumerate(found) if ids is None]
+            self._learn(set(map(every.__getitem__, missing)))
+            known = self.memo.__getitem__
+            for k in missing:
+                found[k] = known(every[k])
+        out, at = [], 0
+        for parts in pieces:
+            row = []
+            for head, chunks in parts:
+                row.append(head)
+                row += found[at : at + len(chunks)]
+                at += len(chunks)
+            out.append(b"".join(row))
+        return out
 
     def _parts(self, text: str) -> list[tuple[bytes, list[str]]]:
         """(ids of a start, space-led chunks after it) for each stretch without whitespace runs."""
@@ -188,7 +192,7 @@ class MemoEncoder:
         return parts
 
     def _stretch(self, text: str) -> tuple[bytes, list[str]]:
-        chunks = text.split(" ")
+        chunks = text.replace("\n", " \n").split(" ")
         head = chunks.pop(0)
         return (self._library([head])[0] if head else b""), chunks
 
