@@ -65,17 +65,24 @@ PLAYLIST_REQUESTS_SQL = (
 
 
 def playlist_add_requests(cat: Catalog) -> DataFrame:
-    """request_id, playlist_id, track_id (one per line item)."""
+    """request_id, playlist_id, track_id (one per line item).
+
+    Odd lines of an order all ask for one track, derived from the order: new
+    pairs, repeats within the batch and unknown tracks. Even lines ask for
+    their part, which is on the playlist already.
+    """
     li = cat.source("lineitem")
+    tracks = cat.source("part").select(F.count("*")).scalar()
     return li.select(
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("request_id"),
         F.col("l_orderkey").alias("playlist_id"),
-        F.col("l_partkey").alias("track_id"),
+        F.when(F.col("l_linenumber") % 2 == 1, F.col("l_orderkey") % (tracks + 50)).otherwise(F.col("l_partkey")).alias("track_id"),
     )
 
 
 PLAYLIST_ADD_SQL = (
-    "SELECT l_orderkey*100+l_linenumber AS request_id, l_orderkey AS playlist_id, l_partkey AS track_id FROM lineitem"
+    "SELECT l_orderkey*100+l_linenumber AS request_id, l_orderkey AS playlist_id, "
+    "CASE WHEN l_linenumber%2=1 THEN l_orderkey%((SELECT count(*) FROM part)+50) ELSE l_partkey END AS track_id FROM lineitem"
 )
 
 
