@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..catalog import Catalog
 from ..functions.ordering import asc, desc
 from ..functions.text import whole_word_match
-from ..plans.keys import bounded_broadcast
+from ..plans.keys import bounded_broadcast, top_rows
 from .common import artist_names
 
 
@@ -60,10 +60,10 @@ def search_tracks_word(cat: Catalog, term: str, limit: int = 20) -> DataFrame:
     """Like ``search_tracks`` but the term must stand as a whole word."""
     order = [asc("title"), asc("track_id")]
     hits = cat.track.select("track_id", "title", "duration_sec", "explicit_flag").filter(whole_word_match("title", term))
-    top = hits.orderBy(*order).limit(limit)
+    top = top_rows(hits, order, limit)
     names = artist_names(cat.track_artist, cat.artist, bounded_broadcast(top.select("track_id"), limit), bound=limit)
     return (
-        top.join(names, "track_id", "left")
+        top.join(bounded_broadcast(names, limit), "track_id", "left")
         .select("track_id", "title", "duration_sec", "artists", "explicit_flag")
         .orderBy(*order)
         .limit(limit)

@@ -238,13 +238,12 @@ class PlaylistRemovals:
 
 def playlist_remove(cat: Catalog, pairs: DataFrame) -> PlaylistRemovals:
     """Remove (playlist_id, track_id) pairs from playlist_track."""
-    keys = pairs.select("playlist_id", "track_id")
+    keys = pairs.select("playlist_id", "track_id").distinct()  # on the right below, where a pair asked for very often could not be split
     pt = cat.playlist_track
     return PlaylistRemovals(
         remaining=pt.join(keys, ["playlist_id", "track_id"], "left_anti"),
         removed=pt.join(keys, ["playlist_id", "track_id"], "left_semi"),
         rejects=keys.join(pt.select("playlist_id", "track_id"), ["playlist_id", "track_id"], "left_anti")
-        .distinct()
         .withColumn("reason", F.lit("not on playlist")),
     )
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..catalog import Catalog
 from ..functions.aggregates import avg2
 from ..functions.ordering import asc, asc_nulls_first, desc, desc_nulls_last
-from ..plans.keys import bounded_broadcast
+from ..plans.keys import bounded_broadcast, top_rows
 from .common import artist_names, count_per_key
 
 COUNT_MODES = ("joined", "distinct")
@@ -148,13 +148,16 @@ def recent_reviews(cat: Catalog, limit: int = 10) -> DataFrame:
         .join(cat.consumer.select(F.col("user_id").alias("consumer_id")), "consumer_id", "left_semi")
     )
     order = [desc_nulls_last("created_at"), asc("review_id")]
-    top = bounded_broadcast(narrow.orderBy(*order).limit(limit), limit)
+    top = bounded_broadcast(top_rows(narrow, order, limit), limit)
     body = cat.review.select("review_id", "rating", "review_text").join(top, "review_id")
     return (
         body.join(bounded_broadcast(cat.track.select("track_id", "title").join(top.select("track_id"), "track_id", "left_semi"), limit), "track_id")
         .join(
-            cat.consumer.select(F.col("user_id").alias("consumer_id"), "display_name").join(
-                top.select("consumer_id"), "consumer_id", "left_semi"
+            bounded_broadcast(
+                cat.consumer.select(F.col("user_id").alias("consumer_id"), "display_name").join(
+                    top.select("consumer_id"), "consumer_id", "left_semi"
+                ),
+                limit,
             ),
             "consumer_id",
         )

@@ -3,8 +3,8 @@
 The match is a full parallel scan (a leading-wildcard LIKE cannot use an
 index or Parquet statistics), reading only the columns the result needs.
 The sort key of every search lives on the searched table, so the top-k is
-taken first and the bridge tables are touched only for those k rows, via a
-broadcast of at most ``limit`` keys. The joined result (at most ``limit``
+taken first and evaluated once (``top_rows``), and the bridge tables are
+touched only for those k rows, via a broadcast of at most ``limit`` keys. The joined result (at most ``limit``
 rows) is put back in order with ``orderBy + limit`` again, which plans as a
 single take-ordered step instead of a range-partitioned global sort.
 """
@@ -18,7 +18,7 @@ from ..catalog import Catalog
 from ..functions.ordering import asc, desc_nulls_last
 from ..functions.roles import PLAIN_SEARCH, role_label
 from ..functions.text import any_match, search_match
-from ..plans.keys import bounded_broadcast
+from ..plans.keys import bounded_broadcast, top_rows
 from .common import artist_names, count_per_key, scope
 
 
@@ -33,10 +33,10 @@ def search_tracks(cat: Catalog, term: str, limit: int = 20, collation: str | Non
     """
     order = [asc("title"), asc("track_id")]
     hits = cat.track.select("track_id", "title", "duration_sec", "explicit_flag").filter(search_match("title", term))
-    top = _top(hits, order, limit)
+    top = top_rows(hits, order, limit)
     names = artist_names(cat.track_artist, cat.artist, top.select("track_id"), bound=limit, collation=collation)
     return (
-        top.join(names, "track_id", "left")
+        top.join(bounded_broadcast(names, limit), "track_id", "left")
         .select("track_id", "title", "duration_sec", "artists", "explicit_flag")
         .orderBy(*order)
         .limit(limit)
@@ -49,11 +49,11 @@ def search_artists(cat: Catalog, term: str, limit: int = 20, assume_keys: bool =
     hits = cat.artist.select(
         F.col("user_id").alias("artist_id"), "name", "country", "type", "formed_year"
     ).filter(search_match("name", term))
-    top = _top(hits, order, limit)
+    top = top_rows(hits, order, limit)
     credits = scope(cat.track_artist.select("artist_id", "track_id"), "artist_id", top, bound=limit)
     counts = count_per_key(credits, "artist_id", "track_id", "track_count", assume_keys=assume_keys)
     return (
-        top.join(counts, "artist_id", "left")
+        top.join(bounded_broadcast(counts, limit), "artist_id", "left")
         .select(
             "artist_id",
             "name",
@@ -71,11 +71,11 @@ def search_albums(cat: Catalog, term: str, limit: int = 20, assume_keys: bool =
     """album_id, title, release_date, explicit_flag, track_count; newest first."""
     order = [desc_nulls_last("release_date"), asc("title"), asc("album_id")]
     hits = cat.album.select("album_id", "title", "release_date", "explicit_flag").filter(search_match("title", term))
-    top = _top(hits, order, limit)
+    top = top_rows(hits, order, limit)
     on_album = scope(cat.track_album.select("album_id", "track_id"), "album_id", top, bound=limit)
     counts = count_per_key(on_album, "album_id", "track_id", "track_count", assume_keys=assume_keys)
     return (
-        top.join(counts, "album_id", "left")
+        top.join(bounded_broadcast(counts, limit), "album_id", "left")
         .select(
             "album_id",
             "title",
@@ -97,7 +97,7 @@ def search_users(cat: Catalog, term: str, limit: int = 20) -> DataFrame:
     hits = cat.users.select("user_id", "username", "email", "join_date", "country").filter(
         any_match(["username", "email"], term)
     )
-    top = _top(hits, order, limit)
+    top = top_rows(hits, order, limit)
     keys = top.select("user_id")
     artists = scope(cat.artist.select("user_id"), "user_id", keys, bound=limit).select(
         "user_id", F.col("user_id").alias("artist_key")
@@ -106,8 +106,8 @@ def search_users(cat: Catalog, term: str, limit: int = 20) -> DataFrame:
         "user_id", F.col("user_id").alias("consumer_key")
     )
     return (
-        top.join(artists, "user_id", "left")
-        .join(consumers, "user_id", "left")
+        top.join(bounded_broadcast(artists, limit), "user_id", "left")
+        .join(bounded_broadcast(consumers, limit), "user_id", "left")
         .select(
             "user_id",
             "username",
@@ -127,7 +127,7 @@ def search_producers(cat: Catalog, term: str, limit: int = 20) -> DataFrame:
     hits = cat.producer.select("producer_id", "name", "country", "birth_year", "artist_id").filter(
         search_match("name", term)
     )
-    top = _top(hits, order, limit)
+    top = top_rows(hits, order, limit)
     alias = scope(
         cat.artist.select(F.col("user_id").alias("artist_id"), F.col("name").alias("artist_alias")),
         "artist_id",
@@ -135,7 +135,7 @@ def search_producers(cat: Catalog, term: str, limit: int = 20) -> DataFrame:
         bound=limit,
     )
     return (
-        top.join(alias, "artist_id", "left")
+        top.join(bounded_broadcast(alias, limit), "artist_id", "left")
         .select("producer_id", "name", "country", "birth_year", "artist_alias")
         .orderBy(*order)
         .limit(limit)
@@ -146,7 +146,7 @@ def search_labels(cat: Catalog, term: str, limit: int = 20, assume_keys: bool =
     """label_id, name, country, founded_year, website, album_count, artist_count."""
     order = [asc("name"), asc("label_id")]
     hits = cat.label.select("label_id", "name", "country", "founded_year", "website").filter(search_match("name", term))
-    top = _top(hits, order, limit)
+    top = top_rows(hits, order, limit)
     albums = count_per_key(
         scope(cat.label_album.select("label_id", "album_id"), "label_id", top, bound=limit),
         "label_id",
@@ -162,8 +162,8 @@ def search_labels(cat: Catalog, term: str, limit: int = 20, assume_keys: bool =
         assume_keys=assume_keys,
     )
     return (
-        top.join(albums, "label_id", "left")
-        .join(artists, "label_id", "left")
+        top.join(bounded_broadcast(albums, limit), "label_id", "left")
+        .join(bounded_broadcast(artists, limit), "label_id", "left")
         .select(
             "label_id",
             "name",
@@ -190,7 +190,7 @@ def search_rightsholders(cat: Catalog, term: str, limit: int = 20) -> DataFrame:
 def find_groups(cat: Catalog, term: str, limit: int = 10) -> DataFrame:
     """group_id, name of matching artists that have at least one member."""
     order = [asc("name"), asc("group_id")]
-    groups = cat.artist_member.select(F.col("group_artist_id").alias("group_id"))
+    groups = cat.artist_member.select(F.col("group_artist_id").alias("group_id")).distinct()
     hits = (
         cat.artist.select(F.col("user_id").alias("group_id"), "name")
         .filter(search_match("name", term))

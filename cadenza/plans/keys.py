@@ -15,6 +15,8 @@ from typing import Union
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
+
 KeySet = Union[None, int, Iterable[int], DataFrame]
 
 # Largest row count we broadcast on the strength of a static bound alone
@@ -50,6 +52,16 @@ def key_condition(column: str, ids: KeySet) -> Column | None:
     return F.col(column).isin(sorted({int(v) for v in ids}))
 
 
+def top_rows(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
+    """The first ``limit`` rows of ``df``, evaluated once.
+
+    The rows are used several times (to cut the bridge tables and to carry
+    the result), each time with other columns, so the planner could not
+    share the scan; at most ``limit`` rows go to the checkpoint folder.
+    """
+    return reliable_checkpoint(df.orderBy(*order).limit(limit))
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
     """Broadcast ``df`` only when its row count has a proven static bound.
 

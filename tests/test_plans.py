@@ -2,7 +2,7 @@
 
 import re
 
-from cadenza.operators import credits, integrity, profile, reports, search
+from cadenza.operators import credits, discovery, integrity, profile, reports, search
 
 SHUFFLE = re.compile(r"\bExchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)")
 
@@ -56,3 +56,12 @@ def test_broadcast_hint_only_within_bound(spark):
     assert "broadcast" in hinted.lower()
     assert "broadcast" not in unhinted.lower()
     assert "broadcast" not in bounded_broadcast(df, None)._jdf.queryExecution().logical().toString().lower()
+
+
+def test_searched_table_is_read_once(small_catalog):
+    # The k rows are evaluated while the query is built; what is left reads the bridges only.
+    for df in (search.search_tracks(small_catalog, "red", 20), discovery.search_tracks_word(small_catalog, "red", 20)):
+        assert "part.parquet" not in _plan(df) and "p_name" not in _plan(df)
+    assert "c_name" not in _plan(search.search_users(small_catalog, "0001", 20))
+    plan = _plan(reports.recent_reviews(small_catalog, 25))
+    assert plan.count("TakeOrderedAndProject") == 1

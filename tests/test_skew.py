@@ -5,7 +5,7 @@ import contextlib
 from pyspark.sql import functions as F
 
 from cadenza.catalog import Catalog
-from cadenza.operators import integrity
+from cadenza.operators import ingest, integrity
 from cadenza.operators.common import artist_names
 from cadenza.schemas import FOREIGN_KEYS, TABLES, schema
 
@@ -74,3 +74,54 @@ def test_hot_parent_is_split_in_orphan_check(spark):
         # artists 60..98 do not exist: every credit row pointing at them is an orphan
         expected = spark.range(0, 30000).filter((F.col("id") % 3 != 0) & (F.col("id") % 97 + 2 >= 60)).count()
         assert orphans.count() == expected
+
+
+def _hot_requests(spark):
+    # Track 1 is named by a third of all requests.
+    return spark.range(0, 30000).select(
+        F.col("id").alias("request_id"),
+        (F.col("id") % 500).alias("consumer_id"),
+        (F.col("id") % 500).alias("playlist_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 97 + 2).cast("long").alias("track_id"),
+        (F.col("id") % 7).cast("int").alias("rating"),
+        F.lit("text").alias("review_text"),
+    )
+
+
+def _catalog(spark, **tables):
+    """Empty tables but for the given ones, whose missing columns are null."""
+    full = {t: spark.createDataFrame([], schema(t)) for t in TABLES}
+    for name, df in tables.items():
+        full[name] = df.select(
+            *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema(name).fields]
+        )
+    return Catalog(full)
+
+
+def test_hot_track_is_split_in_write_checks(spark):
+    with conf(spark, SKEW_CONF):
+        cat = _catalog(
+            spark,
+            track=spark.range(1, 60).toDF("track_id"),
+            consumer=spark.range(0, 400).toDF("user_id"),
+            playlist=spark.range(0, 400).toDF("playlist_id"),
+            playlist_track=spark.range(0, 400).select(F.col("id").alias("playlist_id"), F.lit(5).alias("track_id")),
+        )
+        requests = _hot_requests(spark)
+        checked = ingest.validate_review_requests(cat, requests)
+        assert "skew=true" in _final_plan(checked) and checked.count() == 30000
+        adds = ingest.playlist_add(cat, requests)
+        assert "skew=true" in _final_plan(adds.added)
+        assert adds.added.count() + adds.rejects.count() == 30000
+
+
+def test_hot_reference_is_split_in_integrity_report(spark):
+    # All references share one join, so enough partitions for the hot one to stand out.
+    with conf(spark, SKEW_CONF | {"spark.sql.shuffle.partitions": "16"}):
+        cat = _catalog(spark, track_artist=_hot_credits(spark), artist=spark.range(1, 60).toDF("user_id"))
+        report = integrity.integrity_report(cat)
+        assert "skew=true" in _final_plan(report)
+        orphans = spark.range(0, 30000).filter((F.col("id") % 3 != 0) & (F.col("id") % 97 + 2 >= 60)).count()
+        counts = {r["constraint_name"]: r["violations"] for r in report.collect()}
+        names = {(f.child, f.column): f.name for f in FOREIGN_KEYS}
+        assert counts[names["track_artist", "artist_id"]] == orphans
