@@ -1,8 +1,11 @@
 """Licence scan by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences, each is normalised (lower case, runs of other
-characters than letters and digits as one space) and mapped to the identifier
-of the licence sentence it is, or to none. The sequence of identifiers is
+A text is cut into segments at line ends and after sentences, and normalised
+(lower case, runs of other characters than letters and digits as one space).
+A licence sentence is a run of whole segments: its words may stand on several
+lines, behind comment signs, and around ``;`` or an empty line, but not across
+a full stop. Each gets its identifier; segments without letters or digits and
+bare list numbers are no sentences. The sequence of identifiers is
 then matched against ordered rules: the first rule takes its places out of
 the sequence, the next sees what is left, so a whole licence text or header
 is recognised before a sentence of it could pass for something weaker.
@@ -15,6 +18,8 @@ sentence, are cut up.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,13 +90,47 @@ def _mark(name: str) -> str:
     return f"<{name}>"
 
 
-def _identify(sentence: Column) -> Column:
-    normal = F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
-    out = None
-    for name, pattern in SENTENCES:
-        test = normal.rlike(f"^({pattern})$")
-        out = F.when(test, F.lit(name)) if out is None else out.when(test, F.lit(name))
-    return out
+#: Sentences whose ``.*`` may run over line ends, up to the end of the sentence or paragraph.
+PROSE = {"mit_grant", "mit_as_is", "mit_liability", "isc_grant", "bsd_names"}
+#: In lower-cased text S, P and L stand for the end of a sentence, a paragraph (or what leads a list) and a line; U for a segment in another script.
+CUTS = [
+    (r"(?m)^[ \t]*(?:[!#%;*/>-]+|dnl|rem)(?=[ \t\r\n]|$)", ""),  # comment signs
+    (r"[.!?][.!?;]*[ \t\r\n]+", "S"),
+    (r"((?:conditions|are met) *:|apache\.org/licenses/license-2\.0)[ \t\r\n]+", "$1P"),
+    (r"\n[^\p{L}\p{N}]*\n", "P"),
+    (r"\n|;+[ \t\r\n]+", "L"),
+    (r"([SP])(?:[^\p{L}\p{N}]*+[SPL])++", "$1"),  # segments without letters and digits
+    (r"L[^\p{L}\p{N}]*+(?=[SPL])", ""),
+    (r"([SPL])(?=[^a-zSPL]*+[SPL])[^\p{L}]*+[\p{L}&&[^a-zSPL]][^SPL]*+", "$1U"),
+    (r"[^a-z0-9SPLU]+", " "),
+    (r" ?([SPL]) ?", "$1"),
+]
+
+
+def _over_lines(name: str, pattern: str) -> str:
+    """The pattern of a sentence over a run of segments."""
+    any_word, space = ("[a-z0-9 L]", "[ L]") if name in PROSE else ("[a-z0-9 ]", " ")
+    around = {" ": space, ".*": f"{any_word}*"}
+    first, *rest = re.split(r"( ?)(\.\*)( ?)", pattern)
+    words = [p.replace(" ", "[ LP]") if k % 4 == 3 else around.get(p, p) for k, p in enumerate(rest)]
+    return first.replace(" ", "[ LP]") + "".join(words)
+
+
+def _marks(text: Column) -> Column:
+    """The identifiers of a text's sentences in order, each as <name>, others as <?>."""
+    stream = F.concat(F.lit("S\n"), F.lower(text), F.lit("\nS"))
+    for pattern, mark in CUTS:
+        stream = F.regexp_replace(stream, pattern, mark)
+    # Prose comes last, so that it ends where another sentence begins.
+    patterns = [(n, _over_lines(n, p)) for n, p in sorted(SENTENCES, key=lambda x: x[0] in PROSE)]
+    marked = stream
+    for name, pattern in patterns:
+        marked = F.regexp_replace(marked, f"([SPL])(?:{pattern})(?=[SPL])", f"$1{_mark(name)}")
+    any_of = "|".join(p for _, p in patterns)
+    marked = F.when(stream.rlike(f"[SPL](?:{any_of})[SPL]"), marked).otherwise(F.lit(""))
+    marked = F.regexp_replace(marked, "[SPL][0-9 ]++(?=[SPL])", "")
+    marked = F.regexp_replace(marked, "[SPL](?!<)[^SPL]*+(?=[SPL])", "<?>")
+    return F.regexp_replace(marked, "[SPL]", "")
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -107,10 +146,9 @@ def scan(docs: DataFrame) -> DataFrame:
     cue = F.lit(False)
     for word in CUES:
         cue = cue | lowered.contains(word)
-    sentences = F.when(cue, F.split("text", BREAK)).otherwise(F.array().cast("array<string>"))
-    named = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.transform(sentences, _identify), F.array().cast("array<string>")).alias("ids"))
-    known = F.filter("ids", lambda x: x.isNotNull())
-    rows = named.select("doc_id", known.alias("known"), F.array_join(F.transform("ids", lambda x: F.coalesce(F.concat(F.lit("<"), x, F.lit(">")), F.lit("<?>"))), "").alias("marks"))
+    marks = F.coalesce(F.when(cue, _marks(F.col("text"))), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long"), marks.alias("marks"))
+    rows = rows.select("doc_id", "marks", F.regexp_extract_all("marks", F.lit("<([a-z0-9_]+)>"), F.lit(1)).alias("known"))
     rules = F.array(*(F.struct(F.lit(licence).alias("licence"), F.lit("".join(map(_mark, ids))).alias("marks")) for licence, ids in RULES))
     start = F.struct(F.col("marks").alias("left"), F.array().cast("array<string>").alias("found"))
 

@@ -69,3 +69,106 @@ def test_native_plan_without_shuffle(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
     assert df.limit(0).collect() == []
+
+
+WHOLE = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 A. B.
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE.
+""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS".
+""",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+""",
+}
+KNOWN = {
+    "MIT": "mit_grant,mit_notice,mit_as_is,mit_liability",
+    "BSD-3-Clause": "bsd_allow,bsd_source,bsd_binary,bsd_names",
+    "GPL-2.0-or-later": "gpl2_later,gpl_hope",
+    "Apache-2.0": "apache2_named,apache2_comply,apache2_copy,apache2_as_is,apache2_see",
+}
+
+
+def whole_forms(text):
+    yield text
+    yield re.sub(r"(?<!\n)\n(?!\n) *", " ", text)  # a paragraph a line
+    yield " ".join(text.split())  # one line
+    yield text.replace("\n", "\r\n")
+    for prefix in ("# ", "// ", ";; ", "! ", "dnl "):
+        yield "".join(f"{prefix}{line}".rstrip() + "\n" for line in text.splitlines())
+    yield "/*\n" + "".join(f" * {line}".rstrip() + "\n" for line in text.splitlines()) + " */\nint main;\n"
+
+
+def test_whole_texts(spark):
+    cases = [(name, form) for name, text in WHOLE.items() for form in whole_forms(text)]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    for r in L.scan(docs).collect():
+        name, text = cases[r.doc_id]
+        assert KNOWN[name] in r.sentence_ids and r.licences == name, (r, text)
+
+
+def test_runs_of_segments(spark):
+    cases = [
+        ("A title\nReleased under the MIT License\nmore text", "mit_named", "MIT"),
+        ("Released under the\nMIT License\nmore text", "mit_named", "MIT"),
+        ("Distributed under the terms of the GNU General Public License, version\n3.", "gpl3_named", "GPL-3.0-only"),
+        ("Copyright 2020 A\nAll rights reserved.", "copyright,reserved", "all-rights-reserved"),
+        (WHOLE["MIT"].replace("The above", "Odd words.\nThe above"), "copyright,mit_grant,mit_notice,mit_as_is,mit_liability", ""),
+        (WHOLE["MIT"].replace("The above", "да.\nThe above"), "copyright,mit_grant,mit_notice,mit_as_is,mit_liability", ""),
+        ("Released under the. MIT License", "", ""),
+        ("license" + "\n" * 100_000 + "1. " * 100_000 + "Released under the MIT License", "mit_named", "MIT"),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: (r.sentence_ids, r.licences) for r in L.scan(docs).collect()}
+    for i, (text, ids, licences) in enumerate(cases):
+        assert got[i] == (ids, licences), text[:200]
