@@ -71,17 +71,18 @@ def fingerprint(grams: list[bytes], seed: int = SEED) -> int:
     return int(set_bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, *, words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, *, words: int = SHINGLE_WORDS, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and the ``keep`` columns (longs): fp is the fingerprint as a signed long."""
 
     def make():
         def step(batch: pa.RecordBatch):
             fps = np.array([fingerprint(shingles(t, words), seed) for t in texts_of(batch)], dtype=np.uint64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([batch.column("doc_id"), pa.array(fps.view(np.int64)), *map(batch.column, keep)], names=["doc_id", "fp", *keep])
 
         return step
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), make, "doc_id long, fp long")
+    schema = ", ".join(f"{c} long" for c in ("doc_id", "fp", *keep))
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text", *keep), make, schema)
 
 
 def pivots(count: int = PIVOTS) -> np.ndarray:
@@ -218,6 +219,12 @@ def links(fps: DataFrame, *, max_bits: int = MAX_BITS, blocks: int = BLOCKS, buc
     return sorted_.mapInArrow(run, "a long, b long")
 
 
+def _members(distinct: DataFrame, max_bits: int, blocks: int) -> DataFrame:
+    """(fp, root) of the fingerprints ``distinct(fp)`` that are linked to another."""
+    members = components(links(distinct.select("fp"), max_bits=max_bits, blocks=blocks))
+    return materialise(members.withColumnsRenamed({"node": "fp"}), "members")
+
+
 def near_duplicates(docs: DataFrame, *, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, fp (signed), fingerprint (16 hex digits), component_id.
 
@@ -228,11 +235,25 @@ def near_duplicates(docs: DataFrame, *, words: int = SHINGLE_WORDS, max_bits: in
     """
     fps = materialise(fingerprints(docs, words=words), "fingerprints")
     distinct = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    members = components(links(distinct.select("fp"), max_bits=max_bits, blocks=blocks))
-    members = materialise(members.withColumnsRenamed({"node": "fp"}), "members")
+    members = _members(distinct, max_bits, blocks)
     roots = members.join(distinct, "fp").groupBy("root").agg(F.min("first").alias("component_id"))
     linked = members.join(roots, "root").select("fp", "component_id")
     class_of = materialise(
         distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id")), "classes"
     )
     return fps.join(class_of, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, key: str, *, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
+    """The ``key`` of one row per group of ``docs(doc_id, text, key)``; ``key`` is a long that no two rows share.
+
+    The row is the smallest by doc_id (null last), hash of the text and
+    ``key``. Rows meet in map-side aggregates only, first by fingerprint.
+    """
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("row_hash"), F.col(key).alias("row_key"))
+    fps = fingerprints(rows, words=words, keep=("row_hash", "row_key"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash", "row_key")
+    distinct = materialise(fps.groupBy("fp").agg(F.min(order).alias("first")), "distinct")
+    groups = distinct.join(_members(distinct, max_bits, blocks), "fp", "left")
+    first = groups.groupBy(F.coalesce("root", "fp").alias("group")).agg(F.min("first").alias("first"))
+    return first.select(F.col("first.row_key").alias(key))

@@ -6,7 +6,9 @@ and read again as the next one's ``docs``. Decisions are joined back to the
 rows by doc_id and the hash of the text (null-safe), so rows that repeat a
 doc_id with another text are decided by themselves. Only rejected keys are
 joined; where they are a share of all documents they have no size bound, so
-that join is a sort-merge join at every size.
+that join is a sort-merge join at every size. Near-duplicates keep one row of
+a group, which may repeat another in all columns, so there each row gets a
+written number first and the numbers of the kept rows are joined.
 """
 
 from __future__ import annotations
@@ -41,14 +43,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each SimHash group (rows without doc_id only in groups that have none)."""
-    found = simhash.near_duplicates(docs)
-    return _without_ids(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
-
-
-def _without_ids(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    keys = materialise(rejected.select(F.col("doc_id").alias("r_id")).distinct(), "rejected").hint("merge")
-    return docs.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col("r_id")), "left_anti")
+    """Keeps one row of each SimHash group: the smallest by doc_id (null last), then by hash of the text, then any one."""
+    rows = materialise(docs.withColumn("near_dup_row", F.monotonically_increasing_id()), "rows")
+    kept = materialise(simhash.representatives(rows, "near_dup_row"), "kept").hint("merge")
+    return rows.join(kept, "near_dup_row", "left_semi").drop("near_dup_row").select(*docs.columns)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,3 +79,23 @@ def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs, SF).collect() == []
+
+
+def test_one_row_of_each_near_duplicate_group(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    a, b, c, d, e, f = (r.text for r in docs.where("length(text) > 300").orderBy("doc_id").limit(6).collect())
+    rows = [
+        (1, a), (2, a), (2, b),  # doc_id 2 repeats with a text of its own
+        (None, a), (None, c),  # a copy and a unique text without doc_id
+        (3, d), (3, d), (3, d),  # a repeated row
+        (None, e), (None, e), (None, e),  # a group without any doc_id
+        (None, f), (9, f),
+    ]
+    rows = spark.createDataFrame([(i, t, "en", "src0", k) for k, (i, t) in enumerate(rows)], docs.schema).repartition(4)
+    texts = [a, b, c, d, e, f]
+    own = [(k, reference_fingerprint(t)) for k, t in enumerate(texts)]
+    assert reference_components(own, 3) == list(range(6))
+    made = pipeline.near_duplicate_stage(spark, rows, SF)
+    assert made.columns == docs.columns
+    got = [(r.doc_id, texts.index(r.text)) for r in made.collect()]
+    assert sorted(got, key=str) == sorted([(1, 0), (2, 1), (None, 2), (3, 3), (None, 4), (9, 5)], key=str)
