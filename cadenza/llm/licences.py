@@ -12,8 +12,8 @@ is recognised before a sentence of it could pass for something weaker.
 Unknown sentences stay in the sequence and keep rules from matching across
 them.
 
-Only texts with a word of ``CUES``, one of which is in every licence
-sentence, are cut up.
+Only texts with the last word of one of ``CUES``, one of which is in every
+licence sentence, are cut up.
 """
 
 from __future__ import annotations
@@ -145,7 +145,7 @@ def scan(docs: DataFrame) -> DataFrame:
     lowered = F.lower("text")
     cue = F.lit(False)
     for word in CUES:
-        cue = cue | lowered.contains(word)
+        cue = cue | lowered.contains(word.split()[-1])  # one word: what parts the words of a cue may be anything
     marks = F.coalesce(F.when(cue, _marks(F.col("text"))), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long"), marks.alias("marks"))
     rows = rows.select("doc_id", "marks", F.regexp_extract_all("marks", F.lit("<([a-z0-9_]+)>"), F.lit(1)).alias("known"))

@@ -172,3 +172,10 @@ def test_runs_of_segments(spark):
     got = {r.doc_id: (r.sentence_ids, r.licences) for r in L.scan(docs).collect()}
     for i, (text, ids, licences) in enumerate(cases):
         assert got[i] == (ids, licences), text[:200]
+
+
+def test_cues_however_their_words_are_parted(spark):
+    texts = ["All  Rights\u00a0Reserved", "ALL-RIGHTS-RESERVED", "All rights\treserved.", "All rights\nreserved.", "Dedicated to the public\ndomain."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in L.scan(docs).collect()}
+    assert got == {**dict.fromkeys(range(4), "all-rights-reserved"), 4: "CC0-1.0"}
