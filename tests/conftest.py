@@ -38,7 +38,3 @@ def small_catalog(spark):
     from cadenza.sources.testdata import from_testdata
 
     return from_testdata(spark, SF_SMALL)
-
-
-def rows(df):
-    return [tuple(r) for r in df.collect()]

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.aggregates import avg2, collated_names, distinct_names
 from cadenza.functions.text import like_pattern, search_match, whole_word_match
-from conftest import rows
+from table_rows import rows
 
 NAMES = [(1, "High"), (2, "a_b"), (3, "a%b"), (4, "a\\b"), (5, None)]
 

@@ -3,7 +3,7 @@ import random
 
 from cadenza.operators import ingest, integrity
 from cadenza.schemas import FOREIGN_KEYS
-from conftest import rows
+from table_rows import rows
 
 T0 = dt.datetime(2024, 1, 1)
 

@@ -2,7 +2,7 @@ import datetime as dt
 import decimal
 
 from cadenza.operators import reports
-from conftest import rows
+from table_rows import rows
 
 D = decimal.Decimal
 T0 = dt.datetime(2024, 1, 1)

@@ -1,7 +1,7 @@
 import datetime as dt
 
 from cadenza.operators import credits, search
-from conftest import rows
+from table_rows import rows
 
 T0 = dt.datetime(2024, 1, 1)
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cadenza.sources.files import load_catalog, save_catalog
 from cadenza.streaming import feeds
-from conftest import rows
+from table_rows import rows
 
 
 def _stored(spark, small_catalog):
