@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idstore, langid, licences, multiindex, packing, pieces, pii, quality, simhash, warc
+from . import filteraudit, idstore, langid, licences, multiindex, packing, pieces, pii, productgrid, quality, resample, simhash, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -62,6 +62,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return productgrid.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -75,6 +87,9 @@ QUERIES = {
         op8_personal_data,
         op9_simhash_near_dedup,
         op10_best_fit_packing,
+        op11_embedding_near_dedup,
+        op12_filter_audit,
+        op13_importance_resampling,
     )
 }
 
@@ -95,4 +110,6 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id <> first THEN first END AS refers_to
         FROM latest
     """,
+    "op12_filter_audit": filteraudit.ORACLE_SQL,
+    "op13_importance_resampling": resample.ORACLE_SQL,
 }
