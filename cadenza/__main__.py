@@ -17,6 +17,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import functions as F
+
 from .operators import credits, discovery, ingest, integrity, profile, reports, search
 
 SEARCHES = {
@@ -63,11 +65,27 @@ WRITES = ("ingest_reviews", "ingest_playlists", "playlist_add", "playlist_remove
 
 
 def _read_requests(spark, path: str):
+    """Requests by column name; the write jobs cast them to their declared types."""
     if path.endswith(".csv"):
-        return spark.read.option("header", "true").option("inferSchema", "true").csv(path)
+        return spark.read.option("header", "true").csv(path)
     return spark.read.parquet(path)
 
 
+def _changes(cat, op: str, requests):
+    """A write job as a batch for the stored catalog."""
+    from .sources.files import Changes
+
+    out = _write_job(cat, op, requests)
+    rejects = {f"_rejects_{op}": out["rejects"]} if "rejects" in out else {}
+    if op == "playlist_remove":
+        return Changes(rejects, {"playlist_track": out["removed"]})
+    if op == "apply_playlist_changes":
+        touched = requests.select(F.col("playlist_id").cast("bigint"), F.col("track_id").cast("bigint")).distinct()
+        pair = ["playlist_id", "track_id"]
+        return Changes({"playlist_track": out["playlist_track"].join(touched, pair, "left_semi")}, {"playlist_track": touched})
+    return Changes({t: df for t, df in out.items() if t != "rejects"} | rejects)
+
+
 def _write_job(cat, op: str, requests) -> dict:
     """Run one write job; returns output name -> DataFrame."""
     if op == "ingest_reviews":
@@ -128,6 +146,7 @@ def _parser() -> argparse.ArgumentParser:
     for name in WRITES:
         s = sub.add_parser(name, help="batch write job; outputs go to --out/<table>")
         s.add_argument("--requests", required=True, help="request file/folder (.csv with header, else Parquet)")
+        s.add_argument("--commit", default=None, metavar="JOB", help="apply to the stored catalog as this job (once, also if run again)")
     return p
 
 
@@ -147,8 +166,15 @@ def main(argv: list[str] | None = None) -> int:
     op = args.op
     args.out = getattr(args, "sub_out", None) or args.out
     if op in WRITES:
+        if args.commit:
+            from .sources.files import commit_changes
+
+            if not args.catalog:
+                raise SystemExit("--commit needs a stored catalog (--catalog)")
+            commit_changes(spark, args.catalog, _changes(cat, op, _read_requests(spark, args.requests)), args.commit, 0, cat.as_of)
+            return 0
         if not args.out:
-            raise SystemExit("write jobs need --out (a folder; one Parquet folder per output)")
+            raise SystemExit("write jobs need --out (a folder; one Parquet folder per output) or --commit")
         for name, df in _write_job(cat, op, _read_requests(spark, args.requests)).items():
             df.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
         return 0

@@ -26,6 +26,11 @@ def desc(column: str | Column) -> Column:
     return _c(column).desc_nulls_first()
 
 
+def text_key(column: str, collation: str | None = None) -> Column:
+    """``ORDER BY x`` of a text: by code point, or in the order of ``collation`` (e.g. 'UNICODE': Alena, Aleš, Alex)."""
+    return asc(F.collate(F.col(column), collation) if collation else column)
+
+
 def asc_nulls_first(column: str | Column) -> Column:
     return _c(column).asc_nulls_first()
 

@@ -4,7 +4,8 @@ Every operator takes a key set (see ``plans.keys``): one id gives exactly
 the reference's columns; a list, a DataFrame of keys or ``None`` (all keys)
 puts the key column in front and makes it lead the sort. The key set is
 applied to the bridge table first, so a list of ids becomes a Parquet filter
-and a DataFrame becomes a semi join before any dimension is joined.
+and a DataFrame becomes a semi join before any dimension is joined. Where a
+name orders the rows, ``collation`` orders them linguistically.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import Catalog
-from ..functions.ordering import asc, desc, desc_nulls_last
+from ..functions.ordering import asc, desc, desc_nulls_last, text_key
 from ..functions.roles import PLAIN_PROFILE, role_label
 from ..plans.keys import KeySet, is_single, restrict
 from .common import artist_names, count_per_key, genre_names
@@ -63,7 +64,9 @@ def track_detail(
     return out.orderBy(asc("track_id")) if ordered else out
 
 
-def artist_tracks(cat: Catalog, artist_ids: KeySet = None, ordered: bool = True) -> DataFrame:
+def artist_tracks(
+    cat: Catalog, artist_ids: KeySet = None, ordered: bool = True, collation: str | None = None
+) -> DataFrame:
     """[artist_id,] track_id, title, duration_sec, role; by title."""
     ta = restrict(cat.track_artist.select("artist_id", "track_id", "role"), "artist_id", artist_ids)
     df = ta.join(cat.track.select("track_id", "title", "duration_sec"), "track_id")
@@ -73,12 +76,14 @@ def artist_tracks(cat: Catalog, artist_ids: KeySet = None, ordered: bool = True)
         "artist_id",
         "artist_id",
         ["track_id", "title", "duration_sec", "role"],
-        [asc("title"), asc("track_id")],
+        [text_key("title", collation), asc("track_id")],
         ordered=ordered,
     )
 
 
-def album_tracks(cat: Catalog, album_ids: KeySet = None, ordered: bool = True) -> DataFrame:
+def album_tracks(
+    cat: Catalog, album_ids: KeySet = None, ordered: bool = True, collation: str | None = None
+) -> DataFrame:
     """[album_id,] track_id, title, track_number, duration_sec; by track number."""
     ta = restrict(cat.track_album.select("album_id", "track_id", "track_number"), "album_id", album_ids)
     df = ta.join(cat.track.select("track_id", "title", "duration_sec"), "track_id")
@@ -88,12 +93,14 @@ def album_tracks(cat: Catalog, album_ids: KeySet = None, ordered: bool = True) -
         "album_id",
         "album_id",
         ["track_id", "title", "track_number", "duration_sec"],
-        [asc("track_number"), asc("title"), asc("track_id")],
+        [asc("track_number"), text_key("title", collation), asc("track_id")],
         ordered=ordered,
     )
 
 
-def track_songwriters(cat: Catalog, track_ids: KeySet = None, ordered: bool = True) -> DataFrame:
+def track_songwriters(
+    cat: Catalog, track_ids: KeySet = None, ordered: bool = True, collation: str | None = None
+) -> DataFrame:
     """[track_id,] track_title, songwriter, contribution; by songwriter."""
     ts = restrict(cat.track_songwriter.select("track_id", "artist_id", "contribution"), "track_id", track_ids)
     df = ts.join(cat.track.select("track_id", F.col("title").alias("track_title")), "track_id").join(
@@ -105,12 +112,14 @@ def track_songwriters(cat: Catalog, track_ids: KeySet = None, ordered: bool = Tr
         "track_id",
         "track_id",
         ["track_title", "songwriter", "contribution"],
-        [asc("songwriter"), asc("artist_id")],
+        [text_key("songwriter", collation), asc("artist_id")],
         ordered=ordered,
     )
 
 
-def track_producers(cat: Catalog, track_ids: KeySet = None, ordered: bool = True) -> DataFrame:
+def track_producers(
+    cat: Catalog, track_ids: KeySet = None, ordered: bool = True, collation: str | None = None
+) -> DataFrame:
     """[track_id,] track_title, producer, credit_type; by producer name."""
     tp = restrict(cat.track_producer.select("track_id", "producer_id", "credit_type"), "track_id", track_ids)
     df = tp.join(cat.track.select("track_id", F.col("title").alias("track_title")), "track_id").join(
@@ -122,12 +131,14 @@ def track_producers(cat: Catalog, track_ids: KeySet = None, ordered: bool = True
         "track_id",
         "track_id",
         ["track_title", "producer", "credit_type"],
-        [asc("producer"), asc("producer_id")],
+        [text_key("producer", collation), asc("producer_id")],
         ordered=ordered,
     )
 
 
-def group_members(cat: Catalog, group_ids: KeySet = None, ordered: bool = True) -> DataFrame:
+def group_members(
+    cat: Catalog, group_ids: KeySet = None, ordered: bool = True, collation: str | None = None
+) -> DataFrame:
     """[group_id,] group_name, member_name, instrument, join_year, leave_year."""
     am = restrict(cat.artist_member, "group_artist_id", group_ids)
     df = am.join(_artist_dim(cat, "group_artist_id", "group_name"), "group_artist_id").join(
@@ -139,7 +150,7 @@ def group_members(cat: Catalog, group_ids: KeySet = None, ordered: bool = True)
         "group_artist_id",
         "group_id",
         ["group_name", "member_name", "instrument", "join_year", "leave_year"],
-        [asc("join_year"), asc("member_name"), asc("member_artist_id")],
+        [asc("join_year"), text_key("member_name", collation), asc("member_artist_id")],
         ordered=ordered,
     )
 
@@ -170,16 +181,20 @@ def user_playlists(cat: Catalog, user_ids: KeySet = None, assume_keys: bool = Tr
     )
 
 
-def user_playlist_list(cat: Catalog, user_ids: KeySet = None, ordered: bool = True) -> DataFrame:
+def user_playlist_list(
+    cat: Catalog, user_ids: KeySet = None, ordered: bool = True, collation: str | None = None
+) -> DataFrame:
     """[user_id,] playlist_id, name; by name."""
     made = restrict(cat.makes.select("user_id", "playlist_id"), "user_id", user_ids)
     df = made.join(cat.playlist.select("playlist_id", "name"), "playlist_id")
     return _finish(
-        df, user_ids, "user_id", "user_id", ["playlist_id", "name"], [asc("name"), asc("playlist_id")], ordered=ordered
+        df, user_ids, "user_id", "user_id", ["playlist_id", "name"], [text_key("name", collation), asc("playlist_id")], ordered=ordered
     )
 
 
-def playlist_tracks(cat: Catalog, playlist_ids: KeySet = None, ordered: bool = True) -> DataFrame:
+def playlist_tracks(
+    cat: Catalog, playlist_ids: KeySet = None, ordered: bool = True, collation: str | None = None
+) -> DataFrame:
     """[playlist_id,] track_id, title, duration_sec, added_at; oldest addition first."""
     pt = restrict(cat.playlist_track.select("playlist_id", "track_id", "added_at"), "playlist_id", playlist_ids)
     df = pt.join(cat.track.select("track_id", "title", "duration_sec"), "track_id")
@@ -189,7 +204,7 @@ def playlist_tracks(cat: Catalog, playlist_ids: KeySet = None, ordered: bool = T
         "playlist_id",
         "playlist_id",
         ["track_id", "title", "duration_sec", "added_at"],
-        [asc("added_at"), asc("title"), asc("track_id")],
+        [asc("added_at"), text_key("title", collation), asc("track_id")],
         ordered=ordered,
     )
 
@@ -228,7 +243,9 @@ def track_isrcs(cat: Catalog, track_ids: KeySet = None, ordered: bool = True) ->
     )
 
 
-def artist_producer_links(cat: Catalog, artist_ids: KeySet = None, ordered: bool = True) -> DataFrame:
+def artist_producer_links(
+    cat: Catalog, artist_ids: KeySet = None, ordered: bool = True, collation: str | None = None
+) -> DataFrame:
     """[artist_id,] artist_name, producer_name, producer_id; by producer name."""
     mb = restrict(cat.may_be.select("artist_id", "producer_id"), "artist_id", artist_ids)
     df = mb.join(_artist_dim(cat, "artist_id", "artist_name"), "artist_id").join(
@@ -240,7 +257,7 @@ def artist_producer_links(cat: Catalog, artist_ids: KeySet = None, ordered: bool
         "artist_id",
         "artist_id",
         ["artist_name", "producer_name", "producer_id"],
-        [asc("producer_name"), asc("producer_id")],
+        [text_key("producer_name", collation), asc("producer_id")],
         ordered=ordered,
     )
 

@@ -28,6 +28,7 @@ REVIEW_REQUEST_COLUMNS = ("request_id", "consumer_id", "track_id", "rating", "re
 PLAYLIST_REQUEST_COLUMNS = ("request_id", "user_id", "name", "description", "public")
 REQUEST_TYPES = {
     "request_id": "bigint",
+    "add_id": "bigint",
     "consumer_id": "bigint",
     "user_id": "bigint",
     "track_id": "bigint",
@@ -58,15 +59,20 @@ def _date(value: dt.date | str | None) -> Column:
 
 
 def _exists(df: DataFrame, column: str, parent: DataFrame, parent_column: str, flag: str) -> DataFrame:
-    """Add boolean ``flag``: does ``column`` have a row in ``parent``?
+    """Add boolean ``flag``: does ``column`` have a row in ``parent``?"""
+    return _found(df, [column], parent.select(F.col(parent_column).alias(column)), flag)
 
-    The requests are joined to the parent's bare key column (a primary key,
-    so no request is multiplied). With a plain shuffle on both sides adaptive
-    execution splits a key that very many requests name.
+
+def _found(df: DataFrame, keys: list[str], parent: DataFrame, flag: str) -> DataFrame:
+    """Add boolean ``flag``: are the ``keys`` of the row among the rows of ``parent``?
+
+    A semi and an anti join, so a key that ``parent`` repeats (Parquet
+    enforces none) multiplies no request. Both share their shuffles, and with
+    plain shuffles on both sides adaptive execution splits a key that very
+    many requests name.
     """
-    keys = parent.select(F.col(parent_column).alias("_parent_key"))
-    joined = df.join(keys, F.col(column) == F.col("_parent_key"), "left")
-    return joined.withColumn(flag, F.col("_parent_key").isNotNull()).drop("_parent_key")
+    hit = df.join(parent, keys, "left_semi").withColumn(flag, F.lit(True))
+    return hit.unionByName(df.join(parent, keys, "left_anti").withColumn(flag, F.lit(False)))
 
 
 def _first_failure(checks: list[tuple[Column, str]]) -> Column:
@@ -164,6 +170,19 @@ def ingest_playlists(
     Empty descriptions become NULL; ``public`` reads yes/y/true (any case)
     as public, a missing answer as the default "yes".
     """
+    checked, numbered = _number_playlists(cat, requests, batch_date)
+    return PlaylistBatch(
+        playlist=numbered.select(*NEW_PLAYLIST),
+        makes=numbered.select("user_id", "playlist_id"),
+        rejects=checked.filter(F.col("reason").isNotNull()).select("request_id", "reason"),
+    )
+
+
+NEW_PLAYLIST = ("playlist_id", "name", "description", "created_date", "is_public", "user_id")
+
+
+def _number_playlists(cat: Catalog, requests: DataFrame, batch_date: dt.date | str | None) -> tuple[DataFrame, DataFrame]:
+    """Playlist requests with ``reason``, and the accepted ones with their ids (written once)."""
     req = _requests(requests, PLAYLIST_REQUEST_COLUMNS)
     req = _exists(req, "user_id", cat.users, "user_id", "_user_ok")
     name_ok = F.coalesce(F.col("name") != "", F.lit(False))
@@ -179,11 +198,53 @@ def ingest_playlists(
         answer.isin(*PUBLIC_ANSWERS).alias("is_public"),
         "user_id",
     )
-    numbered = assign_ids(accepted, ["request_id"], "playlist_id", _max_id(cat.playlist, "playlist_id"))
-    return PlaylistBatch(
-        playlist=numbered.select("playlist_id", "name", "description", "created_date", "is_public", "user_id"),
+    return checked, assign_ids(accepted, ["request_id"], "playlist_id", _max_id(cat.playlist, "playlist_id"))
+
+
+@dataclass(frozen=True)
+class PlaylistWithTracksBatch:
+    playlist: DataFrame
+    makes: DataFrame
+    playlist_track: DataFrame
+    rejects: DataFrame  # (kind 'playlist' / 'track', request_id, add_id, reason)
+
+
+def ingest_playlists_with_tracks(
+    cat: Catalog,
+    requests: DataFrame,
+    adds: DataFrame,
+    batch_date: dt.date | str | None = None,
+    batch_ts: dt.datetime | str | None = None,
+) -> PlaylistWithTracksBatch:
+    """Create playlists and put their first tracks on them, in one job.
+
+    ``adds`` has add_id, request_id, playlist_id and track_id. A row with a
+    request_id goes to the playlist that this request of the same batch
+    creates, one without to the stored playlist ``playlist_id``. Playlists
+    are accepted and numbered first; then every add succeeds or fails alone,
+    as in ``playlist_add``, and a failed add leaves its playlist in place.
+    Adds of a rejected request fail with 'playlist not created'. A
+    request_id names one request of the batch.
+    """
+    checked, numbered = _number_playlists(cat, requests, batch_date)
+    req = adds.select(*[F.col(c).cast(REQUEST_TYPES[c]).alias(c) for c in ("add_id", "request_id", "playlist_id", "track_id")])
+    created = numbered.select("request_id", F.col("playlist_id").alias("_created"))
+    to_new = req.filter(F.col("request_id").isNotNull()).join(created, "request_id", "left")
+    to_new = to_new.select("add_id", "request_id", F.col("_created").alias("playlist_id"), "track_id", F.col("_created").isNotNull().alias("_pl_ok"))
+    to_stored = _exists(req.filter(F.col("request_id").isNull()), "playlist_id", cat.playlist, "playlist_id", "_pl_ok")
+    unknown = F.col("_pl_ok") | F.col("request_id").isNull()
+    both = _check_adds(
+        cat, to_new.unionByName(to_stored), [(unknown, "playlist not created"), (F.col("_pl_ok"), "unknown playlist")], "add_id"
+    )
+    rejected = both.filter(F.col("reason").isNotNull()).select(F.lit("track").alias("kind"), "request_id", "add_id", "reason")
+    refused = checked.filter(F.col("reason").isNotNull()).select(
+        F.lit("playlist").alias("kind"), "request_id", F.lit(None).cast("bigint").alias("add_id"), "reason"
+    )
+    return PlaylistWithTracksBatch(
+        playlist=numbered.select(*NEW_PLAYLIST),
         makes=numbered.select("user_id", "playlist_id"),
-        rejects=checked.filter(F.col("reason").isNotNull()).select("request_id", "reason"),
+        playlist_track=both.filter(F.col("reason").isNull()).select("playlist_id", "track_id", _ts(batch_ts).alias("added_at")),
+        rejects=refused.unionByName(rejected),
     )
 
 
@@ -201,50 +262,68 @@ def playlist_add(cat: Catalog, requests: DataFrame, batch_ts: dt.datetime | str
     ``requests`` has request_id, playlist_id, track_id.
     """
     requests = _requests(requests, ("request_id", "playlist_id", "track_id"))
-    req = requests
-    req = _exists(req, "playlist_id", cat.playlist, "playlist_id", "_pl_ok")
+    req = _exists(requests, "playlist_id", cat.playlist, "playlist_id", "_pl_ok")
+    checked = _check_adds(cat, req, [(F.col("_pl_ok"), "unknown playlist")])
+    added = checked.filter(F.col("reason").isNull()).select("playlist_id", "track_id", _ts(batch_ts).alias("added_at"))
+    rejects = checked.filter(F.col("reason").isNotNull()).select("request_id", "playlist_id", "track_id", "reason")
+    return PlaylistAdds(added, rejects)
+
+
+def _check_adds(cat: Catalog, req: DataFrame, playlist_checks: list[tuple[Column, str]], order: str = "request_id") -> DataFrame:
+    """Adds with ``reason`` (NULL = accepted): the playlist's checks, then the track, the pair, and earlier adds of the batch."""
+    pair = ["playlist_id", "track_id"]
     req = _exists(req, "track_id", cat.track, "track_id", "_tr_ok")
-    # The pair is playlist_track's primary key: a plain join that can be split.
-    present = cat.playlist_track.select("playlist_id", "track_id", F.lit(True).alias("_present"))
-    req = req.join(present, ["playlist_id", "track_id"], "left")
+    req = _found(req, pair, cat.playlist_track.select(*pair), "_present")
     # First request per pair: a partial aggregate (a pair requested very
     # often is combined map-side), not a window over the whole group.
-    firsts = requests.groupBy("playlist_id", "track_id").agg(F.min("request_id").alias("_first_id"))
-    req = req.join(firsts, ["playlist_id", "track_id"], "left").withColumn(
-        "_first", F.col("request_id") == F.col("_first_id")
-    )
-    checked = req.withColumn(
+    firsts = req.groupBy(*pair).agg(F.min(order).alias("_first_id"))
+    req = req.join(firsts, pair, "left").withColumn("_first", F.col(order) == F.col("_first_id"))
+    return req.withColumn(
         "reason",
         _first_failure(
             [
-                (F.col("_pl_ok"), "unknown playlist"),
+                *playlist_checks,
                 (F.col("_tr_ok"), "unknown track"),
-                (F.col("_present").isNull(), "already on playlist"),
+                (~F.col("_present"), "already on playlist"),
                 (F.col("_first"), "duplicate in batch"),
             ]
         ),
     )
-    added = checked.filter(F.col("reason").isNull()).select("playlist_id", "track_id", _ts(batch_ts).alias("added_at"))
-    rejects = checked.filter(F.col("reason").isNotNull()).select("request_id", "playlist_id", "track_id", "reason")
-    return PlaylistAdds(added, rejects)
 
 
 @dataclass(frozen=True)
 class PlaylistRemovals:
     remaining: DataFrame  # playlist_track after the removals
     removed: DataFrame  # rows removed (the RETURNING set)
-    rejects: DataFrame  # requested pairs that were not on the playlist
+    rejects: DataFrame  # requests whose pair was not on the playlist (any more)
 
 
 def playlist_remove(cat: Catalog, pairs: DataFrame) -> PlaylistRemovals:
-    """Remove (playlist_id, track_id) pairs from playlist_track."""
-    keys = pairs.select("playlist_id", "track_id").distinct()  # on the right below, where a pair asked for very often could not be split
+    """Remove (playlist_id, track_id) pairs from playlist_track.
+
+    With a ``request_id`` each request is answered by itself: the first one
+    for a pair (by request_id) removes it, a later one finds it gone and is
+    rejected. Without one a rejected pair is listed once.
+    """
+    pair = ["playlist_id", "track_id"]
+    answered = "request_id" in pairs.columns
+    asked = _requests(pairs, ("request_id", *pair) if answered else pair)
+    keys = asked.select(*pair).distinct()  # on the right below, where a pair asked for very often could not be split
     pt = cat.playlist_track
+    if answered:
+        firsts = asked.groupBy(*pair).agg(F.min("request_id").alias("_first_id"))
+        rejects = (
+            _found(asked, pair, pt.select(*pair), "_present")
+            .join(firsts, pair)
+            .filter(~F.col("_present") | (F.col("request_id") != F.col("_first_id")))
+            .select("request_id", *pair)
+        )
+    else:
+        rejects = keys.join(pt.select(*pair), pair, "left_anti")
     return PlaylistRemovals(
-        remaining=pt.join(keys, ["playlist_id", "track_id"], "left_anti"),
-        removed=pt.join(keys, ["playlist_id", "track_id"], "left_semi"),
-        rejects=keys.join(pt.select("playlist_id", "track_id"), ["playlist_id", "track_id"], "left_anti")
-        .withColumn("reason", F.lit("not on playlist")),
+        remaining=pt.join(keys, pair, "left_anti"),
+        removed=pt.join(keys, pair, "left_semi"),
+        rejects=rejects.withColumn("reason", F.lit("not on playlist")),
     )
 
 
@@ -264,7 +343,7 @@ def apply_playlist_changes(cat: Catalog, changes: DataFrame) -> DataFrame:
     pairs the log does not touch pass through without being regrouped.
     """
     pair = ["playlist_id", "track_id"]
-    log = changes.select(*pair, "op", "seq", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    log = changes.select(*[F.col(c).cast("bigint").alias(c) for c in pair], "op", F.col("seq").cast("bigint").alias("seq"), F.col("ts").cast("timestamp_ntz").alias("ts"))
     adds = (
         log.filter(F.col("op") == "add")
         .join(cat.playlist.select("playlist_id"), "playlist_id", "left_semi")

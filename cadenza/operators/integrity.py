@@ -11,14 +11,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import Catalog
-from ..plans.union import union_all
 from ..functions.ordering import asc
 from ..plans.keys import KeySet, restrict
+from ..plans.union import union_all
 from ..schemas import FOREIGN_KEYS, PRIMARY_KEYS, TABLES, UNIQUES, ForeignKey, schema
+from ..session import written_table
+from ..sources.files import Changes
+from .dedupe import DedupeResult, dedupe_entities
 
 
 def pk_violations(cat: Catalog, table: str) -> DataFrame:
@@ -84,7 +87,7 @@ def _key_slots(cat: Catalog, table: str) -> DataFrame:
     )
 
 
-def integrity_report(cat: Catalog, include_unique: bool = True) -> DataFrame:
+def integrity_report(cat: Catalog, include_unique: bool = True, include_absent: bool = False) -> DataFrame:
     """One row per declared constraint: constraint_name, kind, table_name, violations.
 
     Three set-wise passes over the whole catalog instead of one job per
@@ -99,7 +102,9 @@ def integrity_report(cat: Catalog, include_unique: bool = True) -> DataFrame:
       (parent table, key);
     * UNIQUE: one grouped count per declared column the catalog carries.
 
-    UNIQUE constraints on columns the catalog does not carry are skipped.
+    Constraints on tables or columns that the catalog does not carry are left
+    out, or with ``include_absent`` listed: a column ``status`` then says
+    'checked' or 'absent', and violations are NULL where nothing was checked.
     """
     spark = cat.spark
     names = [t for t in TABLES if t in cat]
@@ -160,15 +165,18 @@ def integrity_report(cat: Catalog, include_unique: bool = True) -> DataFrame:
 
     found = union_all(parts).groupBy("constraint_name").agg(F.count(F.lit(1)).alias("violations"))
     # One row per declared constraint (metadata, not data: 65 rows here).
-    declared = spark.createDataFrame(meta, "constraint_name string, kind string, table_name string")
+    checked = {m[0] for m in meta}
+    if include_absent:
+        every = [(f"{t}.pk", "primary key", t) for t in TABLES]
+        every += [(f"{t}.{c}.unique", "unique", t) for t, c in UNIQUES] if include_unique else []
+        every += [(fk.name, "foreign key", fk.child) for fk in FOREIGN_KEYS]
+        meta = every
+    rows = [(*m, "checked" if m[0] in checked else "absent") for m in meta]
+    declared = spark.createDataFrame(rows, "constraint_name string, kind string, table_name string, status string")
+    violations = F.when(F.col("status") == "checked", F.coalesce("violations", F.lit(0)).cast("bigint"))
     return (
         declared.join(F.broadcast(found), "constraint_name", "left")
-        .select(
-            "constraint_name",
-            "kind",
-            "table_name",
-            F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"),
-        )
+        .select("constraint_name", "kind", "table_name", violations.alias("violations"), *(["status"] if include_absent else []))
         .orderBy(asc("constraint_name"))
     )
 
@@ -181,18 +189,29 @@ class DeleteResult:
     catalog: Catalog  # the catalog after the delete
     deleted: dict[str, DataFrame]  # table -> primary keys of deleted rows
     nulled: dict[str, DataFrame]  # table -> primary keys of rows whose reference was set to NULL
+    flagged: dict[str, DataFrame]  # reached table -> its rows after the delete and the deleted ones, with _gone and _nulled
+
+    def changes(self) -> Changes:
+        """The delete as a batch for a stored catalog: keys to remove, and rows with cleared references to write anew."""
+        removes, appends = {}, {}
+        for t, rows in self.flagged.items():
+            touched = rows.filter(F.col("_gone") | F.col("_nulled"))
+            removes[t] = touched.select(*PRIMARY_KEYS[t])
+            if t in self.nulled:
+                appends[t] = touched.filter(~F.col("_gone")).drop("_gone", "_nulled")
+        return Changes(appends, removes)
 
 
 def _topological(tables: list[str]) -> list[str]:
-    """Parents before children along the cascade edges (self edges ignored)."""
-    edges = {t: {fk.parent for fk in FOREIGN_KEYS if fk.child == t and fk.parent != t and fk.on_delete == "cascade"} for t in tables}
+    """Parents before children along the references (references to the own table ignored)."""
+    edges = {t: {fk.parent for fk in FOREIGN_KEYS if fk.child == t and fk.parent != t} for t in tables}
     order, done = [], set()
 
     def visit(t: str, path: tuple[str, ...] = ()) -> None:
         if t in done:
             return
         if t in path:
-            raise ValueError(f"cascade cycle through {t}")
+            raise ValueError(f"reference cycle through {t}")
         for p in sorted(edges.get(t, ())):
             if p in edges:
                 visit(p, path + (t,))
@@ -204,161 +223,117 @@ def _topological(tables: list[str]) -> list[str]:
     return order
 
 
+def _flag(df: DataFrame, column: str, keys: DataFrame, flag: str) -> DataFrame:
+    """Add boolean ``flag``: is ``column`` one of ``keys(key)`` (different values)? One outer join, hot values on the left."""
+    marks = keys.select(F.col("key").alias(column), F.lit(True).alias(flag))
+    return df.join(marks, column, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+
+
+def _any(flags: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(f) for f in flags], F.lit(False))
+
+
 def cascade_delete(cat: Catalog, table: str, ids: KeySet) -> DeleteResult:
     """Delete the rows of ``table`` whose (single-column) key is in ``ids``.
 
-    Tables are visited parents-first. A row is deleted when its own key was
+    Tables are visited parents first. A row is deleted when its own key was
     asked for or any cascading reference points at a deleted parent key; a
     table reached along several paths (written_by from consumer and from
-    review) unions its doomed keys before its own children are visited.
-    References declared ``SET NULL`` are cleared instead. Everything stays
-    lazy and set-based: anti joins remove rows, semi joins find the keys
-    that propagate further down.
+    review) takes them all into account before its own children are visited.
+    References declared ``SET NULL`` are cleared instead.
+
+    The deleted keys of each parent table are written once (key and reference
+    columns are all that is read for them), so no child derives them again.
+    A reached table then is one scan with one flagged outer join per
+    reference; rows that stay, rows that go and counts all come from it.
     """
     pk = PRIMARY_KEYS[table]
     if len(pk) != 1:
         raise ValueError("cascade_delete starts from a table with a single-column key")
-    tables = [t for t in TABLES if t in cat]
-    doomed_keys: dict[str, DataFrame] = {}  # parent table -> deleted values of its (single) key
-    new_tables: dict[str, DataFrame] = {}
-    deleted: dict[str, DataFrame] = {}
+    names = [t for t in TABLES if t in cat]
+    parents = {fk.parent for fk in FOREIGN_KEYS}
+    doomed: dict[str, DataFrame] = {}  # parent table -> written, different values of its deleted keys
+    flagged: dict[str, DataFrame] = {}
     nulled: dict[str, DataFrame] = {}
-    parents_of_something = {fk.parent for fk in FOREIGN_KEYS}
-
-    for t in _topological(tables):
-        df = cat[t]
-        t_pk = list(PRIMARY_KEYS[t])
-        incoming = [fk for fk in FOREIGN_KEYS if fk.child == t and fk.on_delete == "cascade" and fk.parent in doomed_keys]
-        doomed_conds = []  # (column, keys) pairs whose match deletes the row
-        if t == table:
-            doomed_conds.append((pk[0], restrict(df.select(pk[0]), pk[0], ids)))
-        for fk in incoming:
-            doomed_conds.append((fk.column, doomed_keys[fk.parent].select(F.col("key").alias(fk.column))))
-        if doomed_conds:
-            survivors = df
-            for column, keys in doomed_conds:
-                survivors = survivors.join(keys, column, "left_anti")
-            survivors = survivors.select(*df.columns)
-            gone = union_all([df.join(keys, column, "left_semi").select(*t_pk) for column, keys in doomed_conds])
-            deleted[t] = gone.distinct()
-            if t in parents_of_something and len(t_pk) == 1:
-                # Semi/anti joins downstream need no distinct keys: skip that shuffle.
-                doomed_keys[t] = gone.select(F.col(t_pk[0]).alias("key"))
-            df = survivors
-        new_tables[t] = df
-
-    # SET NULL references, against the final set of deleted parent keys.
-    for fk in FOREIGN_KEYS:
-        if fk.on_delete != "set_null" or fk.parent not in doomed_keys or fk.child not in new_tables:
+    asked = restrict(cat[table].select(pk[0]), pk[0], ids).select(F.col(pk[0]).alias("key"))
+    asked = written_table(asked.filter(F.col("key").isNotNull()).distinct(), f"asked-{table}")
+
+    for t in _topological(names):
+        cascades = [(fk.column, fk.parent) for fk in FOREIGN_KEYS if fk.child == t and fk.parent in doomed and fk.on_delete == "cascade"]
+        sources = [(column, doomed[parent]) for column, parent in cascades] + ([(pk[0], asked)] if t == table else [])
+        flags = [f"_gone{k}" for k in range(len(sources))]
+
+        def marked(df: DataFrame, sources=sources, flags=flags) -> DataFrame:
+            for (column, keys), flag in zip(sources, flags, strict=True):
+                df = _flag(df, column, keys, flag)
+            return df.withColumn("_gone", _any(flags)).drop(*flags)
+
+        t_pk = PRIMARY_KEYS[t]
+        if sources and t in parents and len(t_pk) == 1:
+            narrow = cat[t].select(*dict.fromkeys([t_pk[0], *(column for column, _ in sources)]))
+            keys = marked(narrow).filter(F.col("_gone") & F.col(t_pk[0]).isNotNull()).select(F.col(t_pk[0]).alias("key"))
+            doomed[t] = written_table(keys.distinct(), f"deleted-{t}")
+        clears = [fk for fk in FOREIGN_KEYS if fk.child == t and fk.parent in doomed and fk.on_delete == "set_null"]
+        if not sources and not clears:
             continue
-        child = new_tables[fk.child]
-        marks = doomed_keys[fk.parent].distinct().select(F.col("key").alias(fk.column), F.lit(True).alias("_gone"))
-        marked = child.join(marks, fk.column, "left")
-        nulled[fk.child] = marked.filter(F.col("_gone")).select(*PRIMARY_KEYS[fk.child])
-        new_tables[fk.child] = marked.select(
+        df = marked(cat[t])
+        cleared = [f"_null{k}" for k in range(len(clears))]
+        for fk, flag in zip(clears, cleared, strict=True):
+            df = _flag(df, fk.column, doomed[fk.parent], flag)
+        types = {f.name: f.dataType for f in cat[t].schema.fields}
+        emptied = {fk.column: flag for fk, flag in zip(clears, cleared, strict=True)}
+        flagged[t] = df.select(
             *[
-                F.when(F.col("_gone"), F.lit(None).cast(child.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-                if c == fk.column
-                else F.col(c)
-                for c in child.columns
-            ]
+                F.when(F.col(emptied[c]), F.lit(None).cast(types[c])).otherwise(F.col(c)).alias(c) if c in emptied else F.col(c)
+                for c in cat[t].columns
+            ],
+            "_gone",
+            (_any(cleared) & ~F.col("_gone")).alias("_nulled"),
         )
-    return DeleteResult(cat.replace(**new_tables), deleted, nulled)
+        if clears:
+            nulled[t] = flagged[t].filter("_nulled").select(*t_pk)
+    after = {t: df.filter(~F.col("_gone")).drop("_gone", "_nulled") for t, df in flagged.items()}
+    deleted = {
+        t: df.filter("_gone").select(*PRIMARY_KEYS[t]).distinct()
+        for t, df in flagged.items()
+        if t == table or any(fk.child == t and fk.parent in doomed and fk.on_delete == "cascade" for fk in FOREIGN_KEYS)
+    }
+    return DeleteResult(cat.replace(**after), deleted, nulled, flagged)
 
 
 def delete_summary(before: Catalog, result: DeleteResult) -> DataFrame:
     """table_name, rows_before, rows_after, rows_deleted, rows_set_null per table.
 
-    All counts come from one grouped count over a union of tagged scans
-    (tables the delete did not reach are counted once, after = before), so
-    the whole summary costs one shuffle of partial counts.
+    Every table is scanned once (a reached one with its flags) in one union
+    with one grouped count, so the whole summary costs one shuffle of partial
+    counts.
     """
+    names = [t for t in TABLES if t in before]
     parts = []
-    for t in TABLES:
-        if t not in before:
-            continue
-        parts.append(before[t].select(F.lit(t).alias("table_name"), F.lit("before").alias("kind")))
-        if t in result.deleted:
-            parts.append(result.catalog[t].select(F.lit(t).alias("table_name"), F.lit("after").alias("kind")))
-        if t in result.nulled:
-            parts.append(result.nulled[t].select(F.lit(t).alias("table_name"), F.lit("set_null").alias("kind")))
-    tags = union_all(parts)
-
-    def n(kind: str):
-        return F.count(F.when(F.col("kind") == kind, 1))
-
-    grouped = tags.groupBy("table_name").agg(
-        n("before").alias("_before"),
-        n("after").alias("_after"),
-        n("set_null").alias("_set_null"),
+    for t in names:
+        if t in result.flagged:
+            parts.append(result.flagged[t].select(F.lit(t).alias("table_name"), "_gone", "_nulled"))
+        else:
+            parts.append(before[t].select(F.lit(t).alias("table_name"), F.lit(False).alias("_gone"), F.lit(False).alias("_nulled")))
+    grouped = union_all(parts).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("_before"), F.count_if("_gone").alias("_gone"), F.count_if("_nulled").alias("_nulled")
     )
     # Empty tables have no group: start from the table list (metadata).
-    names = [t for t in TABLES if t in before]
-    reached = [t for t in names if t in result.deleted]
-    listed = before.spark.createDataFrame([(t, t in reached) for t in names], "table_name string, _reached boolean")
+    listed = before.spark.createDataFrame([(t,) for t in names], "table_name string")
     wide = listed.join(F.broadcast(grouped), "table_name", "left")
-    rows_before = F.coalesce(F.col("_before"), F.lit(0))
-    rows_after = F.when(F.col("_reached"), F.coalesce(F.col("_after"), F.lit(0))).otherwise(rows_before)
+    rows_before, gone = F.coalesce("_before", F.lit(0)), F.coalesce("_gone", F.lit(0))
     return wide.select(
         "table_name",
         rows_before.cast("bigint").alias("rows_before"),
-        rows_after.cast("bigint").alias("rows_after"),
-        (rows_before - rows_after).cast("bigint").alias("rows_deleted"),
-        F.coalesce(F.col("_set_null"), F.lit(0)).cast("bigint").alias("rows_set_null"),
+        (rows_before - gone).cast("bigint").alias("rows_after"),
+        gone.cast("bigint").alias("rows_deleted"),
+        F.coalesce("_nulled", F.lit(0)).cast("bigint").alias("rows_set_null"),
     ).orderBy(asc("table_name"))
 
 
 # ---------------------------------------------------------------- dedupe by external id
 
 
-@dataclass(frozen=True)
-class DedupeResult:
-    catalog: Catalog
-    mapping: DataFrame  # (old key, kept key) for every merged row
-
-
 def dedupe_by_external_id(cat: Catalog, table: str, gid_column: str) -> DedupeResult:
-    """Merge rows of ``table`` that share an external id (e.g. a MusicBrainz gid).
-
-    The smallest key per external id is kept; every foreign key pointing at
-    ``table`` is rewritten to it. Junction rows that collide after the
-    rewrite are reduced to one per primary key, keeping the row that came
-    from the smallest original key. All steps are grouped aggregates and
-    equi joins; nothing is collected.
-    """
-    pk = PRIMARY_KEYS[table]
-    if len(pk) != 1:
-        raise ValueError("dedupe works on tables with a single-column key")
-    key = pk[0]
-    df = cat[table]
-    if gid_column not in df.columns:
-        empty = cat.spark.createDataFrame([], "old_key bigint, kept_key bigint")
-        return DedupeResult(cat, empty)
-    withgid = df.filter(F.col(gid_column).isNotNull())
-    keep = withgid.groupBy(gid_column).agg(F.min(key).alias("kept_key"))
-    mapping = (
-        withgid.join(keep, gid_column)
-        .filter(F.col(key) != F.col("kept_key"))
-        .select(F.col(key).alias("old_key"), "kept_key")
-    )
-    tables: dict[str, DataFrame] = {table: df.join(mapping.select(F.col("old_key").alias(key)), key, "left_anti").select(*df.columns)}
-    for fk in FOREIGN_KEYS:
-        if fk.parent != table or fk.parent_column != key or fk.child not in cat:
-            continue
-        child = tables.get(fk.child, cat[fk.child])
-        cols = child.columns
-        m = mapping.select(F.col("old_key").alias(fk.column), "kept_key")
-        rewritten = child.join(m, fk.column, "left").select(
-            *[F.coalesce("kept_key", F.col(c)).alias(c) if c == fk.column else F.col(c) for c in cols],
-            F.col(fk.column).alias("_orig"),
-        )
-        child_pk = list(PRIMARY_KEYS[fk.child])
-        if fk.column in child_pk and fk.child != table:
-            others = [c for c in cols if c not in child_pk]
-            if others:
-                best = rewritten.groupBy(*child_pk).agg(F.min_by(F.struct(*others), "_orig").alias("_row"))
-                rewritten = best.select(*child_pk, *[F.col(f"_row.{c}").alias(c) for c in others])
-            else:
-                rewritten = rewritten.select(*child_pk).distinct()
-        tables[fk.child] = rewritten.select(*cols)
-    return DedupeResult(cat.replace(**tables), mapping)
+    """Merge rows of ``table`` that share one external id; ``dedupe.dedupe_entities`` takes several ids."""
+    return dedupe_entities(cat, table, [gid_column])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..functions.aggregates import avg2
-from ..functions.ordering import asc, asc_nulls_first, desc, desc_nulls_last
+from ..functions.ordering import asc, asc_nulls_first, desc, desc_nulls_last, text_key
 from ..plans.keys import bounded_broadcast, top_rows
 from .common import artist_names, count_per_key
 
@@ -66,7 +66,7 @@ def top_rated_tracks(
         num.cast("bigint").alias("num_ratings"),
     ).filter(F.col("num_ratings") >= F.lit(min_ratings))
     order = [desc("avg_rating"), desc("num_ratings"), asc("track_id")]
-    top = scored.orderBy(*order).limit(limit)
+    top = top_rows(scored, order, limit)
     top_b = bounded_broadcast(top, limit)
     titled = cat.track.select("track_id", "title").join(top_b, "track_id")
     names = artist_names(cat.track_artist, cat.artist, top.select("track_id"), bound=limit, collation=collation)
@@ -116,7 +116,7 @@ def most_prolific_artists(cat: Catalog, limit: int = 10, assume_keys: bool = Tru
         .filter(F.col("track_count") > 0)
     )
     order = [desc("track_count"), asc("artist_id")]
-    top = ranked.orderBy(*order).limit(limit)
+    top = top_rows(ranked, order, limit)
     credits = cat.track_artist.select("artist_id", "track_id").join(
         bounded_broadcast(top.select("artist_id"), limit), "artist_id", "left_semi"
     )
@@ -193,12 +193,13 @@ def label_catalog_size(cat: Catalog, limit: int = 10, assume_keys: bool = True)
     return out.orderBy(desc("album_count"), desc("artist_count"), asc("label_id")).limit(limit)
 
 
-def genre_tree(cat: Catalog, limit: int = 50) -> DataFrame:
+def genre_tree(cat: Catalog, limit: int = 50, collation: str | None = None) -> DataFrame:
     """Genres with their direct parent's name; roots (no parent) first."""
+    by_parent = F.collate("parent_genre", collation) if collation else F.col("parent_genre")
     parent = cat.genre.select(F.col("genre_id").alias("parent_genre_id"), F.col("name").alias("parent_genre"))
     out = cat.genre.select("genre_id", "name", "description", "parent_genre_id").join(parent, "parent_genre_id", "left")
     return (
-        out.orderBy(asc_nulls_first("parent_genre"), asc("name"), asc("genre_id"))
+        out.orderBy(asc_nulls_first(by_parent), text_key("name", collation), asc("genre_id"))
         .limit(limit)
         .select("genre_id", "name", "description", "parent_genre")
     )

@@ -43,6 +43,8 @@ class RegisteredQuery:
             return None
         body = self.oracle.strip()
         used = [t for t in TABLES if re.search(rf"\b{t}\b", body)]
+        if body[:15].upper() == "WITH RECURSIVE ":
+            return with_clause(used).replace("WITH", "WITH RECURSIVE", 1) + ",\n" + body[15:]
         if body[:5].upper() == "WITH ":
             return with_clause(used) + ",\n" + body[5:]
         return with_clause(used) + "\n" + body

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -95,6 +96,27 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
+def written_table(df, name: str):
+    """Write ``df`` once below the shared checkpoint folder and read it back.
+
+    Cuts the lineage as a reliable checkpoint does, and the size of the files
+    tells the planner whether the table can be broadcast.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{SCRATCH}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+SCRATCH = "cadenza-tables"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the written tables of this session's checkpoint folder, once nothing reads them any more."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/{SCRATCH}")
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 
 

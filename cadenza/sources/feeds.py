@@ -116,3 +116,43 @@ PLAYLIST_CHANGES_SQL = (
     "CASE WHEN l_returnflag='R' THEN 'remove' ELSE 'add' END AS op, "
     "l_orderkey*100+l_linenumber AS seq, l_shipdate AS ts FROM lineitem"
 )
+
+
+def first_track_adds(cat: Catalog) -> DataFrame:
+    """add_id, request_id, playlist_id, track_id (one per line item).
+
+    Three of four lines go to the playlist that their order asks for
+    (``playlist_requests``), the fourth to the stored playlist of that number;
+    tracks as in ``playlist_add_requests``.
+    """
+    li = cat.source("lineitem")
+    tracks = cat.source("part").select(F.count("*")).scalar()
+    new = F.col("l_linenumber") % 4 != 0
+    return li.select(
+        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("add_id"),
+        F.when(new, F.col("l_orderkey")).alias("request_id"),
+        F.when(~new, F.col("l_orderkey")).alias("playlist_id"),
+        F.when(F.col("l_linenumber") % 2 == 1, F.col("l_orderkey") % (tracks + 50)).otherwise(F.col("l_partkey")).alias("track_id"),
+    )
+
+
+FIRST_TRACKS_SQL = (
+    "SELECT l_orderkey*100+l_linenumber AS add_id, CASE WHEN l_linenumber%4<>0 THEN l_orderkey END AS request_id, "
+    "CASE WHEN l_linenumber%4=0 THEN l_orderkey END AS playlist_id, "
+    "CASE WHEN l_linenumber%2=1 THEN l_orderkey%((SELECT count(*) FROM part)+50) ELSE l_partkey END AS track_id FROM lineitem"
+)
+
+
+def playlist_remove_requests(cat: Catalog) -> DataFrame:
+    """request_id, playlist_id, track_id: every returned line item asks, and those of odd lines ask once more later."""
+    li = cat.source("lineitem").filter(F.col("l_returnflag") == "R")
+    own = F.col("l_orderkey") * 100 + F.col("l_linenumber")
+    pair = [F.col("l_orderkey").alias("playlist_id"), F.col("l_partkey").alias("track_id")]
+    again = li.filter(F.col("l_linenumber") % 2 == 1).select((-own).alias("request_id"), *pair)
+    return li.select(own.alias("request_id"), *pair).unionByName(again)
+
+
+PLAYLIST_REMOVE_REQUESTS_SQL = (
+    "SELECT l_orderkey*100+l_linenumber AS request_id, l_orderkey AS playlist_id, l_partkey AS track_id FROM lineitem WHERE l_returnflag='R' "
+    "UNION ALL SELECT -(l_orderkey*100+l_linenumber), l_orderkey, l_partkey FROM lineitem WHERE l_returnflag='R' AND l_linenumber%2=1"
+)

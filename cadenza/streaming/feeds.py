@@ -2,8 +2,10 @@
 
 A request feed (files landing in a folder, or any streaming source) is read
 with ``readStream``; every micro-batch runs one write job from
-``operators.ingest`` against the stored catalog and appends its outputs
-under ``<root>/_appends/<table>/stream_id=<s>/batch_id=<n>``. The stream id
+``operators.ingest`` (or a delete of ``operators.integrity``) against the
+stored catalog and writes its rows and removed keys under
+``<root>/_appends`` and ``<root>/_removes``,
+``<table>/stream_id=<s>/batch_id=<n>``. The stream id
 is made once and kept beside the stream's checkpoint, so a second stream, or
 one started with a new checkpoint, never shares a batch with another. A batch
 is published by one marker after all of its tables are written: a crash in
@@ -22,13 +24,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..catalog import Catalog
-from ..operators import ingest
-from ..sources.files import commit_batch, is_committed, load_catalog, write_appends
+from ..operators import ingest, integrity
+from ..plans.keys import KeySet
+from ..schemas import PRIMARY_KEYS
+from ..sources.files import Changes, commit_batch, is_committed, load_catalog, write_appends, write_removes
 
-Job = Callable[[Catalog, DataFrame, int], dict[str, DataFrame]]
+# A job gives the rows to append by table, or a batch with removals.
+Job = Callable[[Catalog, DataFrame, int], dict[str, DataFrame] | Changes]
 
 REVIEW_REQUEST_SCHEMA = "request_id BIGINT, consumer_id BIGINT, track_id BIGINT, rating INT, review_text STRING"
 PLAYLIST_ADD_SCHEMA = "request_id BIGINT, playlist_id BIGINT, track_id BIGINT"
+PLAYLIST_REMOVE_SCHEMA = PLAYLIST_ADD_SCHEMA
 
 
 def review_job(rating_range: tuple[int, int] = (1, 5)) -> Job:
@@ -52,6 +58,26 @@ def playlist_add_job() -> Job:
     return run
 
 
+def playlist_remove_job() -> Job:
+    """Requests (request_id, playlist_id, track_id) that take tracks off playlists."""
+
+    def run(cat: Catalog, requests: DataFrame, batch_id: int) -> Changes:
+        out = ingest.playlist_remove(cat, requests)
+        return Changes({"_rejects_playlist_remove": out.rejects}, {"playlist_track": out.removed})
+
+    return run
+
+
+def cascade_delete_job(table: str) -> Job:
+    """Requests with the key of ``table``: those rows go, with all that depends on them."""
+
+    def run(cat: Catalog, requests: DataFrame, batch_id: int) -> Changes:
+        keys: KeySet = requests.select(PRIMARY_KEYS[table][0])
+        return integrity.cascade_delete(cat, table, keys).changes()
+
+    return run
+
+
 def stream_id(spark: SparkSession, checkpoint_location: str) -> str:
     """The id of the stream with this checkpoint; made at its first start."""
     path = f"{checkpoint_location.rstrip('/')}/cadenza_stream_id"
@@ -71,7 +97,11 @@ def catalog_sink(root: str, job: Job, stream: str) -> Callable[[DataFrame, int],
         if is_committed(spark, root, stream, batch_id):
             return
         cat = load_catalog(spark, root, skip_batch=(stream, batch_id))
-        for table, df in job(cat, batch_df, batch_id).items():
+        out = job(cat, batch_df, batch_id)
+        changes = out if isinstance(out, Changes) else Changes(out)
+        for table, keys in changes.removes.items():
+            write_removes(keys, root, table, stream, batch_id, cat.as_of)
+        for table, df in changes.appends.items():
             write_appends(df, root, table, stream, batch_id)
         commit_batch(spark, root, stream, batch_id)
 

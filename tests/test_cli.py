@@ -9,6 +9,7 @@ def test_every_operator_has_a_sub_command():
     for name in WRITES:
         args = p.parse_args(["--catalog", "/x", name, "--requests", "r.csv", "--out", "/o"])
         assert args.requests == "r.csv" and args.sub_out == "/o"
+        assert p.parse_args(["--catalog", "/x", name, "--requests", "r.csv", "--commit", "job"]).commit == "job"
 
 
 def test_ids_and_limits():

@@ -1,9 +1,11 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+from table_rows import rows
+
 from cadenza.operators import ingest, integrity
 from cadenza.schemas import FOREIGN_KEYS
-from table_rows import rows
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -232,6 +234,120 @@ def test_dedupe_artists_by_external_id(spark):
     assert rows(res.catalog.producer)[0][4] == 1
 
 
+def test_dedupe_over_several_ids_follows_chains(make_catalog, spark):
+    from cadenza.operators.dedupe import ID_TABLES, dedupe_entities
+    from cadenza.schemas import schema
+
+    cat = make_catalog(
+        track_artist=[(1, 7, "a"), (3, 7, "b"), (4, 8, "c"), (9, 7, "d"), (3, 9, "e")],
+        track_isrc=[(2, "X", True), (4, "Y", True), (5, "Y", True), (99, "Y", True), (6, None, True)],
+        track_genre=[(3, 1), (4, 1), (9, 1)],
+        review=[(50, 3, None, None, 1, 4), (51, 3, None, None, 1, 9)],
+        gets=[(50, 4), (50, 5), (51, 9)],
+    )
+    # 1-2 by gid, 2-3 by ISRC (one on the row, one listed), 4-5 by listed ISRC, 5-3 by gid: one entity; 6 to 9 alone.
+    ids = [(1, "g1", None), (2, "g1", None), (3, "g2", "X"), (4, None, None), (5, "g2", None), (6, None, None), (9, "g9", None)]
+    track = spark.createDataFrame(ids, "track_id long, mb_recording_gid string, isrc string").withColumn("title", F.lit("t"))
+    full = track.select(*[c if c in track.columns else F.lit(None).cast(f.dataType).alias(c) for f in schema("track").fields for c in [f.name]], "mb_recording_gid", "isrc")
+    res = dedupe_entities(cat.replace(track=full), "track", ["mb_recording_gid", "isrc"], ID_TABLES["track"])
+    assert sorted(rows(res.mapping)) == [(2, 1), (3, 1), (4, 1), (5, 1)]
+    assert sorted(r[0] for r in rows(res.catalog.track)) == [1, 6, 9]
+    assert sorted(rows(res.catalog.track_artist)) == [(1, 7, "a"), (1, 8, "c"), (1, 9, "e"), (9, 7, "d")]
+    assert sorted(rows(res.catalog.track_genre)) == [(1, 1), (9, 1)] and sorted(rows(res.catalog.gets)) == [(50, 1), (51, 9)]
+    assert sorted(rows(res.catalog.review.select("review_id", "track_id"))) == [(50, 1), (51, 9)]
+    assert sorted(rows(res.catalog.track_isrc.select("track_id", "isrc"))) == [(1, "X"), (1, "Y"), (6, None), (99, "Y")]
+
+
+def test_components_of_long_chains(spark):
+    from cadenza.plans.components import connected_components
+
+    chain = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (95, 80), (7, 7)]
+    got = dict(rows(connected_components(spark.createDataFrame(chain, "a long, b long"))))
+    assert got == {i: 0 for i in range(41)} | {k: 80 for k in (80, 90, 95, 100)}
+    assert connected_components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
+
+
+def test_requests_on_repeated_parent_keys_are_not_multiplied(make_catalog, spark):
+    twice = [(10, "T", 1, None, None, None, False)] * 2
+    cat = make_catalog(track=twice, consumer=[(1, "One"), (1, "One")], users=[(1, "u", None, None, None)] * 2, playlist=[(20, "P", None, True, 1)] * 2, playlist_track=[(20, 11, T0)] * 2)
+    req = spark.createDataFrame([(1, 1, 10, 3, "x"), (2, 1, 99, 3, "x")], "request_id long, consumer_id long, track_id long, rating int, review_text string")
+    batch = ingest.ingest_reviews(cat, req)
+    assert len(rows(batch.review)) == 1 and rows(batch.rejects) == [(2, "unknown track")]
+    lists = spark.createDataFrame([(1, 1, "A", None, None)], "request_id long, user_id long, name string, description string, public string")
+    assert len(rows(ingest.ingest_playlists(cat, lists).playlist)) == 1
+    adds = spark.createDataFrame([(1, 20, 10), (2, 20, 11), (3, 20, 10)], "request_id long, playlist_id long, track_id long")
+    out = ingest.playlist_add(cat, adds)
+    assert [r[:2] for r in rows(out.added)] == [(20, 10)]
+    assert sorted((r[0], r[3]) for r in rows(out.rejects)) == [(2, "unknown track"), (3, "duplicate in batch")]
+
+
+def test_each_removal_is_answered_by_itself(make_catalog, spark):
+    cat = _base(make_catalog)
+    asked = spark.createDataFrame([(5, 20, 10), (2, 20, 10), (3, 20, 11), (4, 20, 11)], "request_id long, playlist_id long, track_id long")
+    out = ingest.playlist_remove(cat, asked)
+    assert [r[:2] for r in rows(out.removed)] == [(20, 10)] and rows(out.remaining) == []
+    assert sorted(rows(out.rejects)) == [(3, 20, 11, "not on playlist"), (4, 20, 11, "not on playlist"), (5, 20, 10, "not on playlist")]
+
+
+def test_playlists_with_their_first_tracks(make_catalog, spark):
+    cat = _base(make_catalog)
+    lists = spark.createDataFrame([(1, 1, "A", None, "no"), (2, 1, "", None, None), (3, 2, "B", None, None)], "request_id long, user_id long, name string, description string, public string")
+    adds = spark.createDataFrame(
+        [(1, 1, None, 10), (2, 1, None, 10), (3, 1, None, 99), (4, 2, None, 10), (5, 3, None, 11), (6, None, 20, 10), (7, None, 20, 11), (8, None, 99, 11), (9, 44, None, 11), (10, 1, 21, 11), (11, None, None, 10)],
+        "add_id long, request_id long, playlist_id long, track_id long",
+    )
+    out = ingest.ingest_playlists_with_tracks(cat, lists, adds, batch_date="2026-01-01", batch_ts="2026-01-01 00:00:00")
+    assert sorted(r[:2] for r in rows(out.playlist)) == [(22, "A"), (23, "B")] and sorted(rows(out.makes)) == [(1, 22), (2, 23)]
+    assert sorted(r[:2] for r in rows(out.playlist_track)) == [(20, 11), (22, 10), (22, 11), (23, 11)]
+    assert {r[2] or r[0]: r[3] for r in rows(out.rejects)} == {
+        "playlist": "name required", 2: "duplicate in batch", 3: "unknown track", 4: "playlist not created",
+        6: "already on playlist", 8: "unknown playlist", 9: "playlist not created", 11: "unknown playlist",
+    }
+
+
+def test_batch_check_equals_the_full_check_before_and_after(make_catalog, spark):
+    from cadenza.operators.batch_checks import applied, batch_violations
+    from cadenza.schemas import schema
+    from cadenza.sources.files import Changes
+
+    rnd = random.Random(3)
+
+    def some(keys, n, null=0.1):
+        return [tuple(None if rnd.random() < null else rnd.randrange(k) for k in keys) for _ in range(n)]
+
+    def tracks(n):
+        got = [(k, "t", f"i{i}" if i is not None else None) for k, i in some((8, 5), n)]
+        return spark.createDataFrame(got, "track_id long, title string, isrc string")
+
+    cat = make_catalog(artist=[(k, "n", None, None, None) for (k,) in some((6,), 6)], track_artist=[(*p, "r") for p in some((9, 7), 25)])
+    cat = cat.replace(track=tracks(10))
+    adds = {
+        "track": tracks(4),
+        "track_artist": spark.createDataFrame([(*p, "r") for p in some((9, 7), 8)], schema("track_artist")),
+        "artist": spark.createDataFrame([(k, "n", None, None, None) for (k,) in some((7,), 2)], schema("artist")),
+    }
+    gone = {
+        "track": spark.createDataFrame(some((8,), 3, 0), "track_id long"),
+        "artist": spark.createDataFrame(some((6,), 2, 0), "user_id long"),
+        "track_artist": spark.createDataFrame(some((9, 7), 6, 0), "track_id long, artist_id long"),
+    }
+    changes = Changes(adds, gone)
+    before, after = ({r[0]: r[3] for r in rows(integrity.integrity_report(c))} for c in (cat, applied(cat, changes)))
+    found = {r[0]: r[3] for r in rows(batch_violations(cat, changes))}
+    assert found == {name: after[name] - before[name] for name in found}
+    assert {n for n in after if after[n] != before[n]} <= set(found) and {"track.pk", "track.isrc.unique"} <= set(found)
+    assert {n.split(".")[0] for n in found} >= {"track", "track_artist", "artist"}
+    assert rows(batch_violations(cat, Changes())) == []
+
+
+def test_absent_constraints_are_listed(make_catalog):
+    cat = make_catalog()
+    del cat._tables["genre"]
+    report = {r[0]: (r[3], r[4]) for r in rows(integrity.integrity_report(cat, include_absent=True))}
+    assert report["genre.pk"] == (None, "absent") and report["track.isrc.unique"] == (None, "absent") and report["track.pk"] == (0, "checked")
+    assert report["track_genre.genre_id->genre.genre_id"] == (None, "absent")
+
+
 def test_key_name_from_pitch_class(spark):
     from cadenza.functions.music import key_name
 

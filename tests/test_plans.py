@@ -65,3 +65,24 @@ def test_searched_table_is_read_once(small_catalog):
     assert "c_name" not in _plan(search.search_users(small_catalog, "0001", 20))
     plan = _plan(reports.recent_reviews(small_catalog, 25))
     assert plan.count("TakeOrderedAndProject") == 1
+
+
+def test_reports_take_their_top_rows_once(small_catalog):
+    # The ranking is evaluated while the query is built; what is left reads names and titles of k rows.
+    for df in (reports.top_rated_tracks(small_catalog, limit=10), reports.most_prolific_artists(small_catalog, 10)):
+        assert _plan(df).count("TakeOrderedAndProject") == 1
+    assert "l_quantity" not in _plan(reports.top_rated_tracks(small_catalog, limit=10))
+
+
+def test_find_consumers_filters_each_side_before_they_meet(small_catalog):
+    plan = _plan(search.find_consumers(small_catalog, "build", 10))
+    assert plan.count("LeftSemi") >= 2 and plan.count("Contains") >= 2
+
+
+def test_cascade_scans_a_reached_table_once(make_catalog):
+    cat = make_catalog(users=[(1, "u", None, None, None)], consumer=[(1, "c")], review=[(5, 1, "x", None, 1, 2)])
+    rows_left = integrity.cascade_delete(cat, "users", [1]).catalog.written_by
+    plan = _plan(rows_left)
+    # One scan of the bridge, one outer join per reference, the deleted keys read from their written tables.
+    assert len(re.findall(r"Scan ExistingRDD\[consumer_id", plan)) == 1
+    assert len(re.findall(r"LeftOuter", plan)) == 2 and plan.count("ReadSchema: struct<key:bigint>") == 2
