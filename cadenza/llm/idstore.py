@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filesystem, materialise, memo_encoder, scratch_path, texts_of
+from .common import filesystem, materialise, memo_encoder, scratch_path
 
 END_ID = 0
 MAGIC = b"CDZMPH01"
@@ -210,7 +210,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, *, end_id:
                     continue
                 sink = sink or store.open_output_stream(f"{where}/{name}")
                 ids = batch.column("doc_id").to_pylist()
-                raws = encoder.encode_batch(texts_of(batch))
+                raws = encoder.encode_column(batch.column("text"))
                 turns, lengths = [], []
                 for doc, raw in zip(ids, raws, strict=True):
                     occurrence = occurrence + 1 if doc == last else 0

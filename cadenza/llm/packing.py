@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, memo_encoder, texts_of
+from .common import materialise, memo_encoder
 
 CAPACITY = 1024
 END_ID = 2
@@ -232,7 +232,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end_id:
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             rows: list[tuple] = []
-            for doc, raw in zip(batch.column("doc_id").to_pylist(), encoder.encode_batch(texts_of(batch)), strict=True):
+            for doc, raw in zip(batch.column("doc_id").to_pylist(), encoder.encode_column(batch.column("text")), strict=True):
                 raw += end
                 n = len(raw) // 4
                 at, count = 0, -(-n // capacity)
