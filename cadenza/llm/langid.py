@@ -201,9 +201,11 @@ def sample(docs: DataFrame, usable: Column, *, docs_per_language: int = DOCS_PER
     """The bounded training sample: (segment, language) of labelled rows for which ``usable`` holds."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")).where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = rows.groupBy("lang").agg(F.count("*").alias("rows"))
-    chosen = rows.join(F.broadcast(counts), "lang")  # one row per language
+    chosen = rows.join(counts, "lang")
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    chosen = chosen.where(share * F.col("rows") < F.lit(float(docs_per_language))).select("lang", "text")
+    chosen = chosen.where(share * F.col("rows") < F.lit(float(docs_per_language)))
+    # One row of a chosen doc_id, however often it comes: the sample is bounded by ids, whatever repeats.
+    chosen = chosen.groupBy("lang", "doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")).select("lang", "first.text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -88,3 +88,13 @@ def test_odd_rows(spark, odd_docs):
     assert all(r.lang_pred == "und" and r.score == 0 for r in unlabelled)
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert L.identify(empty).collect() == []
+
+
+def test_sample_is_bounded_by_ids_whatever_repeats(spark):
+    from pyspark.sql import functions as F
+
+    text = F.concat(F.lit("alpha beta gamma "), F.when(F.col("id") % 2 == 0, F.lit("delta")).otherwise(F.lit("kappa")))
+    rows = spark.range(4000).select(F.lit(7).cast("long").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"))
+    rows = rows.unionByName(spark.range(3000).select((F.col("id") + 100).alias("doc_id"), text.alias("text"), F.lit("en").alias("lang")))
+    found = L.sample(rows, F.lit(True), docs_per_language=50)
+    assert 0 < len(found) <= 4 * 150 and sum(s in (b"delta", b"kappa") for s, _ in found) <= 150

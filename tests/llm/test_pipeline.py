@@ -99,3 +99,16 @@ def test_one_row_of_each_near_duplicate_group(spark):
     assert made.columns == docs.columns
     got = [(r.doc_id, texts.index(r.text)) for r in made.collect()]
     assert sorted(got, key=str) == sorted([(1, 0), (2, 1), (None, 2), (3, 3), (None, 4), (9, 5)], key=str)
+
+
+def test_extra_columns_with_the_names_of_helpers_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(60)
+    names = ["r_id", "R_HASH", "near_dup_row", "f_id", "f_hash", "found", "row_hash", "row_key", "fp", "lang_pred"]
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, pipeline.F.lit(f"{name}{k}"))
+    for _, stage in pipeline.STAGES[:-1]:
+        made = pipeline.materialise(stage(spark, docs, SF), "test")
+        assert made.columns == docs.columns
+        assert [r[name] for r in made.limit(1).collect() for name in names] == [f"{name}{k}" for k, name in enumerate(names)]
+        docs = made
+    assert pipeline.STAGES[-1][1](spark, docs, SF).count() >= docs.count() > 20
