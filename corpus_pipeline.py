@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm import langid, packing, pii, quality, simhash
-from cadenza.llm.common import materialise, scratch_path
+from cadenza.llm.common import materialise, scratch_path, unused
 from cadenza.llm.queries import BYTE_BPE, table
 
 #: Pooled probability below which a document's language counts as not identified.
@@ -26,9 +26,10 @@ MIN_LANGUAGE_SCORE = 0.25
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose (doc_id, hash of the text) is not in ``rejected(doc_id, row_hash)``."""
-    keys = materialise(rejected.select(F.col("doc_id").alias("r_id"), F.col("row_hash").alias("r_hash")).distinct(), "rejected").hint("merge")
+    id_, hash_ = unused(docs, "r_id"), unused(docs, "r_hash")
+    keys = materialise(rejected.select(F.col("doc_id").alias(id_), F.col("row_hash").alias(hash_)).distinct(), "rejected").hint("merge")
     own = F.xxhash64("text")
-    return docs.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col("r_id")) & own.eqNullSafe(F.col("r_hash")), "left_anti")
+    return docs.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & own.eqNullSafe(F.col(hash_)), "left_anti")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +45,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each SimHash group: the smallest by doc_id (null last), then by hash of the text, then any one."""
-    rows = materialise(docs.withColumn("near_dup_row", F.monotonically_increasing_id()), "rows")
-    kept = materialise(simhash.representatives(rows, "near_dup_row"), "kept").hint("merge")
-    return rows.join(kept, "near_dup_row", "left_semi").drop("near_dup_row").select(*docs.columns)
+    row = unused(docs, "near_dup_row")
+    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    kept = materialise(simhash.representatives(rows, row), "kept").hint("merge")
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
