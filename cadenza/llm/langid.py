@@ -1,23 +1,23 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads the bytes of a segment in both directions, labels every
-position with a distribution over languages, and is trained in numpy by
-backpropagation through time on the mean cross-entropy of all positions. A
-segment is a run of non-space bytes of the lower-cased text (at most
-``SEGMENT`` bytes; longer runs go on in further segments), and the states
-start anew with each, so a segment's labels depend on its bytes alone and
-each distinct segment is run once per worker. A document's probabilities are
-the mean of the labels of all its positions.
+The network reads the bytes of a whole text (lower-cased, runs of white space
+as one space) in both directions, labels every position with a distribution
+over languages, and is trained in numpy by backpropagation through time on the
+mean cross-entropy of all positions. States run on across words and lines. A
+text of more than ``WINDOW`` bytes is read in windows of that many: each
+starts ``OVERLAP`` bytes before and ends ``OVERLAP`` bytes after the positions
+that it labels, so that both states are warm there, and every position is
+labelled by exactly one window. A document's probabilities are the mean of the
+labels of all its positions.
 
 Training rows are a bounded sample: about ``DOCS_PER_LANGUAGE`` documents of
 each language, chosen by the hash of their id, and of each at most
-``SEGMENTS_PER_DOC`` segments, spread over the whole text.
+``PASSAGES_PER_DOC`` passages of ``PASSAGE`` bytes, spread over the whole text.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,28 +28,38 @@ from pyspark.sql import functions as F
 
 from .common import release, texts_of
 
-SEGMENT = 24
-HIDDEN = 16
+#: Positions that one run labels, and the bytes read before and after them.
+WINDOW = 512
+OVERLAP = 32
+HIDDEN = 8
 EMBED = 8
 DOCS_PER_LANGUAGE = 300
-SEGMENTS_PER_DOC = 60
-EPOCHS = 6
-BATCH = 128
+PASSAGES_PER_DOC = 6
+PASSAGE = 64
+EPOCHS = 3
+BATCH = 32
 RATE = 0.01
 SEED = 7
 UNKNOWN = "und"
-#: Segments whose labels a task keeps before it starts afresh (a memory bound only).
-MEMO_SEGMENTS = 400_000
+#: Windows run side by side, and bytes of texts that a task cuts up at a time (memory bounds only).
+ROWS = 512
+BYTES = 4 << 20
 
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def segments(text: str) -> list[bytes]:
-    """Segments of a whole text, in order."""
-    runs = text.lower().encode("utf-8", "surrogatepass").split()
-    if len(max(runs, key=len, default=b"")) <= SEGMENT:
-        return runs
-    return [r[i : i + SEGMENT] for r in runs for i in range(0, len(r), SEGMENT)]
+def positions(text: str) -> bytes:
+    """The bytes of a whole text that the network reads."""
+    return b" ".join(text.lower().encode("utf-8", "surrogatepass").split())
+
+
+def windows(data: bytes) -> list[tuple[bytes, int, int]]:
+    """(bytes read, first labelled place, end of the labelled places) of each window, in order."""
+    out = []
+    for at in range(0, len(data), WINDOW):
+        first = max(0, at - OVERLAP)
+        out.append((data[first : at + WINDOW + OVERLAP], at - first, min(at + WINDOW, len(data)) - first))
+    return out
 
 
 @dataclass
@@ -72,94 +82,112 @@ class Network:
         return Network(labels, {k: v.astype(np.float32) for k, v in w.items()})
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
-def pad(batch: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(time, row) byte codes and lengths."""
+def pad(batch: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows from long to short: (time, row) byte codes, the place of each row in ``batch``, and how many rows each step still has."""
     lengths = np.array([len(b) for b in batch])
+    order = np.argsort(-lengths, kind="stable")
     width = max(int(lengths.max()), 1)
-    codes = np.frombuffer(b"".join(b.ljust(width, b"\0") for b in batch), dtype=np.uint8).reshape(len(batch), width)
-    return np.ascontiguousarray(codes.T), lengths
+    codes = np.frombuffer(b"".join(batch[i].ljust(width, b"\0") for i in order), dtype=np.uint8).reshape(len(batch), width)
+    active = len(batch) - np.searchsorted(lengths[order][::-1], np.arange(width), side="right")
+    return codes.T.astype(np.intp, order="C"), order, active
+
 
+def _softsign(x: np.ndarray) -> None:
+    """x / (1 + abs(x)) in place: the activation of the gates and the candidate, a fraction of the cost of tanh."""
+    size = np.abs(x)
+    size += 1
+    x /= size
 
-def _run(net: Network, codes: np.ndarray, mask: np.ndarray, d: str, keep: bool) -> tuple[np.ndarray, list]:
-    """Hidden states of one direction; steps beyond a row's end leave its state as it is."""
+
+def _run(net: Network, codes: np.ndarray, active: np.ndarray, d: str, keep: bool = False) -> tuple[np.ndarray, list]:
+    """(time, unit, row) hidden states of one direction, zero beyond a row's end."""
     w, h_n = net.weights, HIDDEN
-    table = w["embed"] @ w[f"x{d}"] + w[f"b{d}"]  # every byte's share of the gates, once
+    table = np.ascontiguousarray((w["embed"] @ w[f"x{d}"] + w[f"b{d}"]).T)  # every byte's share of the gates, once
+    recurrent = np.ascontiguousarray(w[f"h{d}"].T)
+    gates, candidate = recurrent[: 2 * h_n], recurrent[2 * h_n :]
     time, rows = codes.shape
-    h = np.zeros((rows, h_n), dtype=np.float32)
-    states, saved = np.zeros((time, rows, h_n), dtype=np.float32), []
-    gates, candidate = np.ascontiguousarray(w[f"h{d}"][:, : 2 * h_n]), np.ascontiguousarray(w[f"h{d}"][:, 2 * h_n :])
+    states, saved = np.zeros((time, h_n, rows), dtype=table.dtype), []
+    h = np.zeros((h_n, rows), dtype=table.dtype)
     for t in range(time) if d == "f" else range(time - 1, -1, -1):
-        x = table[codes[t]]
-        zr = _sigmoid(x[:, : 2 * h_n] + h @ gates)
-        z, r = zr[:, :h_n], zr[:, h_n:]
+        n = active[t]
+        h = h[:, :n]
+        x = table.take(codes[t, :n], axis=1, mode="clip")
+        zr = gates @ h
+        zr += x[: 2 * h_n]
+        _softsign(zr)
+        zr *= 0.5
+        zr += 0.5
+        z, r = zr[:h_n], zr[h_n:]
         rh = r * h
-        c = np.tanh(x[:, 2 * h_n :] + rh @ candidate)
-        m = mask[t][:, None]
-        new = h + m * z * (c - h)
+        c = candidate @ rh
+        c += x[2 * h_n :]
+        _softsign(c)
         if keep:
-            saved.append((t, h, z, r, rh, c, m))
-        h = new
-        states[t] = h
+            saved.append((t, n, h, z, r, rh, c))
+        step = c - h
+        step *= z
+        np.add(h, step, out=states[t, :, :n])
+        h = states[t]
     return states, saved
 
 
-def position_logits(net: Network, codes: np.ndarray, lengths: np.ndarray, keep: bool = False) -> tuple:
-    mask = (np.arange(codes.shape[0])[:, None] < lengths[None, :]).astype(np.float32)
-    forward, saved_f = _run(net, codes, mask, "f", keep)
-    backward, saved_b = _run(net, codes, mask, "b", keep)
-    both = np.concatenate([forward, backward], axis=2)
-    return both @ net.weights["out"] + net.weights["bias"], mask, both, saved_f, saved_b
-
-
 def _softmax(x: np.ndarray) -> np.ndarray:
-    e = np.exp(x - x.max(axis=-1, keepdims=True))
-    return e / e.sum(axis=-1, keepdims=True)
+    """Over the labels of (time, label, row) logits."""
+    e = np.exp(x - x.max(axis=1, keepdims=True))
+    e /= e.sum(axis=1, keepdims=True)
+    return e
 
 
 def gradients(net: Network, batch: list[bytes], target: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean cross-entropy over all positions and its gradients, through time in both directions."""
-    codes, lengths = pad(batch)
-    logits, mask, both, saved_f, saved_b = position_logits(net, codes, lengths, keep=True)
-    p = _softmax(logits)
+    w, h_n = net.weights, HIDDEN
+    codes, order, active = pad(batch)
+    target, rows = target[order], np.arange(len(batch))
+    mask = (rows[None, :] < active[:, None]).astype(w["out"].dtype)
+    forward, saved_f = _run(net, codes, active, "f", keep=True)
+    backward, saved_b = _run(net, codes, active, "b", keep=True)
+    both = np.concatenate([forward, backward], axis=1)
+    delta = _softmax(w["out"].T @ both + w["bias"][:, None])
     count = mask.sum()
-    picked = p[:, np.arange(len(batch)), target]
-    loss = float(-(np.log(picked + 1e-12) * mask).sum() / count)
-    delta = p
-    delta[:, np.arange(len(batch)), target] -= 1
-    delta *= mask[:, :, None] / count
-    w = net.weights
+    loss = float(-(np.log(delta[:, target, rows] + 1e-12) * mask).sum() / count)
+    delta[:, target, rows] -= 1
+    delta *= mask[:, None, :] / count
     g = {k: np.zeros_like(v) for k, v in w.items()}
-    g["out"] = np.einsum("tbh,tbl->hl", both, delta)
-    g["bias"] = delta.sum(axis=(0, 1))
-    d_both = delta @ w["out"].T
-    for d, saved, share in (("f", saved_f, d_both[:, :, :HIDDEN]), ("b", saved_b, d_both[:, :, HIDDEN:])):
-        d_h = np.zeros((len(batch), HIDDEN), dtype=np.float32)
+    g["out"] = np.tensordot(both, delta, axes=([0, 2], [0, 2]))
+    g["bias"] = delta.sum(axis=(0, 2))
+    d_both = w["out"] @ delta
+    for d, saved, share in (("f", saved_f, d_both[:, :h_n]), ("b", saved_b, d_both[:, h_n:])):
         rec = w[f"h{d}"]
-        table_grad = np.zeros((256, 3 * HIDDEN), dtype=np.float32)
-        for t, h, z, r, rh, c, m in reversed(saved):
-            d_h = d_h + share[t]
-            d_new = d_h * m
-            d_c = d_new * z * (1 - c * c)
-            d_rh = d_c @ rec[:, 2 * HIDDEN :].T
-            d_z = d_new * (c - h) * z * (1 - z)
-            d_r = d_rh * h * r * (1 - r)
-            d_zr = np.concatenate([d_z, d_r], axis=1)
-            g[f"h{d}"][:, : 2 * HIDDEN] += h.T @ d_zr
-            g[f"h{d}"][:, 2 * HIDDEN :] += rh.T @ d_c
-            np.add.at(table_grad, codes[t], np.concatenate([d_zr, d_c], axis=1))
-            d_h = d_h - d_new * z + d_rh * r + d_zr @ rec[:, : 2 * HIDDEN].T
+        d_h = np.zeros((h_n, len(batch)), dtype=rec.dtype)
+        parts = []
+        for t, n, h, z, r, rh, c in reversed(saved):
+            d_new = d_h[:, :n] + share[t, :, :n]
+            d_c = d_new * z * (1 - np.abs(c)) ** 2
+            d_rh = rec[:, 2 * h_n :] @ d_c
+            d_zr = np.concatenate([d_new * (c - h), d_rh * h]) * 0.5 * (1 - np.abs(2 * np.concatenate([z, r]) - 1)) ** 2
+            g[f"h{d}"][:, : 2 * h_n] += h @ d_zr.T
+            g[f"h{d}"][:, 2 * h_n :] += rh @ d_c.T
+            parts.append((codes[t, :n], np.concatenate([d_zr, d_c]).T))
+            d_h[:, :n] = d_new - d_new * z + d_rh * r + rec[:, : 2 * h_n] @ d_zr
+        table_grad = _by_byte(np.concatenate([k for k, _ in parts]), np.concatenate([v for _, v in parts]))
         g["embed"] += table_grad @ w[f"x{d}"].T
         g[f"x{d}"] = w["embed"].T @ table_grad
         g[f"b{d}"] = table_grad.sum(axis=0)
     return loss, g
 
 
+def _by_byte(codes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sum of the rows of each byte."""
+    order = np.argsort(codes, kind="stable")
+    present, first = np.unique(codes[order], return_index=True)
+    out = np.zeros((256, rows.shape[1]), dtype=rows.dtype)
+    if len(present):
+        out[present] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
 def train(samples: list[tuple[bytes, str]], *, epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> Network:
-    """Fit a network to (segment, language) samples with Adam. Languages weigh alike, whatever their share."""
+    """Fit a network to (passage, language) samples with Adam. Languages weigh alike, whatever their share."""
     labels = sorted({lang for _, lang in samples})
     net = Network.fresh(labels, seed)
     by_label = [[s for s, lang in samples if lang == name and s] for name in labels]
@@ -185,20 +213,38 @@ def train(samples: list[tuple[bytes, str]], *, epochs: int = EPOCHS, rate: float
     return net
 
 
-def pooled(net: Network, batch: list[bytes]) -> np.ndarray:
-    """Sum of the position probabilities of each segment, one row per segment."""
-    out = np.zeros((len(batch), len(net.labels)), dtype=np.float32)
-    order = np.argsort([len(b) for b in batch], kind="stable")
-    for at in range(0, len(batch), 4096):  # rows of like length together
-        rows = order[at : at + 4096]
-        codes, lengths = pad([batch[i] for i in rows])
-        logits, mask, *_ = position_logits(net, codes, lengths)
-        out[rows] = (_softmax(logits) * mask[:, :, None]).sum(axis=0)
+def pooled(net: Network, texts: list[bytes]) -> np.ndarray:
+    """Sum of the position probabilities of each text, one row per text."""
+    out = np.zeros((len(texts), len(net.labels)))
+    cut = [(i, *w) for i, data in enumerate(texts) for w in windows(data)]
+    cut.sort(key=lambda w: len(w[1]))  # windows of like length together
+    for at in range(0, len(cut), ROWS):
+        part = cut[at : at + ROWS]
+        codes, order, active = pad([w[1] for w in part])
+        owner, first, end = (np.array([part[i][k] for i in order]) for k in (0, 2, 3))
+        states = [_run(net, codes, active, d)[0] for d in "fb"]
+        found = np.zeros((len(net.labels), len(part)))
+        for t in range(0, len(codes), 64):
+            place = np.arange(t, min(t + 64, len(codes)))[:, None]
+            labelled = (place >= first) & (place < end)
+            logits = net.weights["out"][:HIDDEN].T @ states[0][t : t + 64] + net.weights["out"][HIDDEN:].T @ states[1][t : t + 64]
+            found += (_softmax(logits + net.weights["bias"][:, None]) * labelled[:, None, :]).sum(axis=0)
+        np.add.at(out, owner, found.T)
     return out
 
 
-def sample(docs: DataFrame, usable: Column, *, docs_per_language: int = DOCS_PER_LANGUAGE, segments_per_doc: int = SEGMENTS_PER_DOC) -> list[tuple[bytes, str]]:
-    """The bounded training sample: (segment, language) of labelled rows for which ``usable`` holds."""
+def passages(text: str, limit: int = PASSAGES_PER_DOC) -> list[bytes]:
+    """At most ``limit`` passages of ``PASSAGE`` bytes at even distances over the whole text, those with a letter."""
+    data = positions(text)
+    count = min(limit, -(-len(data) // PASSAGE))
+    last = max(0, len(data) - PASSAGE)
+    starts = [last * i // max(count - 1, 1) for i in range(count)]
+    found = [data[at : at + PASSAGE] for at in starts]
+    return [s for s in found if _LETTER.search(s.decode("utf-8", "ignore"))]
+
+
+def sample(docs: DataFrame, usable: Column, *, docs_per_language: int = DOCS_PER_LANGUAGE, passages_per_doc: int = PASSAGES_PER_DOC) -> list[tuple[bytes, str]]:
+    """The bounded training sample: (passage, language) of labelled rows for which ``usable`` holds."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")).where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = rows.groupBy("lang").agg(F.count("*").alias("rows"))
     chosen = rows.join(counts, "lang")
@@ -209,16 +255,12 @@ def sample(docs: DataFrame, usable: Column, *, docs_per_language: int = DOCS_PER
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[tuple[str, bytes]] = []
-            for lang, text in zip(b.column("lang").to_pylist(), texts_of(b), strict=True):
-                own = [s for s in segments(text) if _LETTER.search(s.decode("utf-8", "ignore"))]
-                step = max(1, -(-len(own) // segments_per_doc))
-                out += [(lang, s) for s in own[zlib.crc32(text.encode("utf-8", "surrogatepass")) % step :: step]]
+            out = [(lang, s) for lang, text in zip(b.column("lang").to_pylist(), texts_of(b), strict=True) for s in passages(text, passages_per_doc)]
             if out:
-                yield pa.record_batch([pa.array(c) for c in zip(*out, strict=True)], names=["lang", "segment"])
+                yield pa.record_batch([pa.array(c) for c in zip(*out, strict=True)], names=["lang", "passage"])
 
-    found = chosen.mapInArrow(run, "lang string, segment binary").toArrow()
-    pairs = zip(found.column("segment").to_pylist(), found.column("lang").to_pylist(), strict=True)
+    found = chosen.mapInArrow(run, "lang string, passage binary").toArrow()
+    pairs = zip(found.column("passage").to_pylist(), found.column("lang").to_pylist(), strict=True)
     return sorted(pairs)
 
 
@@ -234,45 +276,34 @@ def predict(docs: DataFrame, net: Network) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         model = Network(labels, weights)
-        memo: dict[bytes, int] = {}
-        table = np.zeros((0, max(len(labels), 1)), dtype=np.float32)
         for b in batches:
             texts = texts_of(b)
-            names: list[str] = []
-            scores: list[float] = []
-            for at in range(0, len(texts), 64):
-                own = [segments(t) for t in texts[at : at + 64]]
-                new = list(set().union(*own).difference(memo)) if labels else []
-                if new:
-                    if len(memo) + len(new) > MEMO_SEGMENTS:
-                        memo, table = {}, table[:0]
-                        new = list(set().union(*own))
-                    memo.update(zip(new, range(len(memo), len(memo) + len(new)), strict=True))
-                    table = _append(table, len(memo) - len(new), pooled(model, new))
-                for text, s in zip(texts[at : at + 64], own, strict=True):
-                    if not labels or not _LETTER.search(text):
-                        names.append(UNKNOWN)
-                        scores.append(0.0)
-                        continue
-                    rows = np.fromiter(map(memo.__getitem__, s), dtype=np.int64, count=len(s))
-                    p = table[rows].sum(axis=0, dtype=np.float64)
-                    p /= p.sum()
-                    names.append(labels[int(p.argmax())])
-                    scores.append(float(p.max()))
-            yield pa.record_batch([b.column("doc_id"), pa.array(names), pa.array(scores), b.column("row_hash")], names=["doc_id", "lang_pred", "score", "row_hash"])
+            names = [UNKNOWN] * len(texts)
+            scores = [0.0] * len(texts)
+            known = [i for i, text in enumerate(texts) if labels and _LETTER.search(text)]
+            for part in _groups(known, texts):
+                p = pooled(model, [positions(texts[i]) for i in part])
+                p /= p.sum(axis=1, keepdims=True)
+                for i, best, score in zip(part, p.argmax(axis=1).tolist(), p.max(axis=1).tolist(), strict=True):
+                    names[i], scores[i] = labels[best], score
+            yield pa.record_batch([b.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), b.column("row_hash")], names=["doc_id", "lang_pred", "score", "row_hash"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("row_hash"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, row_hash long")
 
 
-def _append(table: np.ndarray, used: int, rows: np.ndarray) -> np.ndarray:
-    """``table`` with ``rows`` after its first ``used`` rows; grows by doubling."""
-    if used + len(rows) > len(table):
-        grown = np.empty((max(2 * len(table), used + len(rows)), rows.shape[1]), dtype=np.float32)
-        grown[:used] = table[:used]
-        table = grown
-    table[used : used + len(rows)] = rows
-    return table
+def _groups(rows: list[int], texts: list[str]) -> Iterator[list[int]]:
+    """``rows`` in runs whose texts hold about ``BYTES`` characters (a longer text is a run of its own)."""
+    part: list[int] = []
+    size = 0
+    for i in rows:
+        if part and size + len(texts[i]) > BYTES:
+            yield part
+            part, size = [], 0
+        part.append(i)
+        size += len(texts[i])
+    if part:
+        yield part
 
 
 def held_out(doc_id: Column) -> Column:
