@@ -29,6 +29,18 @@ CUES = ["licen", "copyright", "rights reserved", "warrant", "redistribut", "perm
 
 _GRANT = "((this|the) (work|file|program|software|project|code|text|document|content|material|article) is )?(licensed|released|distributed|published|available|made available) under (the )?(terms of the )?"
 
+#: GNU licences whose headers state a version: (short name, name, version in words).
+GNU_VERSIONS = [
+    *((short, name, n) for short, name in (("gpl", "general public license"), ("lgpl", "lesser general public license"), ("agpl", "affero general public license")) for n in ("2", "3")),
+    ("lgpl", "lesser general public license", "2 1"),
+]
+
+#: Identifiers of a tag line as normalised, with the licence each names. A plus sign is not kept, so a bare GNU version says neither only nor later.
+SPDX: list[tuple[str, str]] = [
+    *((re.sub("[^a-z0-9]+", " ", x.lower()), x) for x in ("MIT", "MIT-0", "ISC", "Zlib", "BSL-1.0", "Unlicense", "0BSD", "Apache-2.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0")),
+    *((f"{short} {n.replace('.', ' ')}{suffix.replace('-', ' ')}", f"{short.upper()}-{n}{suffix}") for short, n in (("gpl", "2.0"), ("gpl", "3.0"), ("lgpl", "2.1"), ("lgpl", "3.0"), ("agpl", "3.0")) for suffix in ("-only", "-or-later", "")),
+]
+
 SENTENCES: list[tuple[str, str]] = [
     ("apache2_named", _GRANT + "apache (software )?license( version)? 2( 0)?( the license)?"),
     ("apache2_comply", "you may not use this file except in compliance with the license"),
@@ -50,11 +62,22 @@ SENTENCES: list[tuple[str, str]] = [
     ("bsd_names", "([0-9] )?neither the name of .* nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
     *((f"{short}{n}_named", _GRANT + f"gnu {name}( license)?( as published by the free software foundation)?( either)?( version)? {n}( 0)?( of the license)?") for short, name in (("gpl", "general public license"), ("lgpl", "lesser general public license"), ("agpl", "affero general public license")) for n in (1, 2, 3)),
     *((f"{short}_named", _GRANT + f"gnu {name}") for short, name in (("gpl", "general public license"), ("lgpl", "lesser general public license"), ("agpl", "affero general public license"))),
-    *((f"{short}{n}_later", f"(this program is free software )?you can redistribute it and or modify it under the terms of the gnu {name} as published by the free software foundation either version {n} of the license or at your option any later version") for short, name in (("gpl", "general public license"), ("lgpl", "lesser general public license"), ("agpl", "affero general public license")) for n in (2, 3)),
-    ("gpl_free", "this program is free software"),
+    *((f"{short}{n.replace(' ', '')}_only", f"(this (program|library|file) is free software )?you can redistribute it and or modify it under the terms of the gnu {name}( version {n} as published by the free software foundation| as published by the free software foundation version {n}( of the license)?)") for short, name, n in GNU_VERSIONS),
+    *((f"{short}{n.replace(' ', '')}_later", f"(this (program|library|file) is free software )?you can redistribute it and or modify it under the terms of the gnu {name} as published by the free software foundation either version {n} of the license or at your option any later version") for short, name, n in GNU_VERSIONS),
+    ("gpl_free", "this (program|library|file) is free software"),
     ("gpl_hope", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
     ("gpl_copy", "you should have received a copy of the gnu general public license along with this program( if not see .*)?"),
     ("mpl2_named", "((this|the) source code form is subject to the terms of the|" + _GRANT + ")( )?mozilla public license( v| version)? 2( 0)?"),
+    ("mpl2_form", "(this|the) source code form is subject to the terms of the mozilla public license v"),
+    ("boost_named", _GRANT + "boost software license( version)?( 1 0)?"),
+    ("boost_grant", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license .*"),
+    ("zlib_named", _GRANT + "zlib( libpng)? license"),
+    ("zlib_as_is", "this software is provided as is without any express or implied warranty"),
+    ("zlib_liability", "in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("zlib_grant", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"),
+    ("unlicense_named", _GRANT + "unlicense"),
+    ("unlicense_free", "this is free and unencumbered software released into the public domain"),
+    *((f"spdx_{words.replace(' ', '_')}", f"spdx license identifier {words}") for words, _ in SPDX),
     *((f"cc_{kind.replace(' ', '_')}", _GRANT + f"(a )?(cc|creative commons) {words}( license)?( [0-9] [0-9])?( (international|unported|generic))?( license)?") for kind, words in (("by", "(by|attribution)"), ("by sa", "(by sa|attribution sharealike)"), ("by nd", "(by nd|attribution noderivatives)"), ("by nc", "(by nc|attribution noncommercial)"), ("by nc sa", "(by nc sa|attribution noncommercial sharealike)"), ("by nc nd", "(by nc nd|attribution noncommercial noderivatives)"))),
     ("cc0_named", "(" + _GRANT + "(cc0|creative commons zero)( license)?( 1 0)?( universal)?( license)?|.*dedicated to the public domain( under .*)?)"),
     ("reserved", "(copyright .* )?all rights reserved"),
@@ -69,7 +92,12 @@ RULES: list[tuple[str, list[str]]] = [
     ("MIT", ["mit_grant", "mit_notice"]),
     ("BSD-3-Clause", ["bsd_allow", "bsd_source", "bsd_binary", "bsd_names"]),
     ("BSD-2-Clause", ["bsd_allow", "bsd_source", "bsd_binary"]),
-    *((f"{short.upper()}-{n}.0-or-later", [*before, f"{short}{n}_later"]) for short in ("gpl", "lgpl", "agpl") for n in (2, 3) for before in (["gpl_free"], [])),
+    *((f"{short.upper()}-{n.replace(' ', '.') if ' ' in n else n + '.0'}-{kind}", [*before, f"{short}{n.replace(' ', '')}_{end}"]) for end, kind in (("later", "or-later"), ("only", "only")) for short, _, n in GNU_VERSIONS for before in (["gpl_free"], [])),
+    ("Zlib", ["zlib_as_is", "zlib_liability", "zlib_grant"]),
+    ("Zlib", ["zlib_grant"]),
+    ("BSL-1.0", ["boost_grant"]),
+    ("Unlicense", ["unlicense_free"]),
+    *((licence, [f"spdx_{words.replace(' ', '_')}"]) for words, licence in SPDX),
     ("ISC", ["isc_grant"]),
     ("Apache-2.0", ["apache2_named"]),
     ("MIT", ["mit_named"]),
@@ -80,6 +108,10 @@ RULES: list[tuple[str, list[str]]] = [
     *((f"{short.upper()}-{n}.0-only", [f"{short}{n}_named"]) for short in ("gpl", "lgpl", "agpl") for n in (1, 2, 3)),
     *((short.upper(), [f"{short}_named"]) for short in ("gpl", "lgpl", "agpl")),
     ("MPL-2.0", ["mpl2_named"]),
+    ("MPL-2.0", ["mpl2_form"]),
+    ("BSL-1.0", ["boost_named"]),
+    ("Zlib", ["zlib_named"]),
+    ("Unlicense", ["unlicense_named"]),
     *((f"CC-{kind}", [f"cc_{kind.lower().replace('-', '_')}"]) for kind in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")),
     ("CC0-1.0", ["cc0_named"]),
     ("all-rights-reserved", ["reserved"]),
@@ -91,7 +123,7 @@ def _mark(name: str) -> str:
 
 
 #: Sentences whose ``.*`` may run over line ends, up to the end of the sentence or paragraph.
-PROSE = {"mit_grant", "mit_as_is", "mit_liability", "isc_grant", "bsd_names"}
+PROSE = {"boost_grant", "mit_grant", "mit_as_is", "mit_liability", "isc_grant", "bsd_names"}
 #: In lower-cased text S, P and L stand for the end of a sentence, a paragraph (or what leads a list) and a line; U for a segment in another script.
 CUTS = [
     (r"(?m)^[ \t]*(?:[!#%;*/>-]+|dnl|rem)(?=[ \t\r\n]|$)", ""),  # comment signs

@@ -179,3 +179,25 @@ def test_cues_however_their_words_are_parted(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.licences for r in L.scan(docs).collect()}
     assert got == {**dict.fromkeys(range(4), "all-rights-reserved"), 4: "CC0-1.0"}
+
+
+HEADERS = [
+    ("// SPDX-License-Identifier: MIT\nint main;", "MIT"),
+    ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "GPL-2.0-or-later"),
+    ("# SPDX-License-Identifier: LGPL-2.1+\n", "LGPL-2.1"),
+    ("SPDX-License-Identifier: MIT OR Odd-1.0", ""),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.", "MPL-2.0"),
+    ("The contents of this file are subject to the Mozilla Public License, v. 1.1.", ""),
+    (" * This program is free software; you can redistribute it and/or modify\n * it under the terms of the GNU General Public License version 2 as\n * published by the Free Software Foundation.", "GPL-2.0-only"),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.", "LGPL-2.1-or-later"),
+    ("Distributed under the Boost Software License, Version 1.0.\n(See accompanying file)", "BSL-1.0"),
+    ("Permission is hereby granted, free of charge, to any person or organization\nobtaining a copy of the software and accompanying documentation covered by\nthis license (the \"Software\") to use, reproduce, display.", "BSL-1.0"),
+    ("This is free and unencumbered software released into the public domain.\n\nAnyone is free.", "Unlicense"),
+    ("This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any damages\narising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n\n1. The origin", "Zlib"),
+]
+
+
+def test_tags_and_headers(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(HEADERS)], "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in L.scan(docs).collect()}
+    assert got == {i: licence for i, (_, licence) in enumerate(HEADERS)}
