@@ -4,7 +4,9 @@ Every text becomes a short vector of transformed statistics. For each
 (language, source) group a minimum-covariance-determinant estimate of centre
 and scatter is found by concentration steps, and a document is rejected when
 its Mahalanobis distance from its group's estimate is beyond a chi-square
-quantile (or when it fails the base rules).
+quantile (or when it fails the base rules). The steps begin at several
+estimates side by side (``STARTS``), and each group keeps the end of least
+determinant.
 
 A concentration step keeps the ``SUPPORT`` share of each group that lies
 nearest to the current estimate. It is one aggregate: distances fall into
@@ -17,6 +19,7 @@ whole corpus through ``PRIOR_ROWS`` pseudo-rows, smoothly and at every size.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -38,6 +41,8 @@ MAX_REPEAT_PERCENT = 20
 #: Share of a group that an estimate rests on.
 SUPPORT = 0.75
 STEPS = 4
+#: Where the steps begin: the corpus medians or the group's own medians with the floors as scatter, or the group's mean and scatter.
+STARTS = ("corpus", "group", "mean")
 #: Pseudo-rows with which a group's parent (language, then corpus) enters its estimate.
 PRIOR_ROWS = 50.0
 #: Tail probability of the chi-square cut-off for clean Gaussian data.
@@ -179,6 +184,7 @@ _PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 _SUMS = [f"s{i}" for i in range(P)] + [f"q{i}_{j}" for i, j in _PAIRS]
 _CENTRE = [f"m{i}" for i in range(P)]
 _WHITE = [f"w{i}_{j}" for i in range(P) for j in range(i + 1)]
+_MODEL = ["lang", "source", *_CENTRE, *_WHITE, "log_det"]
 
 
 def whitening(n: float, s: np.ndarray, q: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarray]:
@@ -202,19 +208,21 @@ def _moments() -> list[Column]:
 
 
 def _models(sums: DataFrame, scale: float, prior_rows: float) -> DataFrame:
-    """Estimates per group from ``sums`` (lang, source, n, moments), leaning on language and corpus."""
+    """Estimates per start and group from ``sums`` (start, lang, source, n, moments), leaning on language and corpus; log_det is the log determinant of the scatter."""
     totals = [F.sum(c).alias(c) for c in ("n", *_SUMS)]
-    languages = sums.groupBy("lang").agg(*totals)
-    corpus = languages.agg(*totals)
+    languages = sums.groupBy("start", "lang").agg(*totals)
+    corpus = languages.groupBy("start").agg(*totals)
 
-    def lean(own: DataFrame, parent: DataFrame, on: Column | None) -> DataFrame:
+    def lean(own: DataFrame, parent: DataFrame, *more: str) -> DataFrame:
         up = parent.select(*(F.col(c).alias(f"p_{c}") for c in parent.columns))
-        both = own.join(up, on(up)) if on else own.join(F.broadcast(up))  # the corpus is one row
+        on = F.col("start") == up["p_start"]
+        for c in more:
+            on = on & F.col(c).eqNullSafe(up[f"p_{c}"])
+        both = own.join(up if more else F.broadcast(up), on)  # the corpus is one row a start
         weight = F.lit(prior_rows) / F.col("p_n")
         return both.select(*(c for c in own.columns if c not in ("n", *_SUMS)), *((F.col(c) + weight * F.col(f"p_{c}")).alias(c) for c in ("n", *_SUMS)))
 
-    languages = lean(languages, corpus, None)
-    groups = lean(sums, languages, lambda up: F.col("lang").eqNullSafe(up["p_lang"]))
+    groups = lean(sums, lean(languages, corpus), "lang")
 
     def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -224,33 +232,49 @@ def _models(sums: DataFrame, scale: float, prior_rows: float) -> DataFrame:
                 for i, j in _PAIRS:
                     q[i, j] = q[j, i] = r[f"q{i}_{j}"]
                 centre, white = whitening(r["n"], np.array([r[f"s{i}"] for i in range(P)]), q, scale)
-                rows.append([r["lang"], r["source"], *centre, *(white[i, j] for i in range(P) for j in range(i + 1))])
-            yield pd.DataFrame(rows, columns=["lang", "source", *_CENTRE, *_WHITE])
+                rows.append([r["start"], r["lang"], r["source"], *centre, *(white[i, j] for i in range(P) for j in range(i + 1)), -2 * float(np.log(np.diag(white)).sum())])
+            yield pd.DataFrame(rows, columns=["start", *_MODEL])
 
-    return groups.mapInPandas(fit, "lang string, source string, " + ", ".join(f"{c} double" for c in (*_CENTRE, *_WHITE)))
+    return groups.mapInPandas(fit, "start string, lang string, source string, " + ", ".join(f"{c} double" for c in _MODEL[2:]))
 
 
 def _near(rows: DataFrame, models: DataFrame) -> DataFrame:
+    """``rows`` with their squared distance from each model of their group."""
     m = models.withColumnsRenamed({"lang": "g_lang", "source": "g_source"})
     on = F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))
-    return rows.join(m, on).withColumn("d2", _squared_distance()).drop(*_CENTRE, *_WHITE, "g_lang", "g_source")
-
-
-def estimate(stats: DataFrame, *, support: float = SUPPORT, steps: int = STEPS, prior_rows: float = PRIOR_ROWS) -> DataFrame:
-    """MCD estimates per (lang, source) of ``stats``: centre m0.. and whitening matrix w0_0..
-
-    The first estimate has the coordinatewise medians of the corpus as centre
-    and the floors as scatter; rows that fail the base rules take no part.
+    return rows.join(m, on).withColumn("d2", _squared_distance()).drop(*_CENTRE, *_WHITE, "g_lang", "g_source", "log_det")
+
+
+def _first_models(rows: DataFrame, starts: tuple[str, ...], prior_rows: float) -> DataFrame:
+    """The estimates that the steps begin at, per start and group."""
+    floors = [F.lit(1 / FLOOR[FEATURES[i]] if i == j else 0.0).alias(f"w{i}_{j}") for i in range(P) for j in range(i + 1)]
+    flat = [*floors, F.lit(0.0).alias("log_det")]
+    medians = [F.percentile_approx(f, 0.5, 10_000).alias(m) for f, m in zip(FEATURES, _CENTRE, strict=True)]
+    parts = []
+    if "corpus" in starts:
+        centre = rows.agg(*medians).first()
+        parts.append(rows.select("lang", "source").distinct().select(F.lit("corpus").alias("start"), "lang", "source", *(F.lit(centre[m] or 0.0).alias(m) for m in _CENTRE), *flat))
+    if "group" in starts:
+        parts.append(rows.groupBy("lang", "source").agg(*medians).select(F.lit("group").alias("start"), "lang", "source", *_CENTRE, *flat))
+    if "mean" in starts:
+        sums = rows.groupBy(F.lit("mean").alias("start"), "lang", "source").agg(*_moments())
+        parts.append(_models(sums, 1.0, prior_rows))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def estimate(stats: DataFrame, *, support: float = SUPPORT, steps: int = STEPS, prior_rows: float = PRIOR_ROWS, starts: tuple[str, ...] = STARTS) -> DataFrame:
+    """MCD estimates per (lang, source) of ``stats``: centre m0.., whitening matrix w0_0.., log_det and the start it came from.
+
+    Rows that fail the base rules take no part. Of the ends that ``starts``
+    lead to, each group has the one of least determinant of the scatter
+    (determinants that agree to nine places: the start that is named first).
     """
     rows = stats.where("not base_failed").select("lang", "source", *FEATURES)
-    medians = rows.agg(*(F.percentile_approx(f, 0.5, 10_000).alias(f) for f in FEATURES)).first()
-    start = [(medians[f] or 0.0) for f in FEATURES]
-    d2 = sum(((F.col(f) - F.lit(c)) * (F.col(f) - F.lit(c)) / F.lit(FLOOR[f] ** 2) for f, c in zip(FEATURES, start, strict=True)), F.lit(0.0))
-    near = rows.withColumn("d2", d2)
-    models = None
+    models = materialise(_first_models(rows, starts, prior_rows), "starts")
     for _ in range(steps):
-        bins = near.groupBy("lang", "source", F.floor(F.log2(F.col("d2") + F.lit(1e-6)) * BINS).alias("bin")).agg(*_moments())
-        group = Window.partitionBy("lang", "source")
+        near = _near(rows, models)
+        bins = near.groupBy("start", "lang", "source", F.floor(F.log2(F.col("d2") + F.lit(1e-6)) * BINS).alias("bin")).agg(*_moments())
+        group = Window.partitionBy("start", "lang", "source")
         bins = bins.withColumns(
             {
                 "before": F.coalesce(F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)),
@@ -258,10 +282,11 @@ def estimate(stats: DataFrame, *, support: float = SUPPORT, steps: int = STEPS,
             }
         )
         chosen = bins.where(F.col("before") < F.col("all") * support)
-        sums = materialise(chosen.groupBy("lang", "source").agg(*(F.sum(c).alias(c) for c in ("n", *_SUMS))), "moments")
+        sums = materialise(chosen.groupBy("start", "lang", "source").agg(*(F.sum(c).alias(c) for c in ("n", *_SUMS))), "moments")
         models = materialise(_models(sums, consistency(support, P), prior_rows), "models")
-        near = _near(rows, models)
-    return models
+    order = F.array_position(F.array(*map(F.lit, starts)), F.col("start"))
+    least = F.min_by(F.struct("start", *_MODEL[2:]), F.struct(F.round("log_det", 9), order)).alias("best")
+    return models.groupBy("lang", "source").agg(least).select("lang", "source", "best.*")
 
 
 def quality(docs: DataFrame, *, alpha: float = ALPHA, support: float = SUPPORT, steps: int = STEPS, prior_rows: float = PRIOR_ROWS) -> DataFrame:
@@ -275,7 +300,7 @@ def quality(docs: DataFrame, *, alpha: float = ALPHA, support: float = SUPPORT,
     """
     stats = materialise(statistics(docs), "statistics")
     models = estimate(stats, support=support, steps=steps, prior_rows=prior_rows)
-    good = _near(stats.where("not base_failed"), models).withColumnRenamed("d2", "distance2")
+    good = _near(stats.where("not base_failed"), models).withColumnRenamed("d2", "distance2").drop("start")
     out = good.unionByName(stats.where("base_failed").withColumn("distance2", F.lit(None).cast("double")))
     cut = chi2_quantile(alpha, P)
     kept = ~F.col("base_failed") & (F.col("distance2") <= F.lit(cut))

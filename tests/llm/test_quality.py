@@ -43,31 +43,41 @@ def test_chi_square():
     assert near.var(0).mean() * Q.consistency(0.75, 5) == pytest.approx(1, abs=0.02)
 
 
-def reference_distances(rows, support, steps, prior):
-    """The same estimate with every row in memory."""
+def reference_models(rows, support, steps, prior, starts):
+    """The same estimates with every row in memory: per group the (log determinant, start, centre, whitening) of the best end."""
     x = np.array([r["x"] for r in rows])
     keys = [(r["lang"], r["source"]) for r in rows]
-    floor = np.array(list(Q.FLOOR.values()))
-    start = np.quantile(x, 0.5, axis=0, method="inverted_cdf")
-    d2 = (((x - start) / floor) ** 2).sum(1)
-    scale = Q.consistency(support, Q.P)
-    for _ in range(steps):
-        bins = np.floor(np.log2(d2 + 1e-6) * Q.BINS)
-        sums = {}
-        for key in set(keys):
-            at = np.array([i for i, k in enumerate(keys) if k == key])
-            chosen = np.array([i for i in at if (bins[at] < bins[i]).sum() < support * len(at)])
-            sums[key] = np.array([len(chosen), x[chosen].sum(0), x[chosen].T @ x[chosen]], dtype=object)
+    places = {k: np.array([i for i, own in enumerate(keys) if own == k]) for k in set(keys)}
+    flat = np.diag([1 / f for f in Q.FLOOR.values()])
+
+    def fit(chosen, scale):
+        sums = {k: np.array([len(at), x[at].sum(0), x[at].T @ x[at]], dtype=object) for k, at in chosen.items()}
         corpus = sum(sums.values())
         languages = {g: sum(v for k, v in sums.items() if k[0] == g) for g in {k[0] for k in sums}}
         languages = {g: v + corpus * (prior / corpus[0]) for g, v in languages.items()}
-        for key, own in sums.items():
-            up = languages[key[0]]
-            n, s, q = own + up * (prior / up[0])
-            centre, white = Q.whitening(n, s, q, scale)
-            at = [i for i, k in enumerate(keys) if k == key]
-            d2[at] = (((x[at] - centre) @ white.T) ** 2).sum(1)
-    return d2
+        return {k: Q.whitening(*(own + languages[k[0]] * (prior / languages[k[0]][0])), scale) for k, own in sums.items()}
+
+    def median(at):
+        return np.quantile(x[at], 0.5, axis=0, method="inverted_cdf")
+
+    ends = {}
+    for nr, start in enumerate(starts):
+        everything = np.arange(len(x))
+        models = fit(places, 1.0) if start == "mean" else {k: (median(everything if start == "corpus" else at), flat) for k, at in places.items()}
+        for _ in range(steps):
+            chosen = {}
+            for k, at in places.items():
+                bins = np.floor(np.log2((((x[at] - models[k][0]) @ models[k][1].T) ** 2).sum(1) + 1e-6) * Q.BINS)
+                chosen[k] = at[[(bins < b).sum() < support * len(at) for b in bins]]
+            models = fit(chosen, Q.consistency(support, Q.P))
+        for k, (centre, white) in models.items():
+            ends.setdefault(k, []).append((round(-2 * np.log(np.diag(white)).sum(), 9), nr, centre, white))
+    return {k: min(found, key=lambda e: e[:2]) for k, found in ends.items()}
+
+
+def reference_distances(rows, support, steps, prior, starts=Q.STARTS):
+    models = reference_models(rows, support, steps, prior, starts)
+    return [(((np.array(r["x"]) - models[r["lang"], r["source"]][2]) @ models[r["lang"], r["source"]][3].T) ** 2).sum() for r in rows]
 
 
 def corpus(spark, n=400):
@@ -110,6 +120,27 @@ def test_against_rows_in_memory(spark):
     assert len(junk) > 10 and sum(junk) <= 0.2 * len(junk) and all(clean)
 
 
+def test_each_group_keeps_the_least_determinant(spark):
+    """A group far from the corpus median, whose outliers lie at that median, is found from its own medians."""
+    rng = np.random.default_rng(8)
+    near, far = rng.normal(0, 0.05, (400, Q.P)), rng.normal(0, 0.12, (130, Q.P)) + np.array([2.0, 0, 0, 0, 0])
+    rows = [("en", "plain", False, *map(float, v)) for v in near]
+    rows += [("xx", "odd", False, *map(float, v)) for v in far] + [("xx", "odd", False, *map(float, v)) for v in rng.normal(0, 0.01, (30, Q.P))]
+    stats = spark.createDataFrame(rows, "lang string, source string, base_failed boolean, " + ", ".join(f"{f} double" for f in Q.FEATURES)).repartition(4)
+
+    def found(starts):
+        return {(r.lang, r.source): r for r in Q.estimate(stats, starts=starts, prior_rows=0.0, steps=2).collect()}
+
+    alone = [found((s,)) for s in Q.STARTS]
+    best = found(Q.STARTS)
+    for key, r in best.items():
+        assert r.log_det == pytest.approx(min(a[key].log_det for a in alone), abs=1e-8)
+    odd = best["xx", "odd"]
+    assert odd.start == "group" and odd.log_det < alone[0]["xx", "odd"].log_det - 1
+    want = reference_models([{"lang": r[0], "source": r[1], "x": r[3:]} for r in rows], Q.SUPPORT, 2, 0.0, Q.STARTS)
+    assert {k: (Q.STARTS[v[1]], pytest.approx(v[0], abs=1e-6)) for k, v in want.items()} == {k: (r.start, r.log_det) for k, r in best.items()}
+
+
 def test_no_documents(spark):
     assert Q.quality(spark.createDataFrame([], "doc_id long, text string, lang string, source string")).collect() == []
 
