@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, texts_of
+from .common import materialise, release, texts_of
 
 #: Positions that one run labels, and the bytes read before and after them.
 WINDOW = 512
@@ -44,6 +44,8 @@ UNKNOWN = "und"
 #: Windows run side by side, and bytes of texts that a task cuts up at a time (memory bounds only).
 ROWS = 512
 BYTES = 4 << 20
+#: Counts of languages up to this size are broadcast.
+BROADCAST_BYTES = 8 << 20
 
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -246,8 +248,10 @@ def passages(text: str, limit: int = PASSAGES_PER_DOC) -> list[bytes]:
 def sample(docs: DataFrame, usable: Column, *, docs_per_language: int = DOCS_PER_LANGUAGE, passages_per_doc: int = PASSAGES_PER_DOC) -> list[tuple[bytes, str]]:
     """The bounded training sample: (passage, language) of labelled rows for which ``usable`` holds."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")).where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("rows"))
-    chosen = rows.join(counts, "lang")
+    counts = materialise(rows.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
+    size = counts.agg(F.sum(F.octet_length("lang") + 16)).first()[0] or 0
+    # Small counts go to the texts; else Spark chooses how the two sides meet.
+    chosen = rows.join(F.broadcast(counts) if size <= BROADCAST_BYTES else counts, "lang")
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     chosen = chosen.where(share * F.col("rows") < F.lit(float(docs_per_language)))
     # One row of a chosen doc_id, however often it comes: the sample is bounded by ids, whatever repeats.
