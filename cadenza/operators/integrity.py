@@ -42,10 +42,13 @@ def pk_violations(cat: Catalog, table: str) -> DataFrame:
 
 
 def unique_violations(cat: Catalog, table: str, column: str) -> DataFrame:
-    """Non-NULL values of ``column`` held by more than one row."""
+    """Non-NULL values of ``column`` held by more than one row.
+
+    A column that the table does not carry is an error, not an absence of violations.
+    """
     df = cat[table]
     if column not in df.columns:
-        return df.sparkSession.createDataFrame([], f"{column} string, row_count bigint")
+        raise KeyError(f"{table} carries no column {column!r}: UNIQUE cannot be checked")
     return (
         df.filter(F.col(column).isNotNull())
         .groupBy(column)

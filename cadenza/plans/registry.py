@@ -65,6 +65,6 @@ def register(name: str, oracle: str | None):
 
 def registry() -> dict[str, RegisteredQuery]:
     # Importing the modules fills the registry.
-    from . import catalog_queries  # noqa: F401
+    from . import catalog_queries, stored_queries  # noqa: F401
 
     return dict(_REGISTRY)

@@ -103,7 +103,7 @@ def written_table(df, name: str):
     tells the planner whether the table can be broadcast.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{SCRATCH}/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -111,6 +111,11 @@ def written_table(df, name: str):
 SCRATCH = "cadenza-tables"
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{SCRATCH}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def remove_scratch(spark: SparkSession) -> None:
     """Delete the written tables of this session's checkpoint folder, once nothing reads them any more."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/{SCRATCH}")

@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..catalog import Catalog
 from ..schemas import PRIMARY_KEYS, TABLES, conform, optional_schema, schema
@@ -176,6 +177,13 @@ def _published(spark: SparkSession, root: str) -> DataFrame | None:
     return found.withColumn(SEQ, F.coalesce(SEQ, F.lit(0)))
 
 
+#: Quotes within a value are doubled, backslashes and spaces stand for themselves. Values
+#: may not hold line breaks: files are split at them.
+CSV_OPTIONS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_EMPTY = "\x01"  # what a quoted empty value is read as, to tell it from an unquoted one, which is NULL
+CSV_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # Spark's own format ends at milliseconds
+
+
 def save_table(df: DataFrame, path: str, cluster_by: str | None = None, fmt: str = "parquet", bloom: tuple[str, ...] = ()) -> None:
     """Write one table, clustered by ``cluster_by``, with bloom filters on the ``bloom`` columns it has.
 
@@ -187,7 +195,7 @@ def save_table(df: DataFrame, path: str, cluster_by: str | None = None, fmt: str
         df = df.repartitionByRange(F.col(cluster_by)).sortWithinPartitions(cluster_by)
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", "true").csv(path)
+        writer.options(**CSV_OPTIONS, timestampFormat=CSV_TIMESTAMP, timestampNTZFormat=CSV_TIMESTAMP).csv(path)
         return
     _with_bloom(writer, [c for c in bloom if c in df.columns]).format(fmt).save(path)
 
@@ -269,9 +277,10 @@ def read_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
     if fmt == "csv":
         # Columns by the names in the header, then typed: a value that does
         # not parse fails the read instead of becoming NULL.
-        df = spark.read.option("header", "true").csv(path)
+        df = spark.read.options(**CSV_OPTIONS, emptyValue=CSV_EMPTY).csv(path)
         types = {f.name: f.dataType for s in (declared, optional_schema(table)) if s for f in s.fields}
-        typed = df.select(*[F.col(c).cast(types[c]).alias(c) for c in df.columns if c in types])
+        told = {c: F.when(F.col(c) == CSV_EMPTY, F.lit("" if types[c] == StringType() else None)).otherwise(F.col(c)) for c in df.columns if c in types}
+        typed = df.select(*[v.cast(types[c]).alias(c) for c, v in told.items()])
         return conform(table, typed, strict=strict)
     return _conformed(spark.read.format(fmt).load(path), table, strict)
 

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from table_rows import rows
 
@@ -202,7 +203,8 @@ def test_unique_violations_on_optional_columns(spark):
     )
     cat = Catalog(tables)
     assert rows(integrity.unique_violations(cat, "track", "isrc")) == [("XX1", 2)]
-    assert rows(integrity.unique_violations(cat, "album", "mb_release_group_gid")) == []
+    with pytest.raises(KeyError, match="mb_release_group_gid"):
+        integrity.unique_violations(cat, "album", "mb_release_group_gid")
 
 
 def test_distinct_counts_without_trusting_keys(make_catalog):

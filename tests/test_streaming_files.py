@@ -1,3 +1,4 @@
+import datetime as dt
 import tempfile
 
 from pyspark.sql import functions as F
@@ -101,6 +102,20 @@ def test_streams_crashes_and_retries_keep_every_row(spark, small_catalog, monkey
     assert _new_reviews(spark, root, before_max) == [before_max + i for i in range(1, 7)]
 
 
+def test_csv_keeps_quotes_backslashes_empty_values_and_microseconds(spark, make_catalog):
+    at = dt.datetime(2024, 1, 1, 0, 9, 58, 778549)
+    texts = ['say "hi"', 'a,b', 'back\\', '\\"', "", None, '"', " padded ", "Zoë"]
+    cat = make_catalog(
+        users=[(i, t, None, None, None) for i, t in enumerate(texts)],
+        review=[(i, 3, t, at, 1, 2) for i, t in enumerate(texts)],
+    )
+    folder = tempfile.mkdtemp(prefix="cadenza-test-csv-")
+    save_catalog(cat, folder, fmt="csv")
+    back = load_catalog(spark, folder, fmt="csv", strict=False)
+    for t in ("users", "review", "track"):
+        assert sorted(rows(back[t]), key=str) == sorted(rows(cat[t]), key=str)
+
+
 def test_csv_catalog_by_header_names_and_with_appends(spark, small_catalog):
     import pytest
 
