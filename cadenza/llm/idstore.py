@@ -6,7 +6,8 @@ keys are dealt to segments by hash, and each segment gets a minimal perfect
 hash function by hash-and-displace plus one table in its order with the
 fingerprint, shard, offset and length of every key. ``lookup`` evaluates the
 function, compares the stored fingerprint and reads the payload: one probe
-and one ranged read per key.
+(in the segment's index file, read once by a task for all its keys there) and
+one ranged read per key.
 
 Files, all below one folder:
 
@@ -19,7 +20,8 @@ Files, all below one folder:
   uint64[n] offsets (in ids), uint32[n] lengths.
 
 A key is (doc_id, occurrence): occurrence 0 is the first row of that doc_id,
-further rows with the same doc_id follow in the order of their texts.
+further rows with the same doc_id follow in the order of the first ``PREFIX``
+characters of their texts, then of a hash, then of the whole texts.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .common import filesystem, materialise, memo_encoder, scratch_path
@@ -45,6 +47,8 @@ KINDS = {"u16": np.dtype("<u2"), "u32": np.dtype("<u4")}
 SEGMENT_KEYS = 20_000
 #: Keys per displacement.
 LOAD = 4
+#: Characters of a text by which rows of one doc_id are dealt to shards (a hash of the whole text deals on).
+PREFIX = 64
 NULL_KEY = 0x6E756C6C  # stands for a null doc_id, with its own flag in the hash
 
 
@@ -185,16 +189,19 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, *, end_id:
     """Encode ``docs(doc_id, text)`` and write payload shards and index files.
 
     Null text is empty: its only id is the end id. Rows with equal doc_id are
-    kept, ordered by text and told apart by their occurrence; a null doc_id
-    sorts first. Columns besides doc_id and text are ignored. Nulls and
-    repeats stay in one shard, and within it nothing is held but one batch.
+    kept, ordered by text as the module says and told apart by their
+    occurrence; a null doc_id sorts first. Columns besides doc_id and text are
+    ignored. Rows of a repeated or null doc_id are dealt to shards by their
+    texts; only those that repeat the text as well stay together. Within a
+    shard nothing is held but one batch.
     """
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "idstore")
     fs, path = filesystem(folder)
     fs.create_dir(path, recursive=True)
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(width, "doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", F.substring("text", 1, PREFIX), F.xxhash64("text")]
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(width, *order).sortWithinPartitions(*order, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = memo_encoder(tokenizer)
@@ -220,20 +227,20 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, *, end_id:
                     sink.write(np.frombuffer(raw + end, "<u4").astype(KINDS[kind]).tobytes())
                 offsets = at + np.r_[0, np.cumsum(lengths)[:-1]]
                 at += sum(lengths)
-                nulls = np.array([x is None for x in ids])
-                h = key_hash(np.array([x or 0 for x in ids], dtype=np.int64), nulls, np.array(turns))
                 n = len(ids)
-                columns = [batch.column("doc_id"), pa.array(turns, pa.int64()), pa.array(h.view(np.int64)), pa.array([task] * n, pa.int32())]
+                columns = [batch.column("doc_id"), pa.array(turns, pa.int64()), pa.array([task] * n, pa.int32())]
                 columns += [pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64()), pa.array([name] * n)]
-                yield pa.record_batch(columns, names=["doc_id", "occurrence", "h", "task", "offset", "length", "file"])
+                yield pa.record_batch(columns, names=["doc_id", "occurrence", "task", "offset", "length", "file"])
         finally:
             if sink is not None:
                 sink.close()
 
-    schema = "doc_id long, occurrence long, h long, task int, offset long, length long, file string"
+    schema = "doc_id long, occurrence long, task int, offset long, length long, file string"
     entries = materialise(ordered.mapInArrow(run, schema), "entries")
     store = IdStore(spark, folder)
-    tasks = entries.groupBy("task", "file").agg(F.sum("length").alias("n"), F.count("*").alias("docs")).orderBy("task").collect()
+    ends = [F.min_by("doc_id", "offset").alias("first"), F.max_by("doc_id", "offset").alias("last"), F.max_by("occurrence", "offset").alias("turn")]
+    tasks = entries.groupBy("task", "file").agg(F.sum("length").alias("n"), F.count("*").alias("docs"), *ends).orderBy("task").collect()
+    entries = _counted_on(entries, tasks)
     total = 0
     for t in tasks:  # one row per payload file
         store.shards.append((t["file"], total))
@@ -246,6 +253,31 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, *, end_id:
     return store
 
 
+def _counted_on(entries: DataFrame, tasks: list[Row]) -> DataFrame:
+    """``entries`` with the occurrences of a doc_id counted on from task to task; ``tasks`` has one row per payload file."""
+    begun, last, so_far = [], object(), 0
+    for t in tasks:
+        base = so_far if t["first"] == last else 0
+        if base:
+            begun.append((t["task"], last, base))
+        alone = t["first"] == t["last"]  # the task has rows of one doc_id only
+        last, so_far = t["last"], t["turn"] + 1 + (base if alone else 0)
+    if not begun:
+        return entries
+    bases = entries.sparkSession.createDataFrame(begun, "at_task int, at_doc long, base long")
+    met = (F.col("task") == F.col("at_task")) & F.col("doc_id").eqNullSafe(F.col("at_doc"))
+    joined = entries.join(F.broadcast(bases), met, "left")  # at most one row per payload file
+    return joined.withColumn("occurrence", F.col("occurrence") + F.coalesce("base", F.lit(0))).select(*entries.columns)
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the column h, the hash of (doc_id, occurrence)."""
+    for b in batches:
+        doc = b.column("doc_id")
+        h = key_hash(doc.fill_null(0).to_numpy(), doc.is_null().to_numpy(zero_copy_only=False), b.column("occurrence").to_numpy())
+        yield b.append_column("h", pa.array(h.view(np.int64)))
+
+
 def _write_index(entries: DataFrame, folder: str, segments: int, shard_of: dict[int, int]) -> dict[int, str]:
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         store, where = filesystem(folder)
@@ -256,7 +288,8 @@ def _write_index(entries: DataFrame, folder: str, segments: int, shard_of: dict[
             sink.write(raw)
         return pd.DataFrame({"segment": [key[0]], "file": [name]})
 
-    dealt = entries.select(_segment(segments).alias("segment"), "h", "task", "offset", "length")
+    hashed = entries.select("doc_id", "occurrence", "task", "offset", "length").mapInArrow(_hashed, "doc_id long, occurrence long, task int, offset long, length long, h long")
+    dealt = hashed.select(_segment(segments).alias("segment"), "h", "task", "offset", "length")
     made = materialise(dealt.groupBy("segment").applyInPandas(run, "segment int, file string"), "index")
     return {r["segment"]: r["file"] for r in made.collect()}  # one row per segment
 
@@ -272,12 +305,6 @@ def locate(store: IdStore, keys: DataFrame) -> DataFrame:
         return keys.select("doc_id", "occurrence", *(F.lit(None).cast(t).alias(c) for c, t in (("shard", "long"), ("offset", "long"), ("length", "long"))))
     folder, index, segments = store.folder, store.index, store.segments
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            doc = b.column("doc_id")
-            h = key_hash(doc.fill_null(0).to_numpy(), doc.is_null().to_numpy(zero_copy_only=False), b.column("occurrence").to_numpy())
-            yield pa.record_batch([doc, b.column("occurrence"), pa.array(h.view(np.int64))], names=["doc_id", "occurrence", "h"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, where = filesystem(folder)
         held: tuple[int, bytes] = (-1, b"")
@@ -298,7 +325,7 @@ def locate(store: IdStore, keys: DataFrame) -> DataFrame:
                 yield pa.record_batch([part.column("doc_id"), part.column("occurrence"), *columns], names=["doc_id", "occurrence", "shard", "offset", "length"])
 
     width = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
-    h = keys.select(F.col("doc_id").cast("long"), F.col("occurrence").cast("long")).mapInArrow(hashed, "doc_id long, occurrence long, h long")
+    h = keys.select(F.col("doc_id").cast("long"), F.col("occurrence").cast("long")).mapInArrow(_hashed, "doc_id long, occurrence long, h long")
     dealt = h.withColumn("segment", _segment(segments)).repartitionByRange(width, "segment", "h").sortWithinPartitions("segment")
     return dealt.mapInArrow(run, "doc_id long, occurrence long, shard long, offset long, length long")
 

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 
 from cadenza.llm import idstore
 
@@ -45,6 +46,27 @@ def test_round_trip(odd_docs, byte_bpe, library, segment_keys):
     assert sorted(map(tuple, got), key=lambda x: x[2]) == want
 
 
+def test_rows_of_a_hot_id_are_dealt_over_shards(spark, byte_bpe, library):
+    texts = [f"text {i % 900}" for i in range(2000)] + ["x" * 70 + str(i) for i in range(500)]
+    rows = [(7, t) for t in texts] + [(None, t) for t in texts[:800]] + [(i, f"other {i}") for i in range(500)]
+    store = idstore.write(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), byte_bpe, segment_keys=300)
+    located = idstore.locate(store, store.keys).collect()
+    assert len({r.shard for r in located if r.doc_id == 7}) > 1
+    assert sorted(r.occurrence for r in located if r.doc_id == 7) == list(range(2501))
+    got = sorted(idstore.read(store, with_ids=True).collect(), key=lambda r: r.start)
+    assert [r.start for r in got] == np.r_[0, np.cumsum([r.n_tokens for r in got])[:-1]].tolist()
+    assert [(r.doc_id is not None, r.doc_id or 0, r.occurrence) for r in got] == sorted((r.doc_id is not None, r.doc_id or 0, r.occurrence) for r in got)
+    back = sorted((r.doc_id or -1, library.decode(np.frombuffer(r.ids, "<u4")[:-1].tolist())) for r in got)
+    assert back == sorted((doc or -1, t) for doc, t in rows)
+
+
+def test_occurrences_are_counted_on_over_whole_shards(spark):
+    entries = spark.createDataFrame([(1, 0, 0), (5, 0, 0), (5, 0, 1), (5, 1, 1), (5, 0, 2), (6, 0, 2)], "doc_id long, occurrence long, task int")
+    tasks = [Row(task=0, first=1, last=5, turn=0), Row(task=1, first=5, last=5, turn=1), Row(task=2, first=5, last=6, turn=0)]
+    got = idstore._counted_on(entries, tasks).where("doc_id = 5").orderBy("task", "occurrence").collect()
+    assert [r.occurrence for r in got] == [0, 1, 2, 3]
+
+
 def test_lookup_of_some_keys(spark, odd_docs, byte_bpe):
     store = idstore.write(odd_docs, byte_bpe, segment_keys=5)
     keys = spark.createDataFrame([(1, 0), (999999, 0), (5, 1), (5, 9)], "doc_id long, occurrence long")
