@@ -48,7 +48,7 @@ SEGMENT_KEYS = 20_000
 #: Keys per displacement.
 LOAD = 4
 #: Characters of a text by which rows of one doc_id are dealt to shards (a hash of the whole text deals on).
-PREFIX = 64
+PREFIX = 16
 NULL_KEY = 0x6E756C6C  # stands for a null doc_id, with its own flag in the hash
 
 
@@ -230,13 +230,12 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, *, end_id:
                 n = len(ids)
                 columns = [batch.column("doc_id"), pa.array(turns, pa.int64()), pa.array([task] * n, pa.int32())]
                 columns += [pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64()), pa.array([name] * n)]
-                yield pa.record_batch(columns, names=["doc_id", "occurrence", "task", "offset", "length", "file"])
+                yield _with_hash(pa.record_batch(columns, names=["doc_id", "occurrence", "task", "offset", "length", "file"]))
         finally:
             if sink is not None:
                 sink.close()
 
-    schema = "doc_id long, occurrence long, task int, offset long, length long, file string"
-    entries = materialise(ordered.mapInArrow(run, schema), "entries")
+    entries = materialise(ordered.mapInArrow(run, ENTRY), "entries")
     store = IdStore(spark, folder)
     ends = [F.min_by("doc_id", "offset").alias("first"), F.max_by("doc_id", "offset").alias("last"), F.max_by("occurrence", "offset").alias("turn")]
     tasks = entries.groupBy("task", "file").agg(F.sum("length").alias("n"), F.count("*").alias("docs"), *ends).orderBy("task").collect()
@@ -267,15 +266,22 @@ def _counted_on(entries: DataFrame, tasks: list[Row]) -> DataFrame:
     bases = entries.sparkSession.createDataFrame(begun, "at_task int, at_doc long, base long")
     met = (F.col("task") == F.col("at_task")) & F.col("doc_id").eqNullSafe(F.col("at_doc"))
     joined = entries.join(F.broadcast(bases), met, "left")  # at most one row per payload file
-    return joined.withColumn("occurrence", F.col("occurrence") + F.coalesce("base", F.lit(0))).select(*entries.columns)
+    counted = joined.withColumn("occurrence", F.col("occurrence") + F.coalesce("base", F.lit(0)))
+    return counted.select(*(c for c in entries.columns if c != "h")).mapInArrow(_hashed, ENTRY)
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+ENTRY = "doc_id long, occurrence long, task int, offset long, length long, file string, h long"
+
+
+def _with_hash(b: pa.RecordBatch) -> pa.RecordBatch:
     """Adds the column h, the hash of (doc_id, occurrence)."""
-    for b in batches:
-        doc = b.column("doc_id")
-        h = key_hash(doc.fill_null(0).to_numpy(), doc.is_null().to_numpy(zero_copy_only=False), b.column("occurrence").to_numpy())
-        yield b.append_column("h", pa.array(h.view(np.int64)))
+    doc = b.column("doc_id")
+    h = key_hash(doc.fill_null(0).to_numpy(), doc.is_null().to_numpy(zero_copy_only=False), b.column("occurrence").to_numpy())
+    return b.append_column("h", pa.array(h.view(np.int64)))
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return map(_with_hash, batches)
 
 
 def _write_index(entries: DataFrame, folder: str, segments: int, shard_of: dict[int, int]) -> dict[int, str]:
@@ -288,8 +294,7 @@ def _write_index(entries: DataFrame, folder: str, segments: int, shard_of: dict[
             sink.write(raw)
         return pd.DataFrame({"segment": [key[0]], "file": [name]})
 
-    hashed = entries.select("doc_id", "occurrence", "task", "offset", "length").mapInArrow(_hashed, "doc_id long, occurrence long, task int, offset long, length long, h long")
-    dealt = hashed.select(_segment(segments).alias("segment"), "h", "task", "offset", "length")
+    dealt = entries.select(_segment(segments).alias("segment"), "h", "task", "offset", "length")
     made = materialise(dealt.groupBy("segment").applyInPandas(run, "segment int, file string"), "index")
     return {r["segment"]: r["file"] for r in made.collect()}  # one row per segment
 

@@ -61,10 +61,12 @@ def test_rows_of_a_hot_id_are_dealt_over_shards(spark, byte_bpe, library):
 
 
 def test_occurrences_are_counted_on_over_whole_shards(spark):
-    entries = spark.createDataFrame([(1, 0, 0), (5, 0, 0), (5, 0, 1), (5, 1, 1), (5, 0, 2), (6, 0, 2)], "doc_id long, occurrence long, task int")
+    rows = [(1, 0, 0), (5, 0, 0), (5, 0, 1), (5, 1, 1), (5, 0, 2), (6, 0, 2)]
+    entries = spark.createDataFrame([(*r, 0, 1, "f", 0) for r in rows], idstore.ENTRY)
     tasks = [Row(task=0, first=1, last=5, turn=0), Row(task=1, first=5, last=5, turn=1), Row(task=2, first=5, last=6, turn=0)]
     got = idstore._counted_on(entries, tasks).where("doc_id = 5").orderBy("task", "occurrence").collect()
     assert [r.occurrence for r in got] == [0, 1, 2, 3]
+    assert len({r.h for r in got}) == 4
 
 
 def test_lookup_of_some_keys(spark, odd_docs, byte_bpe):
