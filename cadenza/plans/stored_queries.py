@@ -30,12 +30,19 @@ def _shared_ids(table: str) -> dict[str, int]:
 
 
 def _damaged_table(cat: Catalog, table: str):
-    k = PRIMARY_KEYS[table][0]
-    rows = cat[table]
-    twice = rows.filter(F.col(k) % 3 == 0)
-    keyless = rows.filter(F.col(k) % 7 == 1).withColumn(k, F.lit(None).cast("bigint"))
-    astray = rows.filter(F.col(k) % 5 == 2).withColumns({c: -1_000_000_000 - F.col(c) for c in _references(table)})
-    out = rows.unionAll(twice).unionAll(keyless).unionAll(astray)
+    """Every row leaves one scan of the table together with its copies.
+
+    As a union of four filtered copies each filter would move into the derived
+    table, which would then be made anew for every branch.
+    """
+    k, refs = PRIMARY_KEYS[table][0], _references(table)
+    types = {f.name: f.dataType for f in cat[table].schema.fields}
+    copies = F.array(F.lit("whole"), F.when(F.col(k) % 3 == 0, "twice"), F.when(F.col(k) % 7 == 1, "keyless"), F.when(F.col(k) % 5 == 2, "astray"))
+    out = cat[table].select("*", F.explode(copies).alias("_copy")).filter(F.col("_copy").isNotNull())
+    keyless, astray = F.col("_copy") == "keyless", F.col("_copy") == "astray"
+    changed = {c: F.when(astray, -1_000_000_000 - F.col(c)).otherwise(F.col(c)) for c in refs}
+    changed[k] = F.when(keyless, F.lit(None).cast(types[k])).otherwise(changed.get(k, F.col(k)))
+    out = out.withColumns(changed).drop("_copy")
     return out.withColumns({c: F.concat(F.lit("id "), (F.col(k) - F.col(k) % n).cast("string")) for c, n in _shared_ids(table).items()})
 
 
