@@ -213,6 +213,33 @@ def specific(docs: DataFrame, candidates: DataFrame, followed: DataFrame, least:
     return known.where(F.col("times") >= F.lit(least) * F.coalesce("places", "times")).select("pattern")
 
 
+def reachable(edges: DataFrame, seeded: DataFrame, rounds: int, support: float, share: float) -> DataFrame:
+    """pattern, times: all patterns that could be good in any round.
+
+    The same rounds with every pattern taken as specific and voting for each
+    kind it passes for, so beliefs are bounds from above; one pass over the
+    texts then tells which of these patterns are specific.
+    """
+    kinds, slack = range(len(KINDS)), 1e-9  # against the order of sums; the rounds themselves are strict
+    beliefs = seeded
+    for left in reversed(range(rounds)):
+        sums = beliefs.groupBy("pattern").agg(F.count("*").alias("n"), F.sum("times").alias("times"), *(F.sum(f"b{k}").alias(f"b{k}") for k in kinds))
+        passes = [(F.col(f"b{k}") >= support - slack) & (F.col(f"b{k}") / F.col("n") >= share - slack) for k in kinds]
+        doubts = [F.when(p, F.log1p(-F.least(F.col(f"b{k}") / F.col("n"), F.lit(0.999)))).alias(f"d{k}") for k, p in zip(kinds, passes, strict=True)]
+        reached = materialise(sums.where(F.coalesce(*(F.when(p, True) for p in passes), F.lit(False))).select("pattern", "times", *doubts), "reached")
+        if left:
+            votes = edges.where("kind is null").join(reached.drop("times"), "pattern").groupBy("instance").agg(*((1 - F.exp(F.coalesce(F.sum(f"d{k}"), F.lit(0.0)))).alias(f"v{k}") for k in kinds))
+            beliefs = _learned(edges, votes)
+    return reached.select("pattern", "times")
+
+
+def _learned(edges: DataFrame, votes: DataFrame) -> DataFrame:
+    """The edges with the belief in each kind: certain at seeds, the votes for their instances at others."""
+    kinds = range(len(KINDS))
+    beliefs = (F.when(F.col("kind") == k, 1.0).when(F.col("kind").isNotNull(), 0.0).otherwise(F.coalesce(f"v{k}", F.lit(0.0))).alias(f"b{k}") for k in kinds)
+    return edges.join(votes, "instance", "left").select("pattern", "times", *beliefs)
+
+
 def bootstrap(docs: DataFrame, scanned: DataFrame, *, rounds: int = ROUNDS, support: float = SUPPORT, share: float = SHARE, least_specific: float = SPECIFIC) -> DataFrame:
     """Discovered spans: doc_id, row_hash, k, s, e, from the mentions of ``scan``."""
     mentions = scanned.select("doc_id", "row_hash", F.explode("mentions").alias("m")).select("doc_id", "row_hash", "m.*")
@@ -227,8 +254,7 @@ def bootstrap(docs: DataFrame, scanned: DataFrame, *, rounds: int = ROUNDS, supp
         best = F.greatest(*(F.struct(F.col(f"b{k}").alias("b"), F.lit(-k).alias("k")) for k in kinds))
         return sums.select("pattern", "n", "times", best.alias("best")).select("pattern", "times", (-F.col("best.k")).alias("kind"), F.col("best.b").alias("believed"), (F.col("best.b") / F.col("n")).alias("score"))
 
-    first = patterns(seeded)
-    candidates = materialise(first.where((F.col("believed") >= support) & (F.col("score") >= share)).select("pattern", "times"), "candidates")
+    candidates = reachable(edges, seeded, rounds, support, share)
     usable = materialise(specific(docs, candidates.select("pattern"), candidates, least_specific), "specific")
     beliefs = seeded
     for _ in range(rounds):
@@ -237,8 +263,7 @@ def bootstrap(docs: DataFrame, scanned: DataFrame, *, rounds: int = ROUNDS, supp
         doubt = F.log1p(-F.least("score", F.lit(0.999)))
         votes = edges.where("kind is null").join(good, "pattern").groupBy("instance").agg(*(F.coalesce(F.sum(F.when(F.col("k") == k, doubt)), F.lit(0.0)).alias(f"d{k}") for k in kinds))
         votes = materialise(votes.select("instance", *((1 - F.exp(f"d{k}")).alias(f"v{k}") for k in kinds)), "votes")
-        learned = edges.join(votes, "instance", "left")
-        beliefs = learned.select("pattern", "times", *(F.when(F.col("kind") == k, 1.0).when(F.col("kind").isNotNull(), 0.0).otherwise(F.coalesce(f"v{k}", F.lit(0.0))).alias(f"b{k}") for k in kinds))
+        beliefs = _learned(edges, votes)
     good = good.withColumnsRenamed({"score": "pattern_score"})
     found = mentions.where("kind is null").join(good, "pattern").join(votes, "instance")
     score = F.element_at(F.array(*(F.col(f"v{k}") for k in kinds)), F.col("k") + 1)

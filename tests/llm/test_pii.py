@@ -127,3 +127,24 @@ def test_contexts():
     text = "See staff Mail: <x1@y.org>, please\nTel x2@y.org\n" + "z" * 500 + " w x3@y.org"
     at = [text.index(f"x{i}@") for i in (1, 2, 3)]
     assert [pii.contexts(text, a, a + 8) for a in at] == [["mail:", "staff mail:", " please"], ["tel", "\ntel"], ["w"]]
+
+
+def test_later_rounds_use_what_was_found(spark):
+    # "staff mail:" stands before seeds and finds user3[at]..; only these make "contact box:" a pattern, which finds guest1[at]...
+    rnd = random.Random(9)
+
+    def word():
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+
+    rows = [(i, f"{word()} staff mail: user{i}@host{i}.org {word()}") for i in range(30)]
+    rows += [(200 + i, f"{word()} staff mail: user{'abcdefgh'[i]}[at]host.org {word()}") for i in range(8)]
+    rows += [(300 + i, f"{word()} contact box: user{'abcdefgh'[i]}[at]host.org {word()}") for i in range(8)]
+    rows += [(400 + i, f"{word()} contact box: guest{'xy'[i]}[at]host2.org {word()}") for i in range(2)]
+    rows = [(i, t.replace("[at]host", "7[at]host")) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+    def found(rounds):
+        return {r.doc_id for r in pii.find(docs, rounds=rounds).collect() if len(r.spans) > len(r.base)}
+
+    assert found(1) == {*range(200, 208)}
+    assert found(2) == {*range(200, 208), *range(300, 308), 400, 401}
